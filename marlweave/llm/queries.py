@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import table
+from .golay import document_pairs, near_duplicates
 from .leaks import leaked_items
 from .lookalike import lookalike_nodes
 from .together import pair_counts
@@ -35,11 +36,22 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_nodes(table(spark, sf_dir, "entity"))
 
 
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_pairs(*near_duplicates(table(spark, sf_dir, "document_with_entities"), n=3, similarity=0.5, least=10))
+
+
+def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document: its class of equal texts and the number of classes linked to it, at five words and 0.8."""
+    members, links = near_duplicates(table(spark, sf_dir, "document_with_entities"))
+    ends = links.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
+    return members.join(ends, "rep", "left").select("document_id", "rep", F.coalesce("links", F.lit(0)).alias("links"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p9_found": p9_found}
+QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
