@@ -9,6 +9,7 @@ from ..sources.tables import table
 from .golay import document_pairs, near_duplicates
 from .leaks import leaked_items
 from .lookalike import lookalike_nodes
+from .residue import residue
 from .together import pair_counts
 
 ARTICLE = r"^(the|a|an)\s+"
@@ -51,7 +52,15 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
 
-QUERIES = {"p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue(table(spark, sf_dir, "documents")).select("doc_id")
+
+
+def p10_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
