@@ -144,5 +144,5 @@ def lookalike_nodes(nodes: DataFrame) -> DataFrame:
     spread = pairs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     a = held.select("tenant_id", F.col("name").alias("name_a"), "_salt", F.col("entity_id").alias("a"))
     b = held.select("tenant_id", F.col("name").alias("name_b"), F.col("entity_id").alias("b"))
-    rows = spread.join(a, ["tenant_id", "name_a", "_salt"]).drop("_salt").join(b, ["tenant_id", "name_b"])
+    rows = spread.hint("merge").join(a, ["tenant_id", "name_a", "_salt"]).drop("_salt").join(b, ["tenant_id", "name_b"])
     return rows.select(F.least("a", "b").alias("entity_id_a"), F.greatest("a", "b").alias("entity_id_b")).distinct()

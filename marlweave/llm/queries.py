@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .golay import document_pairs, near_duplicates
+from .language import mislabelled, segments
 from .leaks import leaked_items
 from .lookalike import lookalike_nodes
 from .residue import residue
 from .together import pair_counts
+from .variants import groups, variant_pairs
 
 ARTICLE = r"^(the|a|an)\s+"
 BLANKS = r"^[\s\p{Z}\u0085\u001c-\u001f]+|[\s\p{Z}\u0085\u001c-\u001f]+$"
@@ -33,10 +35,35 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_counts(spark, sf_dir).select("tenant_id", "name_a", "name_b")
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mislabelled(table(spark, sf_dir, "document_with_entities")).select("document_id", "lang")
+
+
+def p3_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments(table(spark, sf_dir, "document_with_entities"))
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_nodes(table(spark, sf_dir, "entity"))
 
 
+def names_of_people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(tenant_id, kind, name): the stored names of persons and organisations, of nodes and of extractions."""
+    kinds = F.col("entity_type").isin("PERSON", "ORGANIZATION")
+    nodes = table(spark, sf_dir, "entity").where(kinds).select("tenant_id", F.col("entity_type").alias("kind"), "name")
+    docs = table(spark, sf_dir, "document_with_entities").select("document_id", "tenant_id").distinct()
+    found = table(spark, sf_dir, "extracted_entity").where(kinds).select("document_id", F.col("entity_type").alias("kind"), "name").distinct().join(docs, "document_id")
+    return nodes.unionByName(found.select("tenant_id", "kind", "name"))
+
+
+def p5_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return groups(names_of_people(spark, sf_dir))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variant_pairs(p5_groups(spark, sf_dir))
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_pairs(*near_duplicates(table(spark, sf_dir, "document_with_entities"), n=3, similarity=0.5, least=10))
 
@@ -60,7 +87,7 @@ def p10_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
