@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..sources.tables import table
 from .golay import document_pairs, near_duplicates
+from .ivfpq import neighbours
 from .language import mislabelled, segments
 from .leaks import leaked_items
 from .lookalike import lookalike_nodes
@@ -26,6 +27,20 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(docs, "document_id").select(F.col("tenant_id").alias("grp"), F.col("document_id").alias("basket"), "item")
 
 
+def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "entity").select(F.col("entity_id").alias("id"), "embedding")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = neighbours(_vectors(spark, sf_dir), k=5, probes=4, floor=0.9)
+    return near.select(F.least("id", "other").alias("entity_id_a"), F.greatest("id", "other").alias("entity_id_b")).distinct()
+
+
+def p1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every node whose id is divisible by 100, against all nodes."""
+    return neighbours(_vectors(spark, sf_dir), k=5, probes=48, depth=64, queries="id % 100 = 0").select("id", "other", F.round("cosine", 6).alias("cosine"), "rank")
+
+
 def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pair_counts(endpoints(spark, sf_dir))
     return out.select(F.col("grp").alias("tenant_id"), F.col("item_a").alias("name_a"), F.col("item_b").alias("name_b"), "n_ab", "n_a", "n_b", "n", F.round("lift", 6).alias("lift"))
@@ -87,7 +102,7 @@ def p10_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+QUERIES = {"p1_found": p1_found, "p1_nearest": p1_nearest, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
