@@ -20,6 +20,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
@@ -159,11 +160,15 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
 
     prints = materialize(rows.mapInPandas(run, kind), "fingerprints")
     # classes of equal texts; anchors and words are equal within a class, so any of them will do
-    reps = prints.groupBy("set_a", "set_b", "size").agg(F.min("document_id").alias("rep"))
+    reps = materialize(prints.groupBy("set_a", "set_b", "size").agg(F.min("document_id").alias("rep")), "classes")
     members = materialize(prints.select("document_id", "set_a", "set_b", "size").distinct().join(reps, ["set_a", "set_b", "size"]).select("document_id", "rep"), "members")
-    lead = prints.join(members.where("document_id = rep").select("document_id").distinct(), "document_id", "left_semi").dropDuplicates(["document_id"])
+    # a class is known by the hash of its set until its texts are compared: less to shuffle than ids
+    lead = prints.select(F.col("set_a").alias("id"), "size", "anchors", "words").dropDuplicates(["id"])
     found = _candidates(lead, similarity)
-    return members, _verified(docs, found, n, similarity)
+    name = reps.select("set_a", "rep")
+    named = found.join(name.select(F.col("set_a").alias("id_a"), F.col("rep").alias("rep_a")), "id_a").join(name.select(F.col("set_a").alias("id_b"), F.col("rep").alias("rep_b")), "id_b")
+    named = materialize(named.select(F.least("rep_a", "rep_b").alias("id_a"), F.greatest("rep_a", "rep_b").alias("id_b")).distinct(), "named")
+    return members, _verified(docs, named, n, similarity)
 
 
 def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
@@ -175,13 +180,11 @@ def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
             words = np.frombuffer(b"".join(pdf["words"]), np.uint32).reshape(-1, SEGMENTS)
             seg = np.tile(np.arange(SEGMENTS, dtype=np.uint64), len(pdf))
             key = (anchors.ravel().astype(np.uint64) << np.uint64(5)) | seg
-            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32), "id": np.repeat(pdf["document_id"].to_numpy(), SEGMENTS)})
+            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32), "id": np.repeat(pdf["id"].to_numpy(), SEGMENTS)})
 
-    slots = lead.select("document_id", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id string")
+    slots = lead.select("id", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id bigint")
     # most anchors belong to one text only; the others get their Golay keys
-    slots = materialize(slots, "slots")
-    shared = slots.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    kept = slots.join(shared, "anchor")
+    kept = slots.withColumn("n", F.count("*").over(W.partitionBy("anchor"))).where("n > 1").drop("n")
 
     def keys(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -193,11 +196,11 @@ def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
             r, _ = np.nonzero(new)
             yield pd.DataFrame({"key": k[new].astype(np.int64), "id": pdf["id"].to_numpy()[r]})
 
-    keyed = kept.mapInPandas(keys, "key bigint, id string")
+    keyed = kept.mapInPandas(keys, "key bigint, id bigint")
     other = keyed.select("key", F.col("id").alias("id_b"))
     pairs = keyed.withColumnRenamed("id", "id_a").join(other, "key").where("id_a < id_b").select("id_a", "id_b").distinct()
-    a = lead.select(F.col("document_id").alias("id_a"), F.col("words").alias("wa"), F.col("size").alias("sa"))
-    b = lead.select(F.col("document_id").alias("id_b"), F.col("words").alias("wb"), F.col("size").alias("sb"))
+    a = lead.select(F.col("id").alias("id_a"), F.col("words").alias("wa"), F.col("size").alias("sa"))
+    b = lead.select(F.col("id").alias("id_b"), F.col("words").alias("wb"), F.col("size").alias("sb"))
     # sizes first: the similarity can't exceed the ratio of the sizes
     near = pairs.join(a, "id_a").join(b, "id_b").where(f"least(sa, sb) >= {similarity} * greatest(sa, sb)")
     total = SEGMENTS * 23
@@ -211,7 +214,7 @@ def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
             ok = np.bitwise_count(wa ^ wb).sum(axis=1) <= most
             yield pdf.loc[ok, ["id_a", "id_b"]]
 
-    return materialize(near.select("id_a", "id_b", "wa", "wb").mapInPandas(close, "id_a string, id_b string"), "candidates")
+    return materialize(near.select("id_a", "id_b", "wa", "wb").mapInPandas(close, "id_a bigint, id_b bigint"), "candidates")
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, similarity: float) -> DataFrame:
