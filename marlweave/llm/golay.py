@@ -20,13 +20,12 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship
+from ..session import materialize, ship, splits
 from . import vec
 
-SEGMENTS, FUNCTIONS, ANCHOR_WORDS = 20, 64, 8
+SEGMENTS, FUNCTIONS, ANCHOR_WORDS = 20, 64, 9
 #: Fixed value: the generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the code.
 GENERATOR = 0b110001110101
 
@@ -126,6 +125,9 @@ def fingerprints(texts: list[str], n: int, least: int) -> dict[str, np.ndarray]:
         for i, f in enumerate(used[s]):
             x = m[f] * np.uint32(2 * s + 0x9E3779B1)
             seg[:, s] |= (x >> np.uint32(31)) << np.uint32(i)
+    sketch = np.zeros(len(keep), np.uint64)
+    for f in range(FUNCTIONS):
+        sketch |= (vec.mix(m[f].astype(np.uint64)) & np.uint64(1)) << np.uint64(f)
     anchor_words = min(ANCHOR_WORDS, least + n - 1)
     ha, ata = w.windows(anchor_words)
     da = w.doc[ata]
@@ -135,7 +137,7 @@ def fingerprints(texts: list[str], n: int, least: int) -> dict[str, np.ndarray]:
     anchors = _minima(ha, fa, slice(FUNCTIONS, None)).T
     total = np.add.reduceat(h, first[:-1])
     twist = np.bitwise_xor.reduceat(vec.mix(h ^ np.uint64(0x5555555555555555)), first[:-1])
-    return {"at": keep, "anchors": anchors, "words": seg, "set_a": total.view(np.int64), "set_b": twist.view(np.int64), "size": size[keep]}
+    return {"at": keep, "anchors": anchors, "words": seg, "sketch": sketch.view(np.int64), "set_a": total.view(np.int64), "set_b": twist.view(np.int64), "size": size[keep]}
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -148,7 +150,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col("document_id").cast("string"), "content").where("document_id IS NOT NULL AND content IS NOT NULL")
-    kind = "document_id string, set_a bigint, set_b bigint, size int, anchors binary, words binary"
+    kind = "document_id string, set_a bigint, set_b bigint, size int, sketch bigint, anchors binary, words binary"
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -156,14 +158,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
             for lo, hi in vec.batches(texts, 1_500_000):
                 f = fingerprints(texts[lo:hi], n, least)
                 if f:
-                    yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["at"]], "set_a": f["set_a"], "set_b": f["set_b"], "size": f["size"].astype(np.int32), "anchors": [x.tobytes() for x in np.ascontiguousarray(f["anchors"])], "words": [x.tobytes() for x in f["words"]]})
+                    yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["at"]], "set_a": f["set_a"], "set_b": f["set_b"], "size": f["size"].astype(np.int32), "sketch": f["sketch"], "anchors": [x.tobytes() for x in np.ascontiguousarray(f["anchors"])], "words": [x.tobytes() for x in f["words"]]})
 
     prints = materialize(rows.mapInPandas(run, kind), "fingerprints")
     # classes of equal texts; anchors and words are equal within a class, so any of them will do
     reps = materialize(prints.groupBy("set_a", "set_b", "size").agg(F.min("document_id").alias("rep")), "classes")
     members = materialize(prints.select("document_id", "set_a", "set_b", "size").distinct().join(reps, ["set_a", "set_b", "size"]).select("document_id", "rep"), "members")
     # a class is known by the hash of its set until its texts are compared: less to shuffle than ids
-    lead = prints.select(F.col("set_a").alias("id"), "size", "anchors", "words").dropDuplicates(["id"])
+    lead = prints.select(F.col("set_a").alias("id"), "size", "sketch", "anchors", "words").dropDuplicates(["id"])
     found = _candidates(lead, similarity)
     name = reps.select("set_a", "rep")
     named = found.join(name.select(F.col("set_a").alias("id_a"), F.col("rep").alias("rep_a")), "id_a").join(name.select(F.col("set_a").alias("id_b"), F.col("rep").alias("rep_b")), "id_b")
@@ -171,6 +173,36 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
     return members, _verified(docs, named, n, similarity)
 
 
+def _keys(rows: pd.DataFrame) -> pd.DataFrame:
+    """A row for each anchor and codeword index."""
+    near = indices(rows["word"].to_numpy().astype(np.uint32)).astype(np.uint64)
+    near.sort(axis=1)
+    new = np.ones(near.shape, bool)
+    new[:, 1:] = near[:, 1:] != near[:, :-1]
+    key = (vec.mix(rows["anchor"].to_numpy().view(np.uint64))[:, None] & ~np.uint64(4095)) | near
+    r, _ = np.nonzero(new)
+    return pd.DataFrame({"key": key[new].view(np.int64)} | {c: rows[c].to_numpy()[r] for c in ("id", "size", "sketch")})
+
+
+def _pairs(rows: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
+    """Pairs of rows with one key whose sizes and sketches allow the similarity. rows are sorted by key."""
+    key, ids, size = rows["key"].to_numpy(), rows["id"].to_numpy(), rows["size"].to_numpy()
+    sketch = rows["sketch"].to_numpy().view(np.uint64)
+    mean = (1 - similarity) / 2
+    most = FUNCTIONS * mean + 3.5 * (FUNCTIONS * mean * (1 - mean)) ** 0.5
+    step = 1
+    at = np.arange(len(key))
+    while len(at):  # rows `step` apart; ends with the longest run of one key
+        at = at[at + step < len(key)]
+        at = at[key[at] == key[at + step]]
+        x, y = at, at + step
+        ok = (np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])) & (np.bitwise_count(sketch[x] ^ sketch[y]) <= most) & (ids[x] != ids[y])
+        if ok.any():
+            a, b = ids[x[ok]], ids[y[ok]]
+            yield pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b)})
+        step += 1
+
+
 def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
     """Pairs of classes that share a key in some segment and whose fingerprints are close enough."""
 
@@ -180,29 +212,45 @@ def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
             words = np.frombuffer(b"".join(pdf["words"]), np.uint32).reshape(-1, SEGMENTS)
             seg = np.tile(np.arange(SEGMENTS, dtype=np.uint64), len(pdf))
             key = (anchors.ravel().astype(np.uint64) << np.uint64(5)) | seg
-            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32), "id": np.repeat(pdf["id"].to_numpy(), SEGMENTS)})
+            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32)} | {c: np.repeat(pdf[c].to_numpy(), SEGMENTS) for c in ("id", "size", "sketch")})
 
-    slots = lead.select("id", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id bigint")
-    # most anchors belong to one text only; the others get their Golay keys
-    kept = slots.withColumn("n", F.count("*").over(W.partitionBy("anchor"))).where("n > 1").drop("n")
+    slots = lead.select("id", "size", "sketch", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id bigint, size int, sketch bigint")
+    # One shuffle by the anchor; the keys are made, sorted and paired where their anchor lies.
+    held = slots.repartition(splits(lead.sparkSession), "anchor").sortWithinPartitions("anchor")
 
     def keys(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, open_row = None, None  # the last row waits: whether its anchor is shared shows in the next batch
+        for pdf in it:
+            if open_row is not None:
+                pdf = pd.concat([open_row, pdf], ignore_index=True)
+            anchor = pdf["anchor"].to_numpy()
+            open_row = pdf.iloc[-1:]
+            same = np.zeros(len(pdf) + 1, bool)
+            same[1:-1] = anchor[1:] == anchor[:-1]
+            same[0] = last is not None and anchor[0] == last
+            shared = (same[:-1] | same[1:])[:-1]
+            last = anchor[-2] if len(pdf) > 1 else last
+            yield _keys(pdf.iloc[:-1][shared])
+        if open_row is not None and last is not None and open_row["anchor"].iloc[0] == last:
+            yield _keys(open_row)
+
+    def paired(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tail = None  # the last key may go on in the next batch
         for pdf in it:
-            near = indices(pdf["word"].to_numpy().astype(np.uint32)).astype(np.uint64)
-            near.sort(axis=1)
-            new = np.ones(near.shape, bool)
-            new[:, 1:] = near[:, 1:] != near[:, :-1]
-            k = (pdf["anchor"].to_numpy().astype(np.uint64)[:, None] << np.uint64(12)) | near
-            r, _ = np.nonzero(new)
-            yield pd.DataFrame({"key": k[new].astype(np.int64), "id": pdf["id"].to_numpy()[r]})
-
-    keyed = kept.mapInPandas(keys, "key bigint, id bigint")
-    other = keyed.select("key", F.col("id").alias("id_b"))
-    pairs = keyed.withColumnRenamed("id", "id_a").join(other, "key").where("id_a < id_b").select("id_a", "id_b").distinct()
-    a = lead.select(F.col("id").alias("id_a"), F.col("words").alias("wa"), F.col("size").alias("sa"))
-    b = lead.select(F.col("id").alias("id_b"), F.col("words").alias("wb"), F.col("size").alias("sb"))
-    # sizes first: the similarity can't exceed the ratio of the sizes
-    near = pairs.join(a, "id_a").join(b, "id_b").where(f"least(sa, sb) >= {similarity} * greatest(sa, sb)")
+            if tail is not None:
+                pdf = pd.concat([tail, pdf], ignore_index=True)
+            key = pdf["key"].to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))
+            yield from _pairs(pdf.iloc[:cut], similarity)
+            tail = pdf.iloc[cut:]
+        if tail is not None:
+            yield from _pairs(tail, similarity)
+
+    keyed = held.mapInPandas(keys, "key bigint, id bigint, size int, sketch bigint").sortWithinPartitions("key")
+    pairs = keyed.mapInPandas(paired, "id_a bigint, id_b bigint").distinct()
+    a = lead.select(F.col("id").alias("id_a"), F.col("words").alias("wa"))
+    b = lead.select(F.col("id").alias("id_b"), F.col("words").alias("wb"))
+    near = pairs.join(a, "id_a").join(b, "id_b")
     total = SEGMENTS * 23
     # four standard deviations of the differing bits, taken as that of FUNCTIONS independent minima, above the mean at the threshold
     mean = (1 - similarity) / 2
