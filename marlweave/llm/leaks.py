@@ -40,7 +40,8 @@ def item_grams(items: DataFrame, n: int = N_WORDS) -> DataFrame:
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            yield _grams(pdf["item_id"].tolist(), pdf["text"].tolist(), n)
+            if len(f := _grams(pdf["item_id"].tolist(), pdf["text"].tolist(), n)):
+                yield f
 
     return items.select(F.col("item_id").cast("bigint"), "text").where("item_id IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "gram bigint, item_id bigint, words string")
 
@@ -119,6 +120,8 @@ def _shuffled(corpus: DataFrame, grams: DataFrame, n: int, kind: str) -> DataFra
             for lo, hi in vec.batches(texts, 1_000_000):
                 w = vec.words(texts[lo:hi])
                 h, at = w.windows(n)
+                if not len(h):
+                    continue
                 low = "\n".join(t.lower() for t in texts[lo:hi]) + "\n"
                 yield pd.DataFrame({"gram": h.view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[lo:hi][w.doc[at]], "place": at - w.first[w.doc[at]], "found": [" ".join(_split(low[w.starts[a] : w.ends[a + n - 1]])) for a in at]})
 

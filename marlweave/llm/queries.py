@@ -11,6 +11,7 @@ from .ivfpq import neighbours
 from .language import mislabelled, segments
 from .leaks import leaked_items
 from .lookalike import lookalike_nodes
+from .packing import fill, pack
 from .residue import residue
 from .together import pair_counts
 from .variants import groups, variant_pairs
@@ -90,6 +91,18 @@ def p7_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.join(ends, "rep", "left").select("document_id", "rep", F.coalesce("links", F.lit(0)).alias("links"))
 
 
+def _capacity(spark: SparkSession, sf_dir: str, window: str) -> int:
+    return table(spark, sf_dir, "context_window").where(F.col("window_name") == window).first()["capacity_tokens"]
+
+
+def p8_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), _capacity(spark, sf_dir, "medium"))
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill(p8_pack(spark, sf_dir), _capacity(spark, sf_dir, "medium"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
@@ -102,7 +115,7 @@ def p10_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_nearest": p1_nearest, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p1_found": p1_found, "p1_nearest": p1_nearest, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
