@@ -29,10 +29,11 @@ NAMES = {name: words[0] for words in (x.split() for x in LANGUAGES.split(";")) f
 #: Abbreviations after which a full stop ends no sentence, and articles and the like that begin sentences.
 SHORT = "Dr Mr Ms Mrs Prof St No Nr Inc Co Ltd Corp Inst Dept Assoc Sys Intl Int Lab Labs Bros Tech Techs Grp Univ Svc Svcs Ind Mgmt Natl Mfg Ing Sra Sr Dott Mme"
 OPENERS = "The This That Our Der Die Das Ein Eine Unser Unsere Dieses Diese Le Les La Une Un Notre Cette Ce El Los Las Una Nuestra Nuestro Esta Este Il Lo Gli Questa Questo Uno O Os As A Uma Um"
-#: A sentence ends at a mark that isn't part of an initial or an abbreviation, at a line break, or, where the mark is missing, before an opener in capitals.
+#: A sentence ends at a mark that isn't part of an initial or an abbreviation, at a line break, or, where the mark is missing, before an opener in capitals or a label with a colon.
 END = re.compile(
     r"(?<=[.!?…])(?<!\b\w\.)" + "".join(rf"(?<!\b{a}\.)" for a in SHORT.split()) + r"[\"”»)]?\s+(?![a-z(])|\n+"
     rf"|(?<=\))\s+(?=[^\W\d_a-zß-öø-ÿ][^\W\d_]*\s)|(?<=[^\W\d_A-ZÀ-Þ])\s+(?=(?:{'|'.join(OPENERS.split())})\s|L['’])"
+    r"|(?<=[^\W\d_A-ZÀ-Þ])\s+(?=[A-ZÀ-Þ][^\W\d_]+(?:\s[^\W\d_]+){0,3}\s?(?:\([^()\n]{3,60}\))?\s?:\s)"
 )
 WORD = re.compile(r"[^\W\d_]+")
 
