@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import core_queries
+from . import core_queries, graph_queries
 
-MODULES = [core_queries]
+MODULES = [core_queries, graph_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,4 +20,5 @@ def oracle_sql() -> dict[str, str]:
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return core_queries.p6_found(spark, sf_dir)
+    """The flagship: hybrid recall over four signals."""
+    return graph_queries.QUERIES["r03_hybrid_recall"](spark, sf_dir)
