@@ -17,6 +17,7 @@ from ..operators import recall as R
 from ..operators import scan as S
 from ..sources import graph as G
 from ..sources.graph import NORM, sql
+from . import ingestion as I
 
 TENANT, COLLECTION, ACTIVE = "agent_main", "declarative", "g2"
 NAMES = ["assistant", "glossary", "ticket", "roadmap"]
@@ -371,3 +372,39 @@ query("v05_failed_phases", f"WITH st AS ({_STATUS}) SELECT source_key, string_ag
 query("v08_due_after_transfer", "SELECT DISTINCT source_key FROM docs GROUP BY source_key HAVING max(created_at) < TIMESTAMPTZ '2025-06-01 00:00:00+00'", "docs")(lambda g: C.due_after_transfer(g.docs.groupBy("source_key").agg(F.max("created_at").alias("updated_at")), "2025-06-01 00:00:00"))
 query("v09_phases_reset", "SELECT DISTINCT source_key, 'due' AS state FROM docs WHERE (ascii(md5(source_key)) % 6) IN (2, 3)", "docs")(lambda g: S.routes(g.docs, _phases(g)).where("route IN ('job', 'resume')").select("source_key", F.lit("due").alias("state")).distinct())
 query("v10_embedder_drift", "SELECT true AS drifted")(lambda g: C.drifted(S.with_collection(g.docs.select(F.col("collection").alias("name"), "tenant_id").distinct().select("name", "tenant_id", F.lit("old").alias("embedder_name"), F.lit(64).alias("embedder_size")), "episodic", TENANT, "new", 32), "old", 64))
+
+# Extraction pipeline
+
+query("x01_extract", "SELECT DISTINCT id AS doc_id, lower(k) AS key FROM (SELECT id, unnest(regexp_extract_all(content, '[A-Z][a-z]+')) AS k FROM docs)", "docs")(lambda g: I.extract(g.docs).select("doc_id", F.explode("entities").alias("e")).where("e.type = 'UNKNOWN'").select("doc_id", F.lower("e.name").alias("key")))
+query("x02_graph_rows", f"SELECT md5(tenant_id || ':' || n) AS key, count(DISTINCT id) AS documents FROM (SELECT id, tenant_id, {NORM % 'k'} AS n FROM (SELECT id, tenant_id, unnest(regexp_extract_all(content, '[A-Z][a-z]+')) AS k FROM docs)) WHERE n <> '' GROUP BY 1", "docs")(lambda g: I.graph_rows(I.extract(g.docs))[1].groupBy("key").agg(F.count_distinct("doc_id").alias("documents")))
+query("x04_llm_phase", f"SELECT id AS source_key, CASE WHEN {_BLANK} THEN 'not_ready' WHEN regexp_matches(content, '[A-Z][a-z]+') THEN 'done' ELSE 'error' END AS state, CASE WHEN {_BLANK} THEN NULL ELSE nullif(regexp_extract(content, '[A-Z][a-z]+'), '') END AS concept FROM docs", "docs")(
+    lambda g: I.concepts(g.docs.select(F.col("id").alias("source_key"), F.col("content").alias("text")), _stub, {"TERM"}, set()).select("source_key", "state", F.when(F.size("concepts") > 0, F.element_at("concepts", 1)["text"]).alias("concept"))
+)
+query("pred02_conjunction", f"SELECT id FROM docs WHERE metadata->>'$.source' = '{SOURCE}' AND metadata->>'$.chunk_index' = '3'", "docs")(lambda g: g.docs.where(I.conjunction([{"key": "source", "match": SOURCE}, {"key": "chunk_index", "match": 3}])).select("id"))
+query("f12_segments", "SELECT id, sum(length(content))::BIGINT AS chars FROM docs WHERE content <> '' GROUP BY id", "docs")(lambda g: _segmented(g))
+
+
+def _stub(text: str) -> str:
+    """A model for tests: the first capitalised word as its only concept, an empty answer without one."""
+    import json
+    import re
+
+    m = re.search(r"[A-Z][a-z]+", text)
+    return json.dumps({"concepts": [{"type": "TERM", "text": m[0]}], "relations": []}) if m else ""
+
+
+def _segmented(g: Graph) -> DataFrame:
+    import pandas as pd
+
+    from ..functions.extract import segments
+    from ..session import ship
+
+    ship(g.spark)
+
+    def run(it):
+        for pdf in it:
+            rows = [(i, at, len(s)) for i, t in zip(pdf["id"], pdf["content"]) for at, s in segments(t, 400)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["id", "at", "n"])
+
+    return g.docs.where("content <> ''").select("id", "content").mapInPandas(run, "id string, at bigint, n bigint").groupBy("id").agg(F.sum("n").alias("chars"))
