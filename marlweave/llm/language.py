@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import ship
 from . import vec
 
-BITS, CENTROIDS, SAMPLE, ROUNDS = 13, 3, 3000, 4
+BITS, CENTROIDS, SAMPLE, ROUNDS = 13, 3, 2500, 4
 NEAREST, LEAD, WORDS = 0.12, 0.12, 5
 
 #: Codes and English names of languages (two letters, three letters, name).
@@ -29,12 +29,13 @@ NAMES = {name: words[0] for words in (x.split() for x in LANGUAGES.split(";")) f
 #: Abbreviations after which a full stop ends no sentence, and articles and the like that begin sentences.
 SHORT = "Dr Mr Ms Mrs Prof St No Nr Inc Co Ltd Corp Inst Dept Assoc Sys Intl Int Lab Labs Bros Tech Techs Grp Univ Svc Svcs Ind Mgmt Natl Mfg Ing Sra Sr Dott Mme"
 OPENERS = "The This That Our Der Die Das Ein Eine Unser Unsere Dieses Diese Le Les La Une Un Notre Cette Ce El Los Las Una Nuestra Nuestro Esta Este Il Lo Gli Questa Questo Uno O Os As A Uma Um"
-#: A sentence ends at a mark that isn't part of an initial or an abbreviation, at a line break, or, where the mark is missing, before an opener in capitals or a label with a colon.
-END = re.compile(
-    r"(?<=[.!?…])(?<!\b\w\.)" + "".join(rf"(?<!\b{a}\.)" for a in SHORT.split()) + r"[\"”»)]?\s+(?![a-z(])|\n+"
-    rf"|(?<=\))\s+(?=[^\W\d_a-zß-öø-ÿ][^\W\d_]*\s)|(?<=[^\W\d_A-ZÀ-Þ])\s+(?=(?:{'|'.join(OPENERS.split())})\s|L['’])"
-    r"|(?<=[^\W\d_A-ZÀ-Þ])\s+(?=[A-ZÀ-Þ][^\W\d_]+(?:\s[^\W\d_]+){0,3}\s?(?:\([^()\n]{3,60}\))?\s?:\s)"
-)
+_SHORT = frozenset(SHORT.split())
+#: A sentence may end at a mark or a line break, or where a capital follows.
+MARK = re.compile(r"[.!?…][\"”»)]?\s+|\n+")
+CAPITAL = re.compile(r"\s(?=[A-ZÀ-Þ])")
+#: What begins a sentence although no mark ends the one before: an opener, or a label with a colon; after a bracket any word.
+OPENER = re.compile(rf"(?:{'|'.join(OPENERS.split())})\s|L['’]|[^\W\d_]+(?:\s[^\W\d_]+){{0,3}}\s?(?:\([^()\n]{{3,60}}\))?\s?:\s")
+ANY_WORD = re.compile(r"[^\W\d_]+\s")
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -45,13 +46,35 @@ def code(label: str | None) -> str | None:
     return NAMES.get(re.split(r"[-_ (.@]", label.strip().lower())[0])
 
 
+def _cuts(text: str) -> list[tuple[int, int]]:
+    """Where sentences end and the next ones begin. An initial, an abbreviation and a mark before a small letter end none."""
+    out = []
+    for m in MARK.finditer(text):
+        a, b = m.span()
+        if text[a] == "\n" or "\n" in text[a:b]:
+            out.append((a if text[a] == "\n" else a + 1, b))
+            continue
+        if text[a] == ".":
+            word = text[max(0, a - 7) : a].rpartition(" ")[2].lstrip("(\"'«“")
+            if len(word) == 1 or word in _SHORT or word[-2:-1] == ".":
+                continue
+        if b < len(text) and not ("a" <= text[b] <= "z" or text[b] == "("):
+            out.append((a + 1, b))
+    for m in CAPITAL.finditer(text):
+        a = m.start()
+        before = text[a - 1 : a]
+        if before == ")" and ANY_WORD.match(text, a + 1) or before.islower() and OPENER.match(text, a + 1):
+            out.append((a, a + 1))
+    return sorted(out)
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
     """Start and end of each sentence or line."""
     out, at = [], 0
-    for m in END.finditer(text):
-        if m.start() > at:
-            out.append((at, m.start()))
-        at = m.end()
+    for a, b in _cuts(text):
+        if a > at:
+            out.append((at, a))
+        at = max(at, b)
     if at < len(text):
         out.append((at, len(text)))
     return out
