@@ -16,6 +16,7 @@ from functools import cache
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
@@ -105,33 +106,32 @@ def pack(docs: DataFrame, capacity: int, path: str = TOKENIZER) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).alias("piece"), F.col("n_tokens").alias("n")))
     pieces = counts.select("doc_id", F.explode(F.when(F.col("n_tokens") > capacity, cut).otherwise(whole)).alias("p")).select("doc_id", "p.piece", "p.n").where("n > 0")
     # Partitions of a fixed number, in a fixed order: a lost one is made again with the same ranks.
-    parts = max(1, min(4096, spark.sparkContext.defaultParallelism * 4))
+    parts = max(1, spark.sparkContext.defaultParallelism * 4)
     held = materialize(pieces.withColumn("part", F.expr(f"cast(pmod(xxhash64(doc_id), {parts}) as int)")), "pieces")
-    seen = held.groupBy("part", "n").agg(F.count("*").alias("c")).toPandas()  # at most parts * capacity small rows
-    seen = seen.sort_values(["n", "part"])
-    seen["before"] = seen.groupby("n")["c"].cumsum() - seen["c"]
-    totals = seen.groupby("n")["c"].sum()
-    slots, _ = plan({int(k): int(v) for k, v in totals.items()}, capacity)
+    seen = held.groupBy("part", "n").agg(F.count("*").alias("c"))
+    # how many pieces of a length lie in earlier partitions; a window has as many rows as there are partitions
+    before = seen.withColumn("before", F.coalesce(F.sum("c").over(W.partitionBy("n").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select(F.col("part").alias("of"), F.col("n").alias("length"), "before")
+    totals = dict(seen.groupBy("n").agg(F.sum("c").alias("c")).collect())  # the histogram: at most `capacity` rows
+    slots, _ = plan(totals, capacity)
     table = np.array(slots, np.int64).reshape(-1, 5)
     table = table[np.lexsort((table[:, 1], table[:, 0]))]
     lengths = np.unique(table[:, 0])
     bounds = np.searchsorted(table[:, 0], np.concatenate([lengths, [capacity + 1]]))
-    before = {(int(p), int(n)): int(b) for p, n, b in zip(seen["part"], seen["n"], seen["before"])}
-    shared = spark.sparkContext.broadcast((table, {int(x): (int(a), int(b)) for x, a, b in zip(lengths, bounds, bounds[1:])}, before))
+    shared = spark.sparkContext.broadcast((table, {int(x): (int(a), int(b)) for x, a, b in zip(lengths, bounds, bounds[1:])}))
 
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        table, where, before = shared.value
-        part = int(pdf["part"].iloc[0])
+    def place(pdf: pd.DataFrame, offsets: pd.DataFrame) -> pd.DataFrame:
+        table, where = shared.value
+        before = dict(zip(offsets["length"].tolist(), offsets["before"].tolist()))
         pdf = pdf.sort_values(["n", "doc_id", "piece"], kind="stable")
         out = []
         for n, group in pdf.groupby("n", sort=True):
-            rank = before[part, int(n)] + np.arange(len(group))
+            rank = before[int(n)] + np.arange(len(group))
             lo, hi = where[int(n)]
             slot = table[lo + np.searchsorted(table[lo:hi, 1], rank, "right") - 1]
             out.append(pd.DataFrame({"doc_id": group["doc_id"].to_numpy(), "piece": group["piece"].to_numpy(), "first_token": group["piece"].to_numpy() * capacity, "n_tokens": int(n), "container": slot[:, 3] + rank - slot[:, 1], "at": slot[:, 4]}))
         return pd.concat(out)
 
-    return held.groupBy("part").applyInPandas(place, "doc_id bigint, piece int, first_token int, n_tokens int, container bigint, at int")
+    return held.groupBy("part").cogroup(before.groupBy("of")).applyInPandas(place, "doc_id bigint, piece int, first_token int, n_tokens int, container bigint, at int")
 
 
 def fill(packed: DataFrame, capacity: int) -> DataFrame:
