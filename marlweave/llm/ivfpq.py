@@ -117,6 +117,7 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = 64, probes: int = 4, d
     n = rows.count()
     if n == 0:
         return spark.createDataFrame([], "id bigint, other bigint, cosine double, rank int")
+    every, rows, copies = rows, *_distinct(rows, k)
     slots = max(1, n // sample)
     picked = rows.where(F.pmod(F.xxhash64("id"), F.lit(slots)) == 0).limit(2 * sample).toPandas()  # only of the vectors to fit on
     _, x = usable(picked["embedding"], dim)
@@ -140,7 +141,7 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = 64, probes: int = 4, d
                 yield pd.DataFrame({"list": near[asks, j].astype(np.int32), "asks": True, "id": ids[asks], "data": half})
 
     kind = "list int, asks boolean, id bigint, data binary"
-    routed = materialize(rows.withColumn("asks", F.expr(queries)).mapInPandas(route, kind), "routed")
+    routed = materialize(rows.withColumn("asks", F.lit(True) if copies is not None else F.expr(queries)).mapInPandas(route, kind), "routed")
     sizes = routed.where("NOT asks").groupBy("list").agg(F.count("*").alias("n"))
     cut = F.expr(f"cast(ceil(n / {BLOCK}) as int)")
     blocks = routed.join(sizes.select("list", cut.alias("blocks")), "list")
@@ -178,10 +179,43 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = 64, probes: int = 4, d
     found = materialize(found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "candidates")
     exact = _cosines(rows, found, dim, floor)
     sides = exact.select(F.col("a").alias("id"), F.col("b").alias("other"), "cosine").unionByName(exact.select(F.col("b").alias("id"), F.col("a").alias("other"), "cosine"))
-    ranked = sides.where(F.expr(queries)).withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy(F.col("cosine").desc(), "other")).cast("int"))
+    if copies is not None:
+        sides = _with_copies(sides, every, copies, k, floor, dim)
+    return _ranked(sides.where(F.expr(queries)), k)
+
+
+def _ranked(sides: DataFrame, k: int) -> DataFrame:
+    ranked = sides.withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy(F.col("cosine").desc(), "other")).cast("int"))
     return ranked.where(F.col("rank") <= k)
 
 
+def _distinct(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
+    """One row for each different vector, and of the vectors that several ids share (key, id) of all and their first k + 1 ids.
+
+    Only the vector with the smallest id is indexed, so that a vector shared by a third of all ids is searched once."""
+    keys = rows.select("id", F.xxhash64("embedding").alias("key")).distinct()
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n > 1").select("key", "rep")
+    shared = materialize(shared, "shared-vectors")
+    if shared.isEmpty():
+        return rows, None
+    copies = materialize(keys.join(shared, "key").select("id", "rep"), "copies")
+    return rows.join(copies.where("id <> rep").select("id"), "id", "left_anti"), copies
+
+
+def _with_copies(sides: DataFrame, rows: DataFrame, copies: DataFrame, k: int, floor: float, dim: int) -> DataFrame:
+    """Neighbours of all ids from those of the indexed ones: copies share their neighbours, and are neighbours of cosine 1."""
+    first = copies.withColumn("r", F.row_number().over(W.partitionBy("rep").orderBy("id"))).where(F.col("r") <= k + 1).select("rep", F.col("id").alias("copy"))
+    near = _ranked(sides, k).drop("rank")
+    # the answers: an indexed vector stands for its first copies
+    named = near.join(first.withColumnRenamed("rep", "other"), "other", "left").select("id", F.coalesce("copy", "other").alias("other"), "cosine")
+    named = _ranked(named.distinct(), k + 1).drop("rank")
+    # the askers: every copy asks what its vector asks
+    asked = named.join(copies.select(F.col("id").alias("copy"), F.col("rep").alias("id")), "id", "left").select(F.coalesce("copy", "id").alias("id"), "other", "cosine")
+    good = copies.select("rep").distinct().join(rows.select(F.col("id").alias("rep"), "embedding"), "rep").mapInPandas(lambda it: (pdf.loc[usable(pdf["embedding"], dim)[0], ["rep"]] for pdf in it), "rep bigint").distinct()
+    own = copies.join(good, "rep").join(first, "rep").where("id <> copy").select("id", F.col("copy").alias("other"), F.lit(1.0).alias("cosine"))
+    return asked.unionByName(own).where((F.col("id") != F.col("other")) & (F.col("cosine") >= floor))
+
+
 def _cosines(rows: DataFrame, pairs: DataFrame, dim: int, floor: float) -> DataFrame:
     """Exact cosines of pairs, those of at least floor."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()

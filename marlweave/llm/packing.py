@@ -106,7 +106,7 @@ def pack(docs: DataFrame, capacity: int, path: str = TOKENIZER) -> DataFrame:
     whole = F.array(F.struct(F.lit(0).alias("piece"), F.col("n_tokens").alias("n")))
     pieces = counts.select("doc_id", F.explode(F.when(F.col("n_tokens") > capacity, cut).otherwise(whole)).alias("p")).select("doc_id", "p.piece", "p.n").where("n > 0")
     # Partitions of a fixed number, in a fixed order: a lost one is made again with the same ranks.
-    parts = max(1, spark.sparkContext.defaultParallelism * 4)
+    parts = max(spark.sparkContext.defaultParallelism * 4, counts.count() // 200_000 + 1)
     held = materialize(pieces.withColumn("part", F.expr(f"cast(pmod(xxhash64(doc_id), {parts}) as int)")), "pieces")
     seen = held.groupBy("part", "n").agg(F.count("*").alias("c"))
     # how many pieces of a length lie in earlier partitions; a window has as many rows as there are partitions

@@ -154,6 +154,20 @@ def test_neighbours_against_brute_force(spark):
     assert ivfpq.neighbours(df.limit(0)).count() == ivfpq.neighbours(spark.createDataFrame(bad[:5], df.schema)).count() == 0
 
 
+def test_copies_of_a_vector_are_searched_once(spark):
+    r = np.random.default_rng(9)
+    x = r.normal(size=(40, 64))
+    near = x[0] + 0.1 * r.normal(size=64)
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(x)] + [(1000 + i, [float(v) for v in x[0]]) for i in range(200)] + [(500, [float(v) for v in near])] + [(2000 + i, [0.0] * 64) for i in range(9)]
+    got = {}
+    for g in ivfpq.neighbours(spark.createDataFrame(rows, "id bigint, embedding array<float>"), k=3, floor=0.9).collect():
+        got.setdefault(g.id, []).append((g.rank, g.other))
+    assert [o for _, o in sorted(got[0])] == [1000, 1001, 1002]
+    assert [o for _, o in sorted(got[1000])] == [0, 1001, 1002] and [o for _, o in sorted(got[1199])] == [0, 1000, 1001]
+    assert [o for _, o in sorted(got[500])] == [0, 1000, 1001]
+    assert set(got) == {0, 500, *range(1000, 1200)}
+
+
 # 8: packing
 
 
