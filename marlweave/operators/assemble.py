@@ -150,6 +150,21 @@ def accumulated(prose: DataFrame, limit: int = 12_000) -> DataFrame:
     return kept.groupBy("tenant_id", "source_key").agg(F.count("*").alias("chunks"), F.least(F.lit(limit), total).cast("bigint").alias("chars"))
 
 
+#: Fixed value: what marks a text that was cut.
+CUT = "\n\n[... truncated ...]"
+
+
+def accumulated_text(prose: DataFrame, limit: int = 12_000) -> DataFrame:
+    """(tenant_id, source_key, text): what accumulated() counts, joined by blank lines; a text that was cut ends with a mark."""
+    w = W.partitionBy("tenant_id", "source_key").orderBy(F.col("position").isNull(), "position", "id")
+    before = F.coalesce(F.sum(F.length("content") + 2).over(w.rowsBetween(W.unboundedPreceding, -1)) - 2, F.lit(0))
+    kept = prose.withColumn("before", before).where(F.col("before") <= limit)
+    chunks = F.sort_array(F.collect_list(F.struct(F.col("before").alias("b"), "id", F.col("content").alias("c"))))
+    whole = F.concat_ws("\n\n", F.transform(chunks, lambda x: x["c"]))
+    joined = kept.groupBy("tenant_id", "source_key").agg(whole.alias("whole"))
+    return joined.select("tenant_id", "source_key", F.when(F.length("whole") > limit, F.concat(F.substring("whole", 1, limit), F.lit(CUT))).otherwise(F.col("whole")).alias("text"))
+
+
 def structure(docs: DataFrame) -> DataFrame:
     """(kind, src, dst): PART_OF from documents to their source, HAS_SUMMARY from sources to their cards."""
     card = F.coalesce(F.get_json_object("metadata", "$.is_catalogue_card") == "true", F.lit(False))
@@ -171,7 +186,7 @@ def containing(entities: DataFrame, docs: DataFrame, least: int = 3) -> DataFram
     Instead of trying every name on every text, each text looks up its own runs of as many words as names have."""
     words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
     names = entities.where(F.length("norm") >= least).select(F.col("id").alias("entity_id"), "tenant_id", words(F.col("norm")).alias("w")).where("size(w) > 0").select("entity_id", "tenant_id", F.size("w").alias("n"), F.concat_ws(" ", "w").alias("run"))
-    sizes = [r[0] for r in names.select("n").distinct().where("n <= 8").collect()]
+    sizes = sorted(r[0] for r in names.select("n").distinct().collect())  # as many rows as there are word counts of names
     texts = docs.select(F.col("id").alias("doc_id"), "tenant_id", words(F.col("content")).alias("w"))
     runs: Column = F.flatten(F.array(*[F.expr(f"CASE WHEN size(w) >= {n} THEN transform(sequence(1, size(w) - {n - 1}), i -> concat_ws(' ', slice(w, i, {n}))) ELSE array() END") for n in sizes])) if sizes else F.array().cast("array<string>")
     return texts.select("doc_id", "tenant_id", F.explode(F.array_distinct(runs)).alias("run")).join(names, ["tenant_id", "run"]).select("doc_id", "entity_id").distinct()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.extract import LABELS, VERBS
+from ..functions.extract import LABELS, STATES, VERBS
 from ..functions.vectors import is_valid, square_norm
 from ..operators import assemble as A
 from ..operators import checks as C
@@ -408,3 +408,34 @@ def _segmented(g: Graph) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["id", "at", "n"])
 
     return g.docs.where("content <> ''").select("id", "content").mapInPandas(run, "id string, at bigint, n bigint").groupBy("id").agg(F.sum("n").alias("chars"))
+
+
+# The rest of the pipeline
+
+query("j02_collection_mentions", f"SELECT doc_id, count(*) AS n FROM men WHERE doc_id IN (SELECT id FROM {_M}) GROUP BY doc_id", "men", "docs")(lambda g: g.mentions.join(g.mine.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(F.count("*").alias("n")))
+query("j12_delete_outer", "SELECT tenant_id, collection FROM (SELECT DISTINCT tenant_id, collection FROM docs) WHERE collection <> 'episodic'", "docs")(lambda g: g.docs.select("tenant_id", "collection").distinct().join(g.docs.where("collection = 'episodic'").select("tenant_id", "collection").distinct(), ["tenant_id", "collection"], "left_anti"))
+query("f14_proximity_types", "SELECT type, count(*) AS n FROM (SELECT CASE WHEN contains(t, 'is a') OR contains(t, 'are a') THEN 'IS_A' WHEN contains(t, 'based on') THEN 'BASED_ON' ELSE 'RELATED_TO' END AS type FROM (SELECT lower(content) AS t FROM docs WHERE content IS NOT NULL)) GROUP BY type", "docs")(lambda g: g.docs.where("content IS NOT NULL").groupBy(T.proximity_type(F.col("content")).alias("type")).agg(F.count("*").alias("n")))
+query("f17_merged_metadata", "WITH m AS (SELECT entity_id, list(DISTINCT doc_id) AS d, max(confidence) AS c FROM men GROUP BY entity_id) SELECT id, len(list_distinct(list_concat(documents, coalesce(d, []))))::BIGINT AS documents, greatest(confidence, c) AS confidence FROM ents LEFT JOIN m ON entity_id = id", "men", "ents")(lambda g: _merged(g))
+query("f22_phase_states", f"WITH st AS ({_STATUS}) SELECT source_key, phase, CASE WHEN state IN ('done', 'skipped', 'not_ready', 'running', 'pending', 'error') THEN state ELSE 'error' END AS state FROM st", "docs")(lambda g: g.status().select("source_key", "phase", F.when(F.col("state").isin(*STATES), F.col("state")).otherwise("error").alias("state")))
+query("r01_recall_defaults", f"SELECT id, round(score, 6) AS score FROM (SELECT id, {_COS} AS score FROM dvec ORDER BY score DESC, id LIMIT 10) WHERE score >= 0.7 AND id IN (SELECT id FROM {_M}) ORDER BY score DESC, id LIMIT 5", "docs", "dvec")(lambda g: R.recall(g.mine, g.own_entities, g.mentions, g.own_relations, g.doc_vectors, None, [], g.query_vector(), None, 0.0).select("id", F.round("score", 6).alias("score")))
+query("r02_query_entities", "SELECT unnest(['redis', 'glossary']) AS name")(lambda g: I.query_entities(g.spark, "Does the Glossary name Redis or redis?", EXTRA))
+query("x03_source_phase", rf"SELECT md5(tenant_id || ':' || n) AS key, count(DISTINCT id) AS documents FROM (SELECT id, tenant_id, {NORM % 'k'} AS n FROM (SELECT id, tenant_id, unnest(regexp_extract_all(content, '[A-Z][a-z]+')) AS k FROM ({_PROSE}) WHERE source_key = '{SOURCE}')) WHERE n <> '' GROUP BY 1", "docs")(lambda g: I.source_phase(g.docs, SOURCE)[0].select("key", F.size("documents").cast("bigint").alias("documents")))
+query("m13_concept_texts", f"SELECT tenant_id, source_key, md5(CASE WHEN length(t) > 12000 THEN substr(t, 1, 12000) || chr(10) || chr(10) || '[... truncated ...]' ELSE t END) AS text FROM (SELECT tenant_id, source_key, string_agg(content, chr(10) || chr(10) ORDER BY chunk_index NULLS LAST, id) AS t FROM (SELECT *, coalesce(sum(length(content) + 2) OVER (PARTITION BY tenant_id, source_key ORDER BY chunk_index IS NULL, chunk_index, id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 2, 0) AS before FROM ({_PROSE})) WHERE before <= 12000 GROUP BY ALL)", "docs")(lambda g: A.accumulated_text(S.prose(g.docs)).select("tenant_id", "source_key", F.md5("text").alias("text")))
+query("m13_concept_recompute", None)(lambda g: _recomputed(g))
+query("v06_dependent_phases", "SELECT unnest(['llm', 'ner', 'similarity']) AS phase")(lambda g: g.spark.createDataFrame([(p,) for p in C.dependents({"embedding": ["parsing"], "ner": ["embedding"], "llm": ["ner"], "similarity": ["embedding"]}, "embedding")], "phase string"))
+
+
+def _merged(g: Graph) -> DataFrame:
+    m = g.mentions.groupBy(F.col("entity_id").alias("id")).agg(F.collect_set("doc_id").alias("d"), F.max("confidence").alias("c"))
+    e = g.entities.join(m, "id", "left")
+    documents, confidence = I.merged_metadata(F.col("documents"), F.col("d"), F.col("confidence"), F.col("c"))
+    return e.select("id", F.size(documents).cast("bigint").alias("documents"), confidence.alias("confidence"))
+
+
+def _recomputed(g: Graph) -> DataFrame:
+    """Concepts of every source by the stub model, written as a new generation."""
+    texts = A.accumulated_text(S.prose(g.docs)).withColumn("k", F.concat_ws("|", "tenant_id", "source_key"))
+    said = I.concepts(texts.select(F.col("k").alias("source_key"), "text"), _stub, {"TERM"}, set()).where("state = 'done'")
+    found = said.select(F.split("source_key", r"\|")[0].alias("tenant_id"), F.explode("concepts").alias("c")).select(T.entity_key(F.col("tenant_id"), F.col("c.text")).alias("key"), F.col("c.text").alias("name"), F.col("c.type").alias("type"))
+    new = found.groupBy("key").agg(F.min("name").alias("name"), F.min("type").alias("type"))
+    return A.upsert_concepts(_old_nodes(g), new, "g3").where("concept_gen = 'g3'").select("key", "type", "concept_gen")

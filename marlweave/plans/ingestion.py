@@ -9,12 +9,13 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.extract import LABELS, NAMED_CONFIDENCE, TECHNOLOGY_CONFIDENCE, TECHNOLOGY_PATTERNS, UNKNOWN_CONFIDENCE, VERBS, answer, segments
 from ..functions.text import entity_key, has_pairs, normalize_name
-from ..operators.assemble import CO_OCCURRING, NEAR
+from ..operators.assemble import CO_OCCURRING, NEAR, fold_weights, merge_entities, merge_mentions
+from ..operators.scan import prose
 from ..session import ship
 
 #: text to (name, label, start, end)
@@ -106,6 +107,21 @@ def graph_rows(extracted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return e.select("key", "tenant_id", "name", "type", "doc_id", "confidence"), m, r.where("src <> dst")
 
 
+def source_phase(docs: DataFrame, source_key: str, recognise: Recogniser = capitals) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entities (key, name, type, documents, confidence), mentions and folded relations of one source's prose: what its phase writes after the purge."""
+    entities, mentions, relations = graph_rows(extract(prose(docs.where(F.col("source_key") == source_key)), recognise))
+    merged = merge_entities(entities.withColumn("ord", F.struct("doc_id", "name")))
+    folded = fold_weights(relations.withColumn("ord", F.concat_ws("|", "doc_id", "src", "dst", "type")), ["src", "dst", "type"], "ord")
+    return merged, merge_mentions(mentions.withColumnRenamed("key", "entity_id")), folded
+
+
+def query_entities(spark: SparkSession, text: str, extra_patterns: list[str] | None = None) -> DataFrame:
+    """(name): the technologies of a query, lower-cased and stripped; articles stay."""
+    patterns = [re.compile(p, re.I) for p in [*TECHNOLOGY_PATTERNS, *(extra_patterns or [])]]
+    entities, _ = extract_text(text, lambda t: [], patterns)
+    return spark.createDataFrame([(n,) for n in dict.fromkeys(e[0].strip().lower() for e in entities)], "name string")
+
+
 def concepts(texts: DataFrame, model: Callable[[str], str], concept_types: set[str], relation_types: set[str], enabled: bool = True) -> DataFrame:
     """(source_key, state, concepts, relations, dropped) of each source's accumulated text (source_key, text).
 
