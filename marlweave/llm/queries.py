@@ -129,6 +129,13 @@ _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, targ
 SQL: dict[str, str] = {
     "p2_counts": _PAIRS,
     "p2_found": f"SELECT tenant_id, name_a, name_b FROM ({_PAIRS})",
+    "p1_found": """WITH e AS (SELECT entity_id AS id, any_value(embedding)::DOUBLE[] AS v FROM entity WHERE len(embedding) = 64 GROUP BY entity_id), u AS (SELECT * FROM e WHERE isfinite(list_dot_product(v, v)) AND list_dot_product(v, v) > 0),
+        s AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS c FROM u a JOIN u b ON a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS k FROM s WHERE c >= 0.9)
+        SELECT DISTINCT least(a, b) AS entity_id_a, greatest(a, b) AS entity_id_b FROM r WHERE k <= 5""",
+    "p7_found": r"""WITH d AS (SELECT DISTINCT document_id AS id, regexp_extract_all(lower(content), '[\pL\pN]+') AS w FROM document_with_entities WHERE content IS NOT NULL),
+        g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k+2], ' '))) AS s FROM d), n AS (SELECT id, count(*) AS c FROM g GROUP BY id HAVING count(*) >= 10),
+        p AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY ALL)
+        SELECT a AS document_id_a, b AS document_id_b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 2 * k >= x.c + y.c - k""",
     "p9_found": r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w FROM documents WHERE text IS NOT NULL),
         i AS (SELECT item_id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w FROM eval_item WHERE text IS NOT NULL),
         dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k+11], ' '))) AS g FROM d),
