@@ -10,7 +10,7 @@ from ..functions.text import proximity_type, strip
 
 #: Window of proximity in characters, entities up to which all pairs co-occur, rows of a write batch and ids of a delete batch.
 NEAR, CO_OCCURRING, WRITE_BATCH, DELETE_BATCH = 100, 10, 5000, 100
-LAST = 64
+LAST, MANY_NAMES = 64, 256
 
 
 def best_per_name(extracted: DataFrame) -> DataFrame:
@@ -23,13 +23,10 @@ def best_per_name(extracted: DataFrame) -> DataFrame:
 
 def technologies(docs: DataFrame, patterns: list[str], confidence: float = 0.85) -> DataFrame:
     """(doc_id, name, start, confidence): each technology of a document with the place of its first hit. Patterns have one group."""
-    out = None
-    for p in patterns:
-        found = F.explode(F.array_distinct(F.transform(F.regexp_extract_all("content", F.lit(f"(?iu){p}"), F.lit(1)), F.lower))).alias("key")
-        rows = docs.where(F.col("content").rlike(f"(?iu){p}")).select(F.col("id").alias("doc_id"), "content", found)
-        rows = rows.select("doc_id", F.col("key").alias("name"), (F.expr("locate(key, lower(content))") - 1).alias("start"))
-        out = rows if out is None else out.unionByName(rows)
-    return out.groupBy("doc_id", "name").agg(F.min("start").alias("start")).withColumn("confidence", F.lit(confidence))
+    any_of = "(?iu)" + "|".join(f"(?:{p})" for p in patterns)
+    hits = F.flatten(F.array(*[F.regexp_extract_all("content", F.lit(f"(?iu){p}"), F.lit(1)) for p in patterns]))
+    rows = docs.where(F.col("content").rlike(any_of)).select(F.col("id").alias("doc_id"), "content", F.explode(F.array_distinct(F.transform(hits, F.lower))).alias("name"))
+    return rows.select("doc_id", "name", (F.expr("locate(name, lower(content))") - 1).alias("start"), F.lit(confidence).alias("confidence"))
 
 
 def proximity(entities: DataFrame, docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -137,15 +134,42 @@ def next_edges(docs: DataFrame) -> DataFrame:
     rows = docs.where(~card).select("id", "tenant_id", "source_key", "created_at", place.alias("place"))
     placed = rows.groupBy("tenant_id", "source_key").agg(F.max("place").alias("some"))
     rows = rows.join(placed, ["tenant_id", "source_key"]).where("some IS NULL OR place IS NOT NULL")
-    w = W.partitionBy("tenant_id", "source_key").orderBy("place", "created_at", "id")
-    return rows.select(F.col("id").alias("src"), F.lead("id").over(w).alias("dst")).where("dst IS NOT NULL")
+    return _following(rows, ["tenant_id", "source_key"])
+
+
+def _following(rows: DataFrame, key: list[str]) -> DataFrame:
+    """(src, dst): neighbours within a key in the order of place, created_at and id.
+
+    A key is cut into the rows of one place and hour; neighbours are found inside those, and the last of one leads to the
+    first of the next. No task sorts a whole key, however many rows it has."""
+    cut = [*key, "place", "hour"]
+    rows = rows.withColumn("hour", F.date_trunc("hour", "created_at"))
+    inner = rows.select(*cut, F.col("id").alias("src"), F.lead("id").over(W.partitionBy(*cut).orderBy("created_at", "id")).alias("dst"))
+    order = F.struct("created_at", "id")
+    ends = rows.groupBy(*cut).agg(F.min_by("id", order).alias("first"), F.max_by("id", order).alias("last"))
+    outer = ends.select(F.col("last").alias("src"), F.lead("first").over(W.partitionBy(*key).orderBy("place", "hour")).alias("dst"))
+    return inner.select("src", "dst").unionByName(outer).where("dst IS NOT NULL")
+
+
+def numbered(rows: DataFrame, key: list[str]) -> DataFrame:
+    """rows with n, the place of each within its key from 0 in the order of created_at and id, counted by days so that no task sorts a whole key."""
+    cut = [*key, "day"]
+    rows = rows.withColumn("day", F.date_trunc("day", "created_at"))
+    days = rows.groupBy(*cut).agg(F.count("*").alias("c"))
+    before = days.select(*cut, F.coalesce(F.sum("c").over(W.partitionBy(*key).orderBy("day").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    inner = rows.withColumn("r", F.row_number().over(W.partitionBy(*cut).orderBy("created_at", "id")) - 1)
+    same = [F.col(f"x.{c}").eqNullSafe(F.col(f"y.{c}")) for c in cut]
+    joined = inner.alias("x").join(before.alias("y"), same)
+    return joined.select("x.*", (F.col("x.r") + F.col("y.before")).alias("n")).drop("r", "day")
 
 
 def accumulated(prose: DataFrame, limit: int = 12_000) -> DataFrame:
     """(tenant_id, source_key, chunks, chars): how much of each source's text a language model gets: chunks in order until the text before exceeds the limit, then cut to it."""
     w = W.partitionBy("tenant_id", "source_key").orderBy(F.col("position").isNull(), "position", "id")
     before = F.coalesce(F.sum(F.length("content") + 2).over(w.rowsBetween(W.unboundedPreceding, -1)) - 2, F.lit(0))
-    kept = prose.withColumn("before", before).where(F.col("before") <= limit)
+    # a chunk adds at least three characters: what comes after limit / 3 chunks can't count, and goes before the sums
+    near = prose.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit // 3 + 2).drop("_r")
+    kept = near.withColumn("before", before).where(F.col("before") <= limit)
     total = F.sum(F.length("content")) + 2 * (F.count("*") - 1)
     return kept.groupBy("tenant_id", "source_key").agg(F.count("*").alias("chunks"), F.least(F.lit(limit), total).cast("bigint").alias("chars"))
 
@@ -158,7 +182,9 @@ def accumulated_text(prose: DataFrame, limit: int = 12_000) -> DataFrame:
     """(tenant_id, source_key, text): what accumulated() counts, joined by blank lines; a text that was cut ends with a mark."""
     w = W.partitionBy("tenant_id", "source_key").orderBy(F.col("position").isNull(), "position", "id")
     before = F.coalesce(F.sum(F.length("content") + 2).over(w.rowsBetween(W.unboundedPreceding, -1)) - 2, F.lit(0))
-    kept = prose.withColumn("before", before).where(F.col("before") <= limit)
+    # a chunk adds at least three characters: what comes after limit / 3 chunks can't count, and goes before the sums
+    near = prose.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit // 3 + 2).drop("_r")
+    kept = near.withColumn("before", before).where(F.col("before") <= limit)
     chunks = F.sort_array(F.collect_list(F.struct(F.col("before").alias("b"), "id", F.col("content").alias("c"))))
     whole = F.concat_ws("\n\n", F.transform(chunks, lambda x: x["c"]))
     joined = kept.groupBy("tenant_id", "source_key").agg(whole.alias("whole"))
@@ -175,8 +201,18 @@ def structure(docs: DataFrame) -> DataFrame:
 def co_mentioned(edges: DataFrame, entities: DataFrame, mentions: DataFrame, docs: DataFrame) -> DataFrame:
     """(tenant_id, src, dst, keys): for each edge the sources of documents that mention both ends."""
     m = mentions.join(entities.select(F.col("id").alias("entity_id"), "norm"), "entity_id").join(docs.select(F.col("id").alias("doc_id"), "tenant_id", "source_key"), "doc_id").select("tenant_id", "doc_id", "source_key", "norm").distinct()
-    a, b = (m.select("tenant_id", "doc_id", "source_key", F.col("norm").alias(c)) for c in ("src", "dst"))
-    met = edges.select("tenant_id", "src", "dst").distinct().join(a, ["tenant_id", "src"]).join(b, ["tenant_id", "doc_id", "source_key", "dst"])
+    wanted = edges.select("tenant_id", "src", "dst").distinct()
+    ends = wanted.select("tenant_id", F.explode(F.array("src", "dst")).alias("norm")).distinct()
+    m = m.join(ends, ["tenant_id", "norm"], "left_semi")
+    # A usual document gives its own pairs, so a name in very many documents costs no more than its mentions; a document
+    # with very many names is met from the edges instead, so it never gives all its pairs.
+    many = m.groupBy("doc_id").agg(F.count("*").alias("names")).where(F.col("names") > MANY_NAMES).select("doc_id")
+    few, wide = m.join(many, "doc_id", "left_anti"), m.join(many, "doc_id", "left_semi")
+    side = lambda df, c: df.select("tenant_id", "doc_id", "source_key", F.col("norm").alias(c))
+    place = ["tenant_id", "doc_id", "source_key"]
+    met = side(few, "src").join(side(few, "dst"), place).where("src <> dst").join(wanted, ["tenant_id", "src", "dst"], "left_semi")
+    rest = wanted.join(side(wide, "src"), ["tenant_id", "src"]).join(side(wide, "dst"), [*place, "dst"], "left_semi")
+    met = met.select("tenant_id", "src", "dst", "source_key").unionByName(rest.select("tenant_id", "src", "dst", "source_key"))
     return met.groupBy("tenant_id", "src", "dst").agg(F.concat_ws(",", F.sort_array(F.collect_set("source_key"))).alias("keys"))
 
 

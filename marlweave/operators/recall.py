@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 from ..functions.vectors import is_valid, score
 from ..session import materialize
 
+#: Vectors in a block of an exact comparison.
+BLOCK = 10_000
+
 
 def visible(entities: DataFrame, active: str | None) -> DataFrame:
     """Nodes of the base graph and of the active concept generation."""
@@ -34,6 +37,7 @@ def hops(edges: DataFrame, names: list[str], depth: int) -> DataFrame:
     One join for each step; the frontier holds only names that are new, so a name is expanded once."""
     spark = edges.sparkSession
     both = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b"))).distinct()
+    both = materialize(both, "edges")  # read again in every step
     seen = frontier = spark.createDataFrame([(n, 0) for n in names], "name string, hop int")
     for step in range(1, depth + 1):
         reached = both.join(frontier.select(F.col("name").alias("a")), "a").select(F.col("b").alias("name")).distinct()
@@ -115,7 +119,7 @@ def similar(vectors: DataFrame, queries: DataFrame, collection: DataFrame, k: in
     import numpy as np
     import pandas as pd
 
-    blocks = 8
+    blocks = max(4, -(-vectors.count() // BLOCK))
     held = vectors.where(is_valid(F.col("vector"))).select("id", "vector")
     ask = queries.where(is_valid(F.col("vector"))).select("id", "vector")
     part = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
@@ -130,9 +134,12 @@ def similar(vectors: DataFrame, queries: DataFrame, collection: DataFrame, k: in
         x, y = (z / np.linalg.norm(z, axis=1, keepdims=True) for z in (x, y))
         names = b["id"].to_numpy()
         order = np.argsort(names, kind="stable")
-        s = (1 + x @ y[order].T) / 2
-        near = np.argsort(-s, axis=1, kind="stable")[:, :k]
-        return pd.DataFrame({"src": np.repeat(a["id"].to_numpy(), near.shape[1]), "dst": names[order][near.ravel()], "score": np.take_along_axis(s, near, 1).ravel()})
+        out = []
+        for lo in range(0, len(x), 1024):
+            s = (1 + x[lo : lo + 1024] @ y[order].T) / 2
+            near = np.argsort(-s, axis=1, kind="stable")[:, :k]
+            out.append(pd.DataFrame({"src": np.repeat(a["id"].to_numpy()[lo : lo + 1024], near.shape[1]), "dst": names[order][near.ravel()], "score": np.take_along_axis(s, near, 1).ravel()}))
+        return pd.concat(out)
 
     local = index.unionByName(asked).groupBy("q", "m").applyInPandas(best, "src string, dst string, score double")
     ranked = local.withColumn("r", F.row_number().over(W.partitionBy("src").orderBy(F.round("score", 9).desc(), "dst"))).where(F.col("r") <= k)

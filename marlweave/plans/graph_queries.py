@@ -259,9 +259,8 @@ query("f21_default_chunk_index", "SELECT id, coalesce(chunk_index, row_number()
 
 
 def _default_index(g: Graph) -> DataFrame:
-    from pyspark.sql import Window as W
-
-    return g.docs.select("id", F.coalesce("chunk_index", F.row_number().over(W.partitionBy("tenant_id", "source_key").orderBy("created_at", "id")) - 1).cast("bigint").alias("chunk_index"))
+    n = A.numbered(g.docs.select("id", "tenant_id", "source_key", "created_at", "chunk_index"), ["tenant_id", "source_key"])
+    return n.select("id", F.coalesce(F.col("chunk_index").cast("bigint"), F.col("n")).alias("chunk_index"))
 
 
 query("w01_next_edges", f"SELECT src, dst FROM (SELECT id AS src, lead(id) OVER (PARTITION BY tenant_id, source_key ORDER BY chunk_index NULLS FIRST, created_at, id) AS dst FROM (SELECT *, max(chunk_index) OVER (PARTITION BY tenant_id, source_key) AS most FROM docs WHERE NOT {_CARD}) WHERE most IS NULL OR chunk_index IS NOT NULL) WHERE dst IS NOT NULL", "docs")(lambda g: A.next_edges(g.docs))
