@@ -150,3 +150,46 @@ def test_entry_points(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert len(e.queries()) > 90
+
+
+def test_neighbours_and_ranks_of_a_hot_source(spark):
+    import random
+    from datetime import datetime, timedelta
+
+    r = random.Random(1)
+    start = datetime(2025, 1, 1)
+    rows = [(f"d{i:03}", "t", r.choice(["s", "s", "s", "u"]), start + timedelta(minutes=r.randrange(5000)), r.choice([0, 1, 2]), "{}") for i in range(200)]
+    docs = frame(spark, rows, "id string, tenant_id string, source_key string, created_at timestamp, chunk_index int, metadata string")
+    want = set()
+    for s in "su":
+        order = [x[0] for x in sorted((x for x in rows if x[2] == s), key=lambda x: (x[4], x[3], x[0]))]
+        want |= set(zip(order, order[1:]))
+    assert {(x.src, x.dst) for x in A.next_edges(docs).collect()} == want
+    for s in "su":
+        order = [x[0] for x in sorted((x for x in rows if x[2] == s), key=lambda x: (x[3], x[0]))]
+        got = {x.id: x.n for x in A.numbered(docs, ["tenant_id", "source_key"]).where(F.col("source_key") == s).collect()}
+        assert got == {d: i for i, d in enumerate(order)}
+
+
+def test_co_mentions_of_usual_and_wide_documents(spark, monkeypatch):
+    entities = frame(spark, [(i, f"n{i}") for i in range(12)], "id bigint, norm string")
+    mentions = frame(spark, [("wide", i) for i in range(12)] + [("a", 0), ("a", 1), ("b", 1), ("b", 2)], "doc_id string, entity_id bigint")
+    docs = frame(spark, [("wide", "t", "w"), ("a", "t", "x"), ("b", "t", "y")], "id string, tenant_id string, source_key string")
+    edges = frame(spark, [("t", "n0", "n1"), ("t", "n1", "n2"), ("t", "n5", "n4"), ("t", "n0", "gone"), ("u", "n0", "n1")], "tenant_id string, src string, dst string")
+    want = {("n0", "n1"): "w,x", ("n1", "n2"): "w,y", ("n5", "n4"): "w"}
+    for most in (256, 5, 0):
+        monkeypatch.setattr(A, "MANY_NAMES", most)
+        assert {(x.src, x.dst): x["keys"] for x in A.co_mentioned(edges, entities, mentions, docs).collect()} == want
+
+
+def test_technologies_come_from_one_scan(spark):
+    docs = frame(spark, [("a", "Redis and redis, then Go."), ("b", "nothing"), ("c", None)], "id string, content string")
+    got = {tuple(x) for x in A.technologies(docs, [r"\b(Redis|MySQL)\b", r"\b(Go)\b"]).collect()}
+    assert got == {("a", "redis", 0, 0.85), ("a", "go", 22, 0.85)}
+
+
+def test_containing_finds_names_of_any_length(spark):
+    long = " ".join(f"w{i}" for i in range(12))
+    entities = frame(spark, [(1, "t", long), (2, "t", "go"), (3, "t", "red fox"), (4, "u", "red fox")], "id bigint, tenant_id string, norm string")
+    docs = frame(spark, [("a", "t", f"x {long.upper()}, the red-fox"), ("b", "t", "redfox go"), ("c", "t", None)], "id string, tenant_id string, content string")
+    assert {tuple(x) for x in A.containing(entities, docs).collect()} == {("a", 1), ("a", 3)}
