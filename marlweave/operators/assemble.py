@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import proximity_type, strip
+from ..session import materialize
 
 #: Window of proximity in characters, entities up to which all pairs co-occur, rows of a write batch and ids of a delete batch.
 NEAR, CO_OCCURRING, WRITE_BATCH, DELETE_BATCH = 100, 10, 5000, 100
@@ -203,7 +204,7 @@ def co_mentioned(edges: DataFrame, entities: DataFrame, mentions: DataFrame, doc
     m = mentions.join(entities.select(F.col("id").alias("entity_id"), "norm"), "entity_id").join(docs.select(F.col("id").alias("doc_id"), "tenant_id", "source_key"), "doc_id").select("tenant_id", "doc_id", "source_key", "norm").distinct()
     wanted = edges.select("tenant_id", "src", "dst").distinct()
     ends = wanted.select("tenant_id", F.explode(F.array("src", "dst")).alias("norm")).distinct()
-    m = m.join(ends, ["tenant_id", "norm"], "left_semi")
+    m = materialize(m.join(ends, ["tenant_id", "norm"], "left_semi"), "named-mentions")
     # A usual document gives its own pairs, so a name in very many documents costs no more than its mentions; a document
     # with very many names is met from the edges instead, so it never gives all its pairs.
     many = m.groupBy("doc_id").agg(F.count("*").alias("names")).where(F.col("names") > MANY_NAMES).select("doc_id")

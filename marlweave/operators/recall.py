@@ -104,6 +104,9 @@ def recall(docs: DataFrame, entities: DataFrame, mentions: DataFrame, edges: Dat
     if not query or not any(query):
         return rerank(empty, empty, empty, 0)
     k, threshold = k or 5, threshold or 0.7
+    # read by every signal: the few columns of the nodes and the ids of the documents that count
+    entities = materialize(entities.select("id", "norm", "concept_gen"), "nodes")
+    docs = materialize(docs.select("id"), "document-ids")
     d = direct(docs, entities, mentions, names, k) if names else empty
     r = related(docs, entities, mentions, edges, names, k, depth, decay, active) if names else empty
     e = by_entity_vector(docs, entities, mentions, entity_vectors, query, 2 * k, k) if entity_vectors is not None else empty

@@ -16,7 +16,7 @@ from ..functions.extract import LABELS, NAMED_CONFIDENCE, TECHNOLOGY_CONFIDENCE,
 from ..functions.text import entity_key, has_pairs, normalize_name
 from ..operators.assemble import CO_OCCURRING, NEAR, fold_weights, merge_entities, merge_mentions
 from ..operators.scan import prose
-from ..session import ship
+from ..session import ship, spread
 
 #: text to (name, label, start, end)
 Recogniser = Callable[[str], list[tuple[str, str, int, int]]]
@@ -95,7 +95,7 @@ def extract(docs: DataFrame, recognise: Recogniser = capitals, extra_patterns: l
             if len(out):
                 yield out
 
-    return docs.select(F.col("id").alias("doc_id"), "tenant_id", "content").mapInPandas(run, f"doc_id string, tenant_id string, entities {_ENTITY}, relations {_RELATION}")
+    return spread(docs.select(F.col("id").alias("doc_id"), "tenant_id", "content")).mapInPandas(run, f"doc_id string, tenant_id string, entities {_ENTITY}, relations {_RELATION}")
 
 
 def graph_rows(extracted: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
