@@ -84,12 +84,6 @@ def drop_written() -> None:
             return
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """The rows over at least as many partitions as there are cores, so that a table of few files doesn't leave cores idle; larger ones stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def splits(spark: SparkSession) -> int:
     """Partitions of a shuffle that is to keep every core busy."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
