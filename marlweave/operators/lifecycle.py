@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import entity_key, normalize_name
 from ..functions.vectors import is_valid
+from ..session import materialize
 
 
 def without(rows: DataFrame, gone: DataFrame, key: str, gone_key: str = "id") -> DataFrame:
@@ -75,15 +77,47 @@ def orphan_sources(source_files: DataFrame, docs: DataFrame) -> DataFrame:
     return source_files.join(docs.select("tenant_id", "source_key").distinct(), ["tenant_id", "source_key"], "left_anti")
 
 
+def _technology(entities: DataFrame) -> Column:
+    """Whether a node is a TECHNOLOGY by its type or, where it has them, one of its types."""
+    own = F.col("type") == "TECHNOLOGY"
+    return F.coalesce(own | F.array_contains("types", "TECHNOLOGY") if "types" in entities.columns else own, F.lit(False))
+
+
+def upsert_technologies(entities: DataFrame, hits: DataFrame, provenance: DataFrame, confidence: float = 0.85) -> dict[str, DataFrame]:
+    """Nodes and provenance after writing the technologies that were found, and found (doc_id, entity_id): the node of each hit.
+
+    hits has doc_id, tenant_id and name. A node is known by tenant and normalized name: a hit goes to the TECHNOLOGY nodes
+    of its name, else to the first node of it, which keeps its type and gains TECHNOLOGY among its types, else to a new
+    one. As source document a node gains the first of its hits; provenance has them all."""
+    place = ["tenant_id", "norm"]
+    hits = materialize(hits.select("doc_id", "tenant_id", normalize_name(F.col("name")).alias("norm")).where("norm <> ''").distinct(), "technologies")
+    terms = hits.groupBy(*place).agg(F.min("doc_id").alias("_doc"))
+    held = entities.select("id", *place, _technology(entities).alias("tech")).join(terms, place)
+    first = held.groupBy(*place).agg(F.min("id").alias("first"), F.max("tech").alias("some"))
+    old = held.join(first, place).where("tech OR (NOT some AND id = first)").select("id", *place, "_doc")
+    key = entity_key(F.col("tenant_id"), F.col("norm"))
+    numbers = dict(entities.dtypes)["id"] != "string"
+    new = terms.join(first, place, "left_anti").select((F.conv(F.substring(key, 1, 15), 16, 10).cast("bigint") if numbers else key).alias("id"), *place, "_doc")
+    there = F.col("_name").isNotNull()
+    kept = entities.join(old.select("id", F.col("norm").alias("_name"), "_doc"), "id", "left")
+    kept = kept.withColumns({
+        "name": F.coalesce("_name", "name"), "type": F.when(there, F.coalesce("type", F.lit("TECHNOLOGY"))).otherwise(F.col("type")), "types": F.when(there, F.array_union(F.coalesce("types", F.array().cast("array<string>")), F.array(F.lit("TECHNOLOGY")))).otherwise(F.col("types")),
+        "confidence": F.when(there, F.greatest("confidence", F.lit(confidence))).otherwise(F.col("confidence")), "documents": F.when(there, F.array_union("documents", F.array("_doc"))).otherwise(F.col("documents")), "tracked": there | F.col("tracked"),
+    }).drop("_name", "_doc")
+    made = new.select("id", *place, F.col("norm").alias("name"), F.lit("TECHNOLOGY").alias("type"), F.array(F.lit("TECHNOLOGY")).alias("types"), F.lit(confidence).alias("confidence"), F.array("_doc").alias("documents"), F.lit(True).alias("tracked"))
+    found = materialize(hits.join(old.select("id", *place).unionByName(new.select("id", *place)), place).select("doc_id", F.col("id").alias("entity_id")).distinct(), "technology-mentions")
+    return {"entities": kept.unionByName(made, allowMissingColumns=True), "provenance": provenance.select("doc_id", "entity_id").unionByName(found).distinct(), "found": found}
+
+
 def refresh_technologies(entities: DataFrame, mentions: DataFrame, found: DataFrame, provenance: DataFrame) -> dict[str, DataFrame]:
-    """Mentions and nodes after extracting technologies anew. found has doc_id and entity_id of all current hits.
+    """Mentions and nodes after extracting technologies anew. found has doc_id and entity_id of all current hits, whose nodes are there (upsert_technologies).
 
-    Mentions of TECHNOLOGY nodes that weren't found again go; TECHNOLOGY nodes with neither mention nor provenance are
-    pruned; nothing else changes, and a second run changes nothing."""
-    tech = entities.where("type = 'TECHNOLOGY'").select(F.col("id").alias("entity_id"))
-    stale = mentions.join(tech, "entity_id", "left_semi").join(found, ["doc_id", "entity_id"], "left_anti").select("doc_id", "entity_id")
+    Mentions of TECHNOLOGY nodes (by type or types) that weren't found again go; TECHNOLOGY nodes with neither mention nor
+    provenance are pruned; nothing else changes, and a second run changes nothing."""
+    tech = entities.where(_technology(entities))
+    stale = mentions.join(tech.select(F.col("id").alias("entity_id")), "entity_id", "left_semi").join(found, ["doc_id", "entity_id"], "left_anti").select("doc_id", "entity_id")
     m = mentions.join(stale, ["doc_id", "entity_id"], "left_anti").select("doc_id", "entity_id").unionByName(found.select("doc_id", "entity_id")).distinct()
-    dead = orphans(entities.where("type = 'TECHNOLOGY'"), m, provenance)
+    dead = orphans(tech, m, provenance)
     return {"mentions": m, "entities": without(entities, dead, "id")}
 
 

@@ -313,9 +313,9 @@ query("m06_refresh_entities", f"WITH {_M6} SELECT id FROM ents WHERE NOT (type =
 
 
 def _refreshed(g: Graph) -> dict[str, DataFrame]:
-    hits = A.technologies(g.docs, EXTRA).select("doc_id", F.col("name").alias("norm")).join(g.docs.select(F.col("id").alias("doc_id"), "tenant_id"), "doc_id")
-    found = hits.join(g.entities.where("type = 'TECHNOLOGY'").select("tenant_id", "norm", F.col("id").alias("entity_id")), ["tenant_id", "norm"]).select("doc_id", "entity_id").distinct()
-    return L.refresh_technologies(g.entities, g.mentions, found, g.provenance)
+    hits = A.technologies(g.docs, EXTRA).select("doc_id", "name").join(g.docs.select(F.col("id").alias("doc_id"), "tenant_id"), "doc_id")
+    written = L.upsert_technologies(g.entities, hits, g.provenance)
+    return L.refresh_technologies(written["entities"], g.mentions, written["found"], written["provenance"])
 
 
 query("m07_backfill", f"WITH {_CONTAIN}, base AS (SELECT doc_id, entity_id FROM men UNION SELECT doc_id, entity_id FROM prov) SELECT * FROM base UNION SELECT doc_id, id FROM c JOIN tx USING (tenant_id) WHERE run <> '' AND contains(t, ' ' || run || ' ') AND id NOT IN (SELECT entity_id FROM base)", "ents", "docs", "men", "prov")(lambda g: L.backfill(g.entities, g.mentions, A.containing(g.entities.where("type = 'CONCEPT'"), g.docs), g.provenance))

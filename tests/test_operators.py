@@ -193,3 +193,23 @@ def test_containing_finds_names_of_any_length(spark):
     entities = frame(spark, [(1, "t", long), (2, "t", "go"), (3, "t", "red fox"), (4, "u", "red fox")], "id bigint, tenant_id string, norm string")
     docs = frame(spark, [("a", "t", f"x {long.upper()}, the red-fox"), ("b", "t", "redfox go"), ("c", "t", None)], "id string, tenant_id string, content string")
     assert {tuple(x) for x in A.containing(entities, docs).collect()} == {("a", 1), ("a", 3)}
+
+
+def test_refresh_writes_a_node_and_mention_for_every_hit(spark):
+    kind = "id bigint, tenant_id string, name string, norm string, type string, types array<string>, confidence double, documents array<string>, tracked boolean, concept_gen string"
+    node = lambda i, tenant, name, type: (i, tenant, name, name.lower(), type, [type], 0.5, [], False, None)
+    entities = frame(spark, [node(1, "t", "Redis", "TECHNOLOGY"), node(2, "t", "Glossary", "CONCEPT"), node(3, "t", "Glossary", "EVENT"), node(4, "t", "Old", "TECHNOLOGY"), node(5, "u", "Redis", "PERSON")], kind)
+    mentions = frame(spark, [("d0", 2), ("d0", 3), ("d0", 4)], "doc_id string, entity_id bigint")
+    hits = frame(spark, [("d1", "t", "redis"), ("d1", "t", "glossary"), ("d2", "t", "roadmap"), ("d3", "t", "Roadmap "), ("d4", "v", "redis")], "doc_id string, tenant_id string, name string")
+    provenance = frame(spark, [], "doc_id string, entity_id bigint")
+    for _ in range(2):
+        written = L.upsert_technologies(entities, hits, provenance)
+        out = L.refresh_technologies(written["entities"], mentions, written["found"], written["provenance"])
+        entities, mentions, provenance = (frame(spark, df.collect(), df.schema) for df in (out["entities"], out["mentions"], written["provenance"]))
+        nodes = {r.id: r for r in entities.collect()}
+        named = {(r.tenant_id, r.norm): r.id for r in nodes.values() if r.id > 5}
+        assert set(nodes) == {1, 2, 3, 5, *named.values()} and set(named) == {("t", "roadmap"), ("v", "redis")}
+        found = {("d1", 1), ("d1", 2), ("d2", named["t", "roadmap"]), ("d3", named["t", "roadmap"]), ("d4", named["v", "redis"])}
+        assert {tuple(r) for r in mentions.collect()} == found | {("d0", 3)} and {tuple(r) for r in provenance.collect()} == found
+        assert (nodes[2].type, nodes[2].types, nodes[2].confidence, nodes[2].documents, nodes[2].tracked) == ("CONCEPT", ["CONCEPT", "TECHNOLOGY"], 0.85, ["d1"], True)
+        assert nodes[3].types == ["EVENT"] and nodes[5].types == ["PERSON"] and nodes[named["t", "roadmap"]].documents == ["d2"]
