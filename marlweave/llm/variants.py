@@ -229,14 +229,9 @@ def _core_pairs(cores: DataFrame) -> DataFrame:
 
 
 def _linked(comps: DataFrame, strong: DataFrame) -> DataFrame:
-    """(id, grp): average-linkage groups within each component. Components of more than WIDEST names keep only pairs with the same core."""
+    """(id, grp): average-linkage groups within each component; those of more than WIDEST names are grouped by the same rule in distributed rounds."""
     sizes = comps.groupBy("comp").agg(F.count("*").alias("size")).where("size > 1")
     wide = sizes.where(F.col("size") > WIDEST)
-    if not wide.isEmpty():
-        inside = strong.where("exact AND sim >= 0.9").join(comps.join(wide, "comp").select(F.col("id").alias("a")), "a")
-        wide_groups = _components(comps.join(wide, "comp").select("id"), inside)
-    else:
-        wide_groups = None
     rows = strong.join(comps.join(sizes.where(F.col("size") <= WIDEST), "comp").select(F.col("id").alias("a"), "comp"), "a").select("comp", "a", "b", "sim")
 
     def link(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -246,11 +241,36 @@ def _linked(comps: DataFrame, strong: DataFrame) -> DataFrame:
         return pd.DataFrame(out, columns=["id", "grp"])
 
     found = rows.groupBy("comp").applyInPandas(link, "id bigint, grp bigint")
-    if wide_groups is not None:
-        found = found.unionByName(wide_groups.select("id", F.col("comp").alias("grp")))
+    if not wide.isEmpty():
+        found = found.unionByName(_rounds(strong.join(comps.join(wide, "comp").select(F.col("id").alias("a")), "a")))
     return comps.select("id").join(found, "id", "left").select("id", F.coalesce("grp", "id").alias("grp"))
 
 
+def _rounds(pairs: DataFrame) -> DataFrame:
+    """(id, grp): average linkage as in _cluster(), of components of any size.
+
+    A round merges all groups that are each other's best by mean similarity. As a merger never raises a mean above the
+    higher of the two that it joins, this gives the groups of merging the best pair first, but for the order of ties: they
+    go by a hash of the pair, so that many groups merge in a round where all are alike."""
+    links = materialize(pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), F.col("sim").alias("s")), "links")
+    members = materialize(links.select(F.explode(F.array("x", "y")).alias("id")).distinct().withColumn("grp", F.col("id")), "members")
+    while True:
+        size = members.groupBy("grp").agg(F.count("*").alias("n"))
+        x, y = (size.select(F.col("grp").alias(c), F.col("n").alias(f"n{c}")) for c in "xy")
+        mean = links.join(x, "x").join(y, "y").withColumn("m", F.round(F.col("s") / (F.col("nx") * F.col("ny")), 9)).where(F.col("m") >= LINKAGE)
+        best = mean.select(F.explode(F.array("x", "y")).alias("g"), F.struct("m", F.xxhash64("x", "y").alias("h"), "x", "y").alias("o")).groupBy("g").agg(F.max("o").alias("o"))
+        merged = materialize(best.groupBy(F.col("o.x").alias("new"), F.col("o.y").alias("old")).agg(F.count("*").alias("n")).where("n = 2").select("new", "old"), "merged")
+        if merged.isEmpty():
+            return members
+
+        def renamed(df: DataFrame, c: str) -> DataFrame:
+            return df.join(merged.withColumnRenamed("old", c), c, "left").withColumn(c, F.coalesce("new", c)).drop("new")
+
+        members = materialize(renamed(members, "grp").select("id", "grp"), "members")
+        moved = renamed(renamed(links, "x"), "y").where("x <> y")
+        links = materialize(moved.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).agg(F.sum("s").alias("s")), "links")
+
+
 def _initials(items: DataFrame, clustered: DataFrame, pairs: DataFrame) -> DataFrame:
     """Names with an initial join the only group that they fit; those that fit none join each other."""
     fits = pairs.where("initial AND NOT both").join(clustered.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.countDistinct(F.when(F.col("exact"), F.col("grp"))).alias("n_exact"), F.min(F.when(F.col("exact"), F.col("grp"))).alias("g_exact"), F.countDistinct("grp").alias("n"), F.min("grp").alias("g"))

@@ -278,3 +278,15 @@ def test_variants(spark):
 def test_average_linkage_doesn_t_chain():
     pairs = {(i, i + 1): 0.9 for i in range(6)}
     assert max(map(len, variants._cluster(list(range(7)), pairs))) < 7
+
+
+def test_wide_components_are_grouped_by_the_same_rule(spark, monkeypatch):
+    # two families of spellings within typing errors of each other, all with different cores, and a chain between them
+    pairs = {(1, 2): 0.9, (1, 3): 0.88, (2, 3): 0.86, (3, 4): 0.5, (4, 5): 0.51, (5, 6): 0.92, (6, 7): 0.89, (5, 7): 0.87}
+    rows = [(a, b, s, False) for (a, b), s in pairs.items()]
+    comps = spark.createDataFrame([(i, 1) for i in range(1, 8)], "id bigint, comp bigint")
+    strong = spark.createDataFrame(rows, "a bigint, b bigint, sim double, exact boolean")
+    want = {n: min(g) for g in variants._cluster(list(range(1, 8)), pairs) for n in g}
+    monkeypatch.setattr(variants, "WIDEST", 3)
+    assert {r.id: r.grp for r in variants._linked(comps, strong).collect()} == want
+    assert len(set(want.values())) == 3
