@@ -7,8 +7,9 @@ five more codewords at distance 4; the indices of all six are its keys, so that
 always share a key and words with a few more often do. By the pigeonhole principle a pair with fewer than
 3 * SEGMENTS different bits has a segment with at most two.
 
-An index has only 12 bits, so each segment is joined on the index and an anchor: the minimum of one more hash function
-over longer word sequences. Pairs that share a key are compared by all bits of the fingerprint and then verified exactly.
+An index has only 12 bits, so each segment is joined on the index and an anchor, twice: the minimum of one more hash
+function over longer word sequences, and over the same ones, as scattered edits break too many of the longer. Pairs that
+share a key are compared by all bits of the fingerprint and then verified exactly.
 """
 
 from __future__ import annotations
@@ -125,19 +126,22 @@ def fingerprints(texts: list[str], n: int, least: int) -> dict[str, np.ndarray]:
         for i, f in enumerate(used[s]):
             x = m[f] * np.uint32(2 * s + 0x9E3779B1)
             seg[:, s] |= (x >> np.uint32(31)) << np.uint32(i)
-    sketch = np.zeros(len(keep), np.uint64)
+    sketch, sketch_b = np.zeros((2, len(keep)), np.uint64)  # two bits of each minimum
     for f in range(FUNCTIONS):
-        sketch |= (vec.mix(m[f].astype(np.uint64)) & np.uint64(1)) << np.uint64(f)
+        x = vec.mix(m[f].astype(np.uint64))
+        sketch |= (x & np.uint64(1)) << np.uint64(f)
+        sketch_b |= (x >> np.uint64(1) & np.uint64(1)) << np.uint64(f)
     anchor_words = min(ANCHOR_WORDS, least + n - 1)
     ha, ata = w.windows(anchor_words)
     da = w.doc[ata]
     ok = size[da] >= least
     ha, da = ha[ok], da[ok]
     fa = np.concatenate([np.searchsorted(da, keep), [len(da)]])
-    anchors = _minima(ha, fa, slice(FUNCTIONS, None)).T
+    # of longer sequences, and of the text's own ones, which scattered edits leave whole more often
+    anchors = np.concatenate([_minima(ha, fa, slice(FUNCTIONS, None)), _minima(h, first, slice(FUNCTIONS, None))]).T
     total = np.add.reduceat(h, first[:-1])
     twist = np.bitwise_xor.reduceat(vec.mix(h ^ np.uint64(0x5555555555555555)), first[:-1])
-    return {"at": keep, "anchors": anchors, "words": seg, "sketch": sketch.view(np.int64), "set_a": total.view(np.int64), "set_b": twist.view(np.int64), "size": size[keep]}
+    return {"at": keep, "anchors": anchors, "words": seg, "sketch": sketch.view(np.int64), "sketch_b": sketch_b.view(np.int64), "set_a": total.view(np.int64), "set_b": twist.view(np.int64), "size": size[keep]}
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least: int = 1) -> tuple[DataFrame, DataFrame]:
@@ -150,7 +154,7 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col("document_id").cast("string"), "content").where("document_id IS NOT NULL AND content IS NOT NULL")
-    kind = "document_id string, set_a bigint, set_b bigint, size int, sketch bigint, anchors binary, words binary"
+    kind = "document_id string, set_a bigint, set_b bigint, size int, sketch bigint, sketch_b bigint, anchors binary, words binary"
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -158,14 +162,14 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
             for lo, hi in vec.batches(texts, 1_500_000):
                 f = fingerprints(texts[lo:hi], n, least)
                 if f:
-                    yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["at"]], "set_a": f["set_a"], "set_b": f["set_b"], "size": f["size"].astype(np.int32), "sketch": f["sketch"], "anchors": [x.tobytes() for x in np.ascontiguousarray(f["anchors"])], "words": [x.tobytes() for x in f["words"]]})
+                    yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["at"]], "set_a": f["set_a"], "set_b": f["set_b"], "size": f["size"].astype(np.int32), "sketch": f["sketch"], "sketch_b": f["sketch_b"], "anchors": [x.tobytes() for x in np.ascontiguousarray(f["anchors"])], "words": [x.tobytes() for x in f["words"]]})
 
     prints = materialize(rows.mapInPandas(run, kind), "fingerprints")
     # classes of equal texts; anchors and words are equal within a class, so any of them will do
     reps = materialize(prints.groupBy("set_a", "set_b", "size").agg(F.min("document_id").alias("rep")), "classes")
     members = materialize(prints.select("document_id", "set_a", "set_b", "size").distinct().join(reps, ["set_a", "set_b", "size"]).select("document_id", "rep"), "members")
     # a class is known by the hash of its set until its texts are compared: less to shuffle than ids
-    lead = prints.select(F.col("set_a").alias("id"), "size", "sketch", "anchors", "words").dropDuplicates(["id"])
+    lead = prints.select(F.col("set_a").alias("id"), "size", "sketch", "sketch_b", "anchors", "words").dropDuplicates(["id"])
     found = _candidates(lead, similarity)
     name = reps.select("set_a", "rep")
     named = found.join(name.select(F.col("set_a").alias("id_a"), F.col("rep").alias("rep_a")), "id_a").join(name.select(F.col("set_a").alias("id_b"), F.col("rep").alias("rep_b")), "id_b")
@@ -181,14 +185,14 @@ def _keys(rows: pd.DataFrame) -> pd.DataFrame:
     new[:, 1:] = near[:, 1:] != near[:, :-1]
     key = (vec.mix(rows["anchor"].to_numpy().view(np.uint64))[:, None] & ~np.uint64(4095)) | near
     r, _ = np.nonzero(new)
-    return pd.DataFrame({"key": key[new].view(np.int64)} | {c: rows[c].to_numpy()[r] for c in ("id", "size", "sketch")})
+    return pd.DataFrame({"key": key[new].view(np.int64)} | {c: rows[c].to_numpy()[r] for c in ("id", "size", "sketch", "sketch_b")})
 
 
 def _pairs(rows: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
     """Pairs of rows with one key whose sizes and sketches allow the similarity. rows are sorted by key."""
     key, ids, size = rows["key"].to_numpy(), rows["id"].to_numpy(), rows["size"].to_numpy()
-    sketch = rows["sketch"].to_numpy().view(np.uint64)
-    mean = (1 - similarity) / 2
+    sketch, sketch_b = (rows[c].to_numpy().view(np.uint64) for c in ("sketch", "sketch_b"))
+    mean = (1 - similarity) * 3 / 4  # different minima differ in one of their two bits three times of four
     most = FUNCTIONS * mean + 3.5 * (FUNCTIONS * mean * (1 - mean)) ** 0.5
     step = 1
     at = np.arange(len(key))
@@ -196,7 +200,7 @@ def _pairs(rows: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
         at = at[at + step < len(key)]
         at = at[key[at] == key[at + step]]
         x, y = at, at + step
-        ok = (np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])) & (np.bitwise_count(sketch[x] ^ sketch[y]) <= most) & (ids[x] != ids[y])
+        ok = (np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])) & (np.bitwise_count((sketch[x] ^ sketch[y]) | (sketch_b[x] ^ sketch_b[y])) <= most) & (ids[x] != ids[y])
         if ok.any():
             a, b = ids[x[ok]], ids[y[ok]]
             yield pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b)})
@@ -208,13 +212,13 @@ def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
 
     def explode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            anchors = np.frombuffer(b"".join(pdf["anchors"]), np.uint32).reshape(-1, SEGMENTS)
-            words = np.frombuffer(b"".join(pdf["words"]), np.uint32).reshape(-1, SEGMENTS)
-            seg = np.tile(np.arange(SEGMENTS, dtype=np.uint64), len(pdf))
-            key = (anchors.ravel().astype(np.uint64) << np.uint64(5)) | seg
-            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32)} | {c: np.repeat(pdf[c].to_numpy(), SEGMENTS) for c in ("id", "size", "sketch")})
+            anchors = np.frombuffer(b"".join(pdf["anchors"]), np.uint32).reshape(-1, 2 * SEGMENTS)
+            words = np.tile(np.frombuffer(b"".join(pdf["words"]), np.uint32).reshape(-1, SEGMENTS), 2)
+            seg = np.tile(np.arange(2 * SEGMENTS, dtype=np.uint64), len(pdf))
+            key = (anchors.ravel().astype(np.uint64) << np.uint64(6)) | seg
+            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32)} | {c: np.repeat(pdf[c].to_numpy(), 2 * SEGMENTS) for c in ("id", "size", "sketch", "sketch_b")})
 
-    slots = lead.select("id", "size", "sketch", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id bigint, size int, sketch bigint")
+    slots = lead.select("id", "size", "sketch", "sketch_b", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id bigint, size int, sketch bigint, sketch_b bigint")
     # One shuffle by the anchor; the keys are made, sorted and paired where their anchor lies.
     held = slots.repartition(splits(lead.sparkSession), "anchor").sortWithinPartitions("anchor")
 
@@ -246,7 +250,7 @@ def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
         if tail is not None:
             yield from _pairs(tail, similarity)
 
-    keyed = held.mapInPandas(keys, "key bigint, id bigint, size int, sketch bigint").sortWithinPartitions("key")
+    keyed = held.mapInPandas(keys, "key bigint, id bigint, size int, sketch bigint, sketch_b bigint").sortWithinPartitions("key")
     pairs = keyed.mapInPandas(paired, "id_a bigint, id_b bigint").distinct()
     a = lead.select(F.col("id").alias("id_a"), F.col("words").alias("wa"))
     b = lead.select(F.col("id").alias("id_b"), F.col("words").alias("wb"))

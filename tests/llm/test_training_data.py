@@ -290,3 +290,20 @@ def test_wide_components_are_grouped_by_the_same_rule(spark, monkeypatch):
     monkeypatch.setattr(variants, "WIDEST", 3)
     assert {r.id: r.grp for r in variants._linked(comps, strong).collect()} == want
     assert len(set(want.values())) == 3
+
+
+def test_scattered_edits_share_an_anchor_and_a_key():
+    r = random.Random(1)
+    texts, grams = [], lambda w: set(zip(w, w[1:], w[2:]))
+    while len(texts) < 600:
+        words = [f"w{r.randrange(10**6)}" for _ in range(120)]
+        edited = words[:]
+        for i in r.sample(range(120), r.randrange(8, 15)):
+            edited[i] = f"x{r.randrange(10**6)}"
+        a, b = grams(words), grams(edited)
+        if 0.5 <= len(a & b) / len(a | b) < 0.6:
+            texts += [" ".join(words), " ".join(edited)]
+    f = golay.fingerprints(texts, 3, 10)
+    near = np.stack([golay.indices(f["words"][:, s]) for s in range(golay.SEGMENTS)], 1)
+    key = (near[::2, :, :, None] == near[1::2, :, None, :]).any((2, 3))
+    assert (np.tile(key, 2) & (f["anchors"][::2] == f["anchors"][1::2])).any(1).mean() >= 0.92
