@@ -7,9 +7,11 @@ five more codewords at distance 4; the indices of all six are its keys, so that
 always share a key and words with a few more often do. By the pigeonhole principle a pair with fewer than
 3 * SEGMENTS different bits has a segment with at most two.
 
-An index has only 12 bits, so each segment is joined on the index and an anchor, twice: the minimum of one more hash
-function over longer word sequences, and over the same ones, as scattered edits break too many of the longer. Pairs that
-share a key are compared by all bits of the fingerprint and then verified exactly.
+An index has only 12 bits, so each segment is joined on the index and an anchor: the minimum of one more hash function
+over the same word sequences. Rows that share both are compared by sizes and by a sketch of 256 bits, and the pairs that
+remain verified exactly. Rows of an anchor that many texts have are spread over the tasks by anchor and index.
+
+Such hashing can miss a pair; exact_links() is the way that can't.
 """
 
 from __future__ import annotations
@@ -21,12 +23,15 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship, splits
 from . import vec
 
-SEGMENTS, FUNCTIONS, ANCHOR_WORDS = 20, 64, 9
+SEGMENTS, FUNCTIONS, NIBBLES = 20, 64, 4
+#: An anchor is spread by index as well if more than one of HOT texts has it, as counted in about HOT_SAMPLE texts.
+HOT, HOT_SAMPLE = 500, 20_000
 #: Fixed value: the generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the code.
 GENERATOR = 0b110001110101
 
@@ -87,10 +92,9 @@ def _functions() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return odd, add, used
 
 
-def _minima(h: np.ndarray, first: np.ndarray, which: slice) -> np.ndarray:
+def _minima(h: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(functions, texts) minima over h[first[i]:first[i + 1]]; no text is empty."""
-    odd, add, _ = _functions()
-    a, b = odd[which], add[which]
+    a, b, _ = _functions()
     h32 = (h >> np.uint64(32)).astype(np.uint32)
     out = np.empty((len(a), len(first) - 1), np.uint32)
     for i in range(len(a)):
@@ -102,7 +106,9 @@ def _minima(h: np.ndarray, first: np.ndarray, which: slice) -> np.ndarray:
 
 
 def fingerprints(texts: list[str], n: int, least: int) -> dict[str, np.ndarray]:
-    """Of each text with at least `least` distinct sequences of n words: its number, anchors, 23-bit words, and a hash of the set."""
+    """Of each text with at least `least` distinct sequences of n words: its number, slots, sketch, size, and a hash of the set.
+
+    A slot is the anchor of a segment above its 23-bit word; the sketch has four bits of each minimum."""
     w = vec.words(texts)
     h, at = w.windows(n)
     doc = w.doc[at]
@@ -119,42 +125,35 @@ def fingerprints(texts: list[str], n: int, least: int) -> dict[str, np.ndarray]:
     held = size[doc] >= least
     h, doc = h[held], doc[held]
     first = np.concatenate([[0], np.cumsum(size[keep])])
-    m = _minima(h, first, slice(0, FUNCTIONS))
+    m = _minima(h, first)
     _, _, used = _functions()
-    seg = np.zeros((len(keep), SEGMENTS), np.uint32)
+    seg = np.zeros((len(keep), SEGMENTS), np.uint64)
     for s in range(SEGMENTS):
         for i, f in enumerate(used[s]):
             x = m[f] * np.uint32(2 * s + 0x9E3779B1)
-            seg[:, s] |= (x >> np.uint32(31)) << np.uint32(i)
-    sketch, sketch_b = np.zeros((2, len(keep)), np.uint64)  # two bits of each minimum
+            seg[:, s] |= (x >> np.uint32(31)).astype(np.uint64) << np.uint64(i)
+        seg[:, s] |= (m[FUNCTIONS + s].astype(np.uint64) << np.uint64(28)) | np.uint64(s << 23)
+    sketch = np.zeros((NIBBLES, len(keep)), np.uint64)
     for f in range(FUNCTIONS):
-        x = vec.mix(m[f].astype(np.uint64))
-        sketch |= (x & np.uint64(1)) << np.uint64(f)
-        sketch_b |= (x >> np.uint64(1) & np.uint64(1)) << np.uint64(f)
-    anchor_words = min(ANCHOR_WORDS, least + n - 1)
-    ha, ata = w.windows(anchor_words)
-    da = w.doc[ata]
-    ok = size[da] >= least
-    ha, da = ha[ok], da[ok]
-    fa = np.concatenate([np.searchsorted(da, keep), [len(da)]])
-    # of longer sequences, and of the text's own ones, which scattered edits leave whole more often
-    anchors = np.concatenate([_minima(ha, fa, slice(FUNCTIONS, None)), _minima(h, first, slice(FUNCTIONS, None))]).T
+        sketch[f % NIBBLES] |= (vec.mix(m[f].astype(np.uint64)) & np.uint64(15)) << np.uint64(f // NIBBLES * 4)
     total = np.add.reduceat(h, first[:-1])
     twist = np.bitwise_xor.reduceat(vec.mix(h ^ np.uint64(0x5555555555555555)), first[:-1])
-    return {"at": keep, "anchors": anchors, "words": seg, "sketch": sketch.view(np.int64), "sketch_b": sketch_b.view(np.int64), "set_a": total.view(np.int64), "set_b": twist.view(np.int64), "size": size[keep]}
+    return {"at": keep, "slots": seg, "sketch": sketch.view(np.int64), "set_a": total.view(np.int64), "set_b": twist.view(np.int64), "size": size[keep].astype(np.int32)}
 
 
-def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least: int = 1) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least: int = 1, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """(members, links). members: (document_id string, rep string); links: (rep_a, rep_b strings, similarity double), rep_a < rep_b.
 
     docs has document_id and content. Texts with the same set of word sequences are one class, named by its smallest
     document_id; links are pairs of classes whose similarity (shared / all distinct sequences of n words) reaches the
     threshold. Texts with fewer than `least` distinct sequences (also null, empty, very short ones) are in neither
-    table; texts are read whole; a document delivered again counts once; other columns are ignored.
+    table; texts are read whole; a document delivered again counts once; other columns are ignored. hot decides how rows
+    are spread over tasks and nothing else.
     """
     ship(docs.sparkSession)
     rows = docs.select(F.col("document_id").cast("string"), "content").where("document_id IS NOT NULL AND content IS NOT NULL")
-    kind = "document_id string, set_a bigint, set_b bigint, size int, sketch bigint, sketch_b bigint, anchors binary, words binary"
+    sketch = [f"sketch_{i}" for i in range(NIBBLES)]
+    kind = "document_id string, set_a bigint, set_b bigint, size int, " + ", ".join(f"{c} bigint" for c in sketch) + ", slots binary"
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
@@ -162,111 +161,133 @@ def near_duplicates(docs: DataFrame, n: int = 5, similarity: float = 0.8, least:
             for lo, hi in vec.batches(texts, 1_500_000):
                 f = fingerprints(texts[lo:hi], n, least)
                 if f:
-                    yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["at"]], "set_a": f["set_a"], "set_b": f["set_b"], "size": f["size"].astype(np.int32), "sketch": f["sketch"], "sketch_b": f["sketch_b"], "anchors": [x.tobytes() for x in np.ascontiguousarray(f["anchors"])], "words": [x.tobytes() for x in f["words"]]})
+                    yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["at"]], "set_a": f["set_a"], "set_b": f["set_b"], "size": f["size"]} | dict(zip(sketch, f["sketch"])) | {"slots": [x.tobytes() for x in f["slots"]]})
 
     prints = materialize(rows.mapInPandas(run, kind), "fingerprints")
-    # classes of equal texts; anchors and words are equal within a class, so any of them will do
+    # classes of equal texts; whatever else a fingerprint has is equal within a class
     reps = materialize(prints.groupBy("set_a", "set_b", "size").agg(F.min("document_id").alias("rep")), "classes")
     members = materialize(prints.select("document_id", "set_a", "set_b", "size").distinct().join(reps, ["set_a", "set_b", "size"]).select("document_id", "rep"), "members")
     # a class is known by the hash of its set until its texts are compared: less to shuffle than ids
-    lead = prints.select(F.col("set_a").alias("id"), "size", "sketch", "sketch_b", "anchors", "words").dropDuplicates(["id"])
-    found = _candidates(lead, similarity)
+    lead = prints.select(F.col("set_a").alias("id"), "size", *sketch, "slots").dropDuplicates(["id"])
+    found = _candidates(lead, similarity, _hot(prints, hot))
     name = reps.select("set_a", "rep")
     named = found.join(name.select(F.col("set_a").alias("id_a"), F.col("rep").alias("rep_a")), "id_a").join(name.select(F.col("set_a").alias("id_b"), F.col("rep").alias("rep_b")), "id_b")
     named = materialize(named.select(F.least("rep_a", "rep_b").alias("id_a"), F.greatest("rep_a", "rep_b").alias("id_b")).distinct(), "named")
     return members, _verified(docs, named, n, similarity)
 
 
-def _keys(rows: pd.DataFrame) -> pd.DataFrame:
-    """A row for each anchor and codeword index."""
-    near = indices(rows["word"].to_numpy().astype(np.uint32)).astype(np.uint64)
-    near.sort(axis=1)
-    new = np.ones(near.shape, bool)
-    new[:, 1:] = near[:, 1:] != near[:, :-1]
-    key = (vec.mix(rows["anchor"].to_numpy().view(np.uint64))[:, None] & ~np.uint64(4095)) | near
-    r, _ = np.nonzero(new)
-    return pd.DataFrame({"key": key[new].view(np.int64)} | {c: rows[c].to_numpy()[r] for c in ("id", "size", "sketch", "sketch_b")})
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """How many of the minima behind two sketches differ in their four bits."""
+    d = x ^ y
+    d |= d >> np.uint64(2)
+    d |= d >> np.uint64(1)
+    return np.bitwise_count(d & np.uint64(0x1111111111111111)).sum(axis=0, dtype=np.int64)
 
 
-def _pairs(rows: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
-    """Pairs of rows with one key whose sizes and sketches allow the similarity. rows are sorted by key."""
-    key, ids, size = rows["key"].to_numpy(), rows["id"].to_numpy(), rows["size"].to_numpy()
-    sketch, sketch_b = (rows[c].to_numpy().view(np.uint64) for c in ("sketch", "sketch_b"))
-    mean = (1 - similarity) * 3 / 4  # different minima differ in one of their two bits three times of four
+def _pairs(key: np.ndarray, ids: np.ndarray, size: np.ndarray, sketch: np.ndarray, similarity: float) -> Iterator[pd.DataFrame]:
+    """Pairs of rows with one key whose sizes and sketches allow the similarity. Rows are sorted by key."""
+    mean = (1 - similarity) * 15 / 16  # different minima have the same four bits once in sixteen times
     most = FUNCTIONS * mean + 3.5 * (FUNCTIONS * mean * (1 - mean)) ** 0.5
-    step = 1
-    at = np.arange(len(key))
+    step, at = 1, np.arange(len(key))
     while len(at):  # rows `step` apart; ends with the longest run of one key
         at = at[at + step < len(key)]
         at = at[key[at] == key[at + step]]
         x, y = at, at + step
-        ok = (np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])) & (np.bitwise_count((sketch[x] ^ sketch[y]) | (sketch_b[x] ^ sketch_b[y])) <= most) & (ids[x] != ids[y])
+        ok = np.minimum(size[x], size[y]) >= similarity * np.maximum(size[x], size[y])
+        x, y = x[ok], y[ok]
+        ok = (_differing(sketch[:, x], sketch[:, y]) <= most) & (ids[x] != ids[y])
         if ok.any():
             a, b = ids[x[ok]], ids[y[ok]]
             yield pd.DataFrame({"id_a": np.minimum(a, b), "id_b": np.maximum(a, b)})
         step += 1
 
 
-def _candidates(lead: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of classes that share a key in some segment and whose fingerprints are close enough."""
+def _hot(prints: DataFrame, hot: int) -> np.ndarray:
+    """Anchors that more than one of `hot` texts of a sample have; at most SEGMENTS * hot of them."""
+    every = max(1, prints.count() // HOT_SAMPLE)
+    some = prints.where(F.pmod(F.xxhash64("document_id"), F.lit(every)) == 0).select("slots")
+    anchors = some.mapInPandas(lambda it: (pd.DataFrame({"anchor": np.frombuffer(b"".join(p["slots"]), np.int64) >> 23}) for p in it), "anchor bigint")
+    least = max(some.count() // hot, 8)
+    return np.array(sorted(r[0] for r in anchors.groupBy("anchor").count().where(F.col("count") > least).select("anchor").collect()), np.int64)
+
+
+def _candidates(lead: DataFrame, similarity: float, hot: np.ndarray) -> DataFrame:
+    """Pairs of classes that share an anchor and a codeword index in some segment and whose sizes and sketches allow the similarity."""
+    spark = lead.sparkSession
+    sketch = [f"sketch_{i}" for i in range(NIBBLES)]
 
     def explode(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            anchors = np.frombuffer(b"".join(pdf["anchors"]), np.uint32).reshape(-1, 2 * SEGMENTS)
-            words = np.tile(np.frombuffer(b"".join(pdf["words"]), np.uint32).reshape(-1, SEGMENTS), 2)
-            seg = np.tile(np.arange(2 * SEGMENTS, dtype=np.uint64), len(pdf))
-            key = (anchors.ravel().astype(np.uint64) << np.uint64(6)) | seg
-            yield pd.DataFrame({"anchor": key.astype(np.int64), "word": words.ravel().astype(np.int32)} | {c: np.repeat(pdf[c].to_numpy(), 2 * SEGMENTS) for c in ("id", "size", "sketch", "sketch_b")})
-
-    slots = lead.select("id", "size", "sketch", "sketch_b", "anchors", "words").mapInPandas(explode, "anchor bigint, word int, id bigint, size int, sketch bigint, sketch_b bigint")
-    # One shuffle by the anchor; the keys are made, sorted and paired where their anchor lies.
-    held = slots.repartition(splits(lead.sparkSession), "anchor").sortWithinPartitions("anchor")
-
-    def keys(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, open_row = None, None  # the last row waits: whether its anchor is shared shows in the next batch
-        for pdf in it:
-            if open_row is not None:
-                pdf = pd.concat([open_row, pdf], ignore_index=True)
-            anchor = pdf["anchor"].to_numpy()
-            open_row = pdf.iloc[-1:]
-            same = np.zeros(len(pdf) + 1, bool)
-            same[1:-1] = anchor[1:] == anchor[:-1]
-            same[0] = last is not None and anchor[0] == last
-            shared = (same[:-1] | same[1:])[:-1]
-            last = anchor[-2] if len(pdf) > 1 else last
-            yield _keys(pdf.iloc[:-1][shared])
-        if open_row is not None and last is not None and open_row["anchor"].iloc[0] == last:
-            yield _keys(open_row)
-
-    def paired(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tail = None  # the last key may go on in the next batch
+            slot = np.frombuffer(b"".join(pdf["slots"]), np.int64)
+            yield pd.DataFrame({"slot": slot} | {c: np.repeat(pdf[c].to_numpy(), SEGMENTS) for c in ("id", "size", *sketch)})
+
+    shared = spark.sparkContext.broadcast(hot)
+
+    def routed(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Rows of usual anchors go by anchor with all their indices to come, those of hot ones by anchor and index."""
+        hot_ones = shared.value
+        for pdf in explode(it):
+            anchor = pdf["slot"].to_numpy() >> 23
+            many = np.isin(anchor, hot_ones)
+            route, index, row = anchor[~many], np.full((~many).sum(), -1, np.int16), np.flatnonzero(~many)
+            if many.any():
+                near, r = _indices_of(pdf["slot"].to_numpy()[many])
+                held = np.flatnonzero(many)[r]
+                route = np.concatenate([route, vec.mix((anchor[held].view(np.uint64) << np.uint64(12)) | near).view(np.int64)])
+                index, row = np.concatenate([index, near.astype(np.int16)]), np.concatenate([row, held])
+            yield pd.DataFrame({"route": route, "idx": index} | {c: pdf[c].to_numpy()[row] for c in ("slot", "id", "size", *sketch)})
+
+    kind = "slot bigint, id bigint, size int, " + ", ".join(f"{c} bigint" for c in sketch)
+    # One shuffle; the keys are made, sorted and paired where their rows lie.
+    held = lead.mapInPandas(routed, f"route bigint, idx smallint, {kind}").repartition(splits(spark), "route").drop("route")
+    held = held.withColumn("anchor", F.shiftright("slot", 23)).sortWithinPartitions("anchor")
+
+    def pair(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tail = None  # the last anchor may go on in the next batch
         for pdf in it:
             if tail is not None:
                 pdf = pd.concat([tail, pdf], ignore_index=True)
-            key = pdf["key"].to_numpy()
-            cut = int(np.searchsorted(key, key[-1]))
-            yield from _pairs(pdf.iloc[:cut], similarity)
+            anchor = pdf["anchor"].to_numpy()
+            cut = int(np.searchsorted(anchor, anchor[-1]))
+            yield from _group_pairs(pdf.iloc[:cut], similarity)
             tail = pdf.iloc[cut:]
         if tail is not None:
-            yield from _pairs(tail, similarity)
-
-    keyed = held.mapInPandas(keys, "key bigint, id bigint, size int, sketch bigint, sketch_b bigint").sortWithinPartitions("key")
-    pairs = keyed.mapInPandas(paired, "id_a bigint, id_b bigint").distinct()
-    a = lead.select(F.col("id").alias("id_a"), F.col("words").alias("wa"))
-    b = lead.select(F.col("id").alias("id_b"), F.col("words").alias("wb"))
-    near = pairs.join(a, "id_a").join(b, "id_b")
-    total = SEGMENTS * 23
-    # four standard deviations of the differing bits, taken as that of FUNCTIONS independent minima, above the mean at the threshold
-    mean = (1 - similarity) / 2
-    most = total * (mean + 4 * (similarity * (1 - similarity) / FUNCTIONS) ** 0.5 / 2 + 4 * (mean * 0.5 / total) ** 0.5)
-
-    def close(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            wa, wb = (np.frombuffer(b"".join(pdf[c]), np.uint32).reshape(-1, SEGMENTS) for c in ("wa", "wb"))
-            ok = np.bitwise_count(wa ^ wb).sum(axis=1) <= most
-            yield pdf.loc[ok, ["id_a", "id_b"]]
+            yield from _group_pairs(tail, similarity)
 
-    return materialize(near.select("id_a", "id_b", "wa", "wb").mapInPandas(close, "id_a bigint, id_b bigint"), "candidates")
+    return materialize(held.mapInPandas(pair, "id_a bigint, id_b bigint").distinct(), "candidates")
+
+
+def _indices_of(slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different indices near the words of slots, and the row of each."""
+    near = indices((slot & 0x7FFFFF).astype(np.uint32)).astype(np.uint64)
+    near.sort(axis=1)
+    new = np.ones(near.shape, bool)
+    new[:, 1:] = near[:, 1:] != near[:, :-1]
+    return near[new], np.nonzero(new)[0]
+
+
+def _group_pairs(rows: pd.DataFrame, similarity: float) -> Iterator[pd.DataFrame]:
+    """Pairs of rows that share anchor and index; rows are sorted by anchor, their index is -1 where all indices count."""
+    anchor = rows["anchor"].to_numpy()
+    same = np.zeros(len(rows) + 1, bool)
+    same[1:-1] = anchor[1:] == anchor[:-1]
+    rows = rows[same[:-1] | same[1:]]
+    if not len(rows):
+        return
+    slot, given = rows["slot"].to_numpy(), rows["idx"].to_numpy()
+    free = np.flatnonzero(given < 0)
+    near, r = _indices_of(slot[free])
+    row, index = np.concatenate([free[r], np.flatnonzero(given >= 0)]), np.concatenate([near, given[given >= 0].astype(np.uint64)])
+    key = ((slot[row] >> 23).view(np.uint64) << np.uint64(12)) | index
+    order = np.argsort(key, kind="stable")
+    key, row = key[order], row[order]
+    ids, size = rows["id"].to_numpy(), rows["size"].to_numpy()
+    sketch = np.stack([rows[f"sketch_{i}"].to_numpy() for i in range(NIBBLES)]).view(np.uint64)
+    alone = np.zeros(len(key) + 1, bool)
+    alone[1:-1] = key[1:] == key[:-1]
+    keep = alone[:-1] | alone[1:]
+    key, row = key[keep], row[keep]
+    yield from _pairs(key, ids[row], size[row], sketch[:, row], similarity)
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, n: int, similarity: float) -> DataFrame:
@@ -296,10 +317,44 @@ def _verified(docs: DataFrame, pairs: DataFrame, n: int, similarity: float) -> D
     return pairs.join(a, "id_a").join(b, "id_b").mapInPandas(run, "rep_a string, rep_b string, similarity double")
 
 
-def document_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(document_id_a, document_id_b), smaller id first: links between documents, copies included."""
-    a = members.select(F.col("rep").alias("rep_a"), F.col("document_id").alias("a"))
-    b = members.select(F.col("rep").alias("rep_b"), F.col("document_id").alias("b"))
-    same = a.join(b, F.col("rep_a") == F.col("rep_b")).where("a < b").select("a", "b")
-    cross = links.join(a, "rep_a").join(b, "rep_b").select("a", "b")
-    return same.unionByName(cross).select(F.least("a", "b").alias("document_id_a"), F.greatest("a", "b").alias("document_id_b")).distinct()
+def exact_links(docs: DataFrame, n: int = 5, similarity: float = 0.8, least: int = 1) -> DataFrame:
+    """(document_id_a, document_id_b strings, similarity double): all pairs of different texts that reach the similarity, smaller id first.
+
+    Prefix filter: the word sequences of a text are ordered from rare to frequent; two texts of the similarity share one
+    of their first size - ceil(similarity * size) + 1. It loses nothing, but shuffles every sequence of every text.
+    Documents, nulls and short texts as in near_duplicates(); of equal texts only the smallest id is in a pair.
+    """
+    ship(docs.sparkSession)
+    rows = docs.select(F.col("document_id").cast("string"), "content").where("document_id IS NOT NULL AND content IS NOT NULL").dropDuplicates(["document_id"])
+
+    def sequences(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            texts = pdf["content"].tolist()
+            for lo, hi in vec.batches(texts, 1_500_000):
+                w = vec.words(texts[lo:hi])
+                h, at = w.windows(n)
+                f = pd.DataFrame({"doc": w.doc[at], "gram": h.view(np.int64)}).drop_duplicates()
+                yield pd.DataFrame({"document_id": pdf["document_id"].to_numpy()[lo:hi][f["doc"]], "gram": f["gram"].to_numpy()})
+
+    grams = materialize(rows.mapInPandas(sequences, "document_id string, gram bigint"), "sequences")
+    sets = grams.groupBy("document_id").agg(F.count("*").alias("size"), F.sum(F.col("gram").cast("decimal(38,0)")).alias("total"))
+    reps = materialize(sets.where(F.col("size") >= least).groupBy("size", "total").agg(F.min("document_id").alias("document_id")), "distinct-texts")
+    df = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
+    held = grams.join(reps.select("document_id", "size"), "document_id").join(df, "gram", "left")
+    order = W.partitionBy("document_id").orderBy(F.coalesce("df", F.lit(1)), "gram")
+    first = held.withColumn("r", F.row_number().over(order)).where(F.expr(f"df IS NOT NULL AND r <= size - cast(ceil(size * {similarity} - 1e-9) as int) + 1")).select("gram", "document_id", "size")
+    a, b = (first.select("gram", F.col("document_id").alias(f"id_{x}"), F.col("size").alias(f"n_{x}")) for x in "ab")
+    met = a.join(b, "gram").where(f"id_a < id_b AND least(n_a, n_b) >= {similarity} * greatest(n_a, n_b) - 1e-9").select("id_a", "id_b").distinct()
+    return _verified(docs, materialize(met, "prefix-candidates"), n, similarity).select(F.col("rep_a").alias("document_id_a"), F.col("rep_b").alias("document_id_b"), "similarity")
+
+
+def document_pairs(members: DataFrame, links: DataFrame, block: int = 1000) -> DataFrame:
+    """(document_id_a, document_id_b), smaller id first: links between documents, copies included. A class of more than `block` copies is joined in parts."""
+    parts = members.groupBy("rep").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("parts"), F.count("*").alias("n"))
+    own = parts.where("n > 1").select(F.col("rep").alias("rep_a"), F.col("rep").alias("rep_b"))
+    a, b = (members.join(parts, "rep").select(F.col("rep").alias(f"rep_{x}"), F.expr("cast(pmod(xxhash64(document_id), parts) as int)").alias(f"part_{x}"), F.col("document_id").alias(x)) for x in "ab")
+    ends = own.unionByName(links.select("rep_a", "rep_b"))
+    for x in "ab":
+        ends = ends.join(parts.select(F.col("rep").alias(f"rep_{x}"), F.col("parts").alias(f"parts_{x}")), f"rep_{x}").withColumn(f"part_{x}", F.explode(F.expr(f"sequence(0, parts_{x} - 1)")))
+    met = ends.join(a, ["rep_a", "part_a"]).join(b, ["rep_b", "part_b"]).where("rep_a <> rep_b OR a < b")
+    return met.select(F.least("a", "b").alias("document_id_a"), F.greatest("a", "b").alias("document_id_b"))

@@ -303,7 +303,35 @@ def test_scattered_edits_share_an_anchor_and_a_key():
         a, b = grams(words), grams(edited)
         if 0.5 <= len(a & b) / len(a | b) < 0.6:
             texts += [" ".join(words), " ".join(edited)]
-    f = golay.fingerprints(texts, 3, 10)
-    near = np.stack([golay.indices(f["words"][:, s]) for s in range(golay.SEGMENTS)], 1)
+    slots = golay.fingerprints(texts, 3, 10)["slots"].view(np.int64)
+    near = np.stack([golay.indices((slots[:, s] & 0x7FFFFF).astype(np.uint32)) for s in range(golay.SEGMENTS)], 1)
     key = (near[::2, :, :, None] == near[1::2, :, None, :]).any((2, 3))
-    assert (np.tile(key, 2) & (f["anchors"][::2] == f["anchors"][1::2])).any(1).mean() >= 0.92
+    assert (key & (slots[::2] >> 23 == slots[1::2] >> 23)).any(1).mean() >= 0.92
+
+
+def test_hot_anchors_and_the_exact_way_give_the_same_links(spark):
+    r = random.Random(8)
+    notice = " ".join(prose(r, 60).split())
+    texts = {}
+    for i in range(90):
+        words = (notice if i % 3 == 0 else prose(r, 60)).split()
+        for k in range(r.choice([1, 2])):
+            edited = words[:]
+            for _ in range(r.choice([1, 2])):
+                edited[r.randrange(len(edited))] = f"e{i}x{k}"
+            texts[f"d{i}k{k}"] = " ".join(edited)
+    docs = spark.createDataFrame([*texts.items(), ("n", None)], "document_id string, content string").repartition(3)
+    _, usual = golay.near_duplicates(docs, n=3, similarity=0.5, least=10, hot=1)
+    _, spread = golay.near_duplicates(docs, n=3, similarity=0.5, least=10, hot=100_000)
+    exact = golay.exact_links(docs, n=3, similarity=0.5, least=10)
+    a, b, c = ({tuple(x)[:2] for x in df.collect()} for df in (usual, spread, exact))
+    assert a == b and a <= c and len(a) >= 0.97 * len(c) and len(c) > 400
+    sets = {k: {tuple(w[i : i + 3]) for i in range(len(w) - 2)} for k, w in ((k, t.split()) for k, t in texts.items())}
+    assert c == {(x, y) for x, y in combinations(sorted(sets), 2) if sets[x] != sets[y] and 2 * len(sets[x] & sets[y]) >= len(sets[x] | sets[y])}
+
+
+def test_a_class_of_many_copies_is_joined_in_parts(spark):
+    members = spark.createDataFrame([(f"a{i:03d}", "a000") for i in range(40)] + [("b1", "b1"), ("c1", "c1"), ("c2", "c1")], "document_id string, rep string")
+    links = spark.createDataFrame([("a000", "c1", 0.9)], "rep_a string, rep_b string, similarity double")
+    got = [tuple(x) for x in golay.document_pairs(members, links, block=7).collect()]
+    assert len(got) == len(set(got)) == 40 * 39 // 2 + 1 + 80 and all(a < b for a, b in got) and ("a003", "c2") in got
