@@ -30,8 +30,8 @@ from ..session import materialize, ship, splits
 from . import vec
 
 SEGMENTS, FUNCTIONS, NIBBLES = 20, 64, 4
-#: An anchor is spread by index as well if more than one of HOT texts has it, as counted in about HOT_SAMPLE texts.
-HOT, HOT_SAMPLE = 500, 20_000
+#: An anchor of more than HOT texts, as estimated from about HOT_SAMPLE texts, is spread by index as well: what a task holds of one anchor is bounded.
+HOT, HOT_SAMPLE = 200_000, 20_000
 #: Fixed value: the generator polynomial x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1 of the code.
 GENERATOR = 0b110001110101
 
@@ -203,12 +203,11 @@ def _pairs(key: np.ndarray, ids: np.ndarray, size: np.ndarray, sketch: np.ndarra
 
 
 def _hot(prints: DataFrame, hot: int) -> np.ndarray:
-    """Anchors that more than one of `hot` texts of a sample have; at most SEGMENTS * hot of them."""
+    """Anchors that more than `hot` texts have by the count of a sample; fewer than a sample's anchors."""
     every = max(1, prints.count() // HOT_SAMPLE)
     some = prints.where(F.pmod(F.xxhash64("document_id"), F.lit(every)) == 0).select("slots")
     anchors = some.mapInPandas(lambda it: (pd.DataFrame({"anchor": np.frombuffer(b"".join(p["slots"]), np.int64) >> 23}) for p in it), "anchor bigint")
-    least = max(some.count() // hot, 8)
-    return np.array(sorted(r[0] for r in anchors.groupBy("anchor").count().where(F.col("count") > least).select("anchor").collect()), np.int64)
+    return np.array(sorted(r[0] for r in anchors.groupBy("anchor").count().where(F.col("count") * every > hot).select("anchor").collect()), np.int64)
 
 
 def _candidates(lead: DataFrame, similarity: float, hot: np.ndarray) -> DataFrame:
@@ -227,20 +226,18 @@ def _candidates(lead: DataFrame, similarity: float, hot: np.ndarray) -> DataFram
         """Rows of usual anchors go by anchor with all their indices to come, those of hot ones by anchor and index."""
         hot_ones = shared.value
         for pdf in explode(it):
-            anchor = pdf["slot"].to_numpy() >> 23
-            many = np.isin(anchor, hot_ones)
-            route, index, row = anchor[~many], np.full((~many).sum(), -1, np.int16), np.flatnonzero(~many)
+            slot = pdf["slot"].to_numpy()
+            many = np.isin(slot >> 23, hot_ones)
+            index, row = np.full((~many).sum(), -1, np.int16), np.flatnonzero(~many)
             if many.any():
-                near, r = _indices_of(pdf["slot"].to_numpy()[many])
-                held = np.flatnonzero(many)[r]
-                route = np.concatenate([route, vec.mix((anchor[held].view(np.uint64) << np.uint64(12)) | near).view(np.int64)])
-                index, row = np.concatenate([index, near.astype(np.int16)]), np.concatenate([row, held])
-            yield pd.DataFrame({"route": route, "idx": index} | {c: pdf[c].to_numpy()[row] for c in ("slot", "id", "size", *sketch)})
+                near, r = _indices_of(slot[many])
+                index, row = np.concatenate([index, near.astype(np.int16)]), np.concatenate([row, np.flatnonzero(many)[r]])
+            yield pd.DataFrame({"idx": index} | {c: pdf[c].to_numpy()[row] for c in ("slot", "id", "size", *sketch)})
 
-    kind = "slot bigint, id bigint, size int, " + ", ".join(f"{c} bigint" for c in sketch)
+    kind = "idx smallint, slot bigint, id bigint, size int, " + ", ".join(f"{c} bigint" for c in sketch)
     # One shuffle; the keys are made, sorted and paired where their rows lie.
-    held = lead.mapInPandas(routed, f"route bigint, idx smallint, {kind}").repartition(splits(spark), "route").drop("route")
-    held = held.withColumn("anchor", F.shiftright("slot", 23)).sortWithinPartitions("anchor")
+    anchor = F.shiftright("slot", 23)
+    held = lead.mapInPandas(routed, kind).repartition(splits(spark), anchor, "idx").withColumn("anchor", anchor).sortWithinPartitions("anchor")
 
     def pair(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = None  # the last anchor may go on in the next batch

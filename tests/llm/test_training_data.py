@@ -321,8 +321,8 @@ def test_hot_anchors_and_the_exact_way_give_the_same_links(spark):
                 edited[r.randrange(len(edited))] = f"e{i}x{k}"
             texts[f"d{i}k{k}"] = " ".join(edited)
     docs = spark.createDataFrame([*texts.items(), ("n", None)], "document_id string, content string").repartition(3)
-    _, usual = golay.near_duplicates(docs, n=3, similarity=0.5, least=10, hot=1)
-    _, spread = golay.near_duplicates(docs, n=3, similarity=0.5, least=10, hot=100_000)
+    _, usual = golay.near_duplicates(docs, n=3, similarity=0.5, least=10, hot=100_000)
+    _, spread = golay.near_duplicates(docs, n=3, similarity=0.5, least=10, hot=8)
     exact = golay.exact_links(docs, n=3, similarity=0.5, least=10)
     a, b, c = ({tuple(x)[:2] for x in df.collect()} for df in (usual, spread, exact))
     assert a == b and a <= c and len(a) >= 0.97 * len(c) and len(c) > 400
