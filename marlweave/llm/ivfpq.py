@@ -2,8 +2,9 @@
 
 Coarse centroids and the codebooks of the residuals are fitted on a bounded sample; every vector is coded and put into
 the list of its nearest centroid. A query visits the lists of its nearest centroids, gets asymmetric distances there
-from tables of its products with the codebooks, and keeps the best; these are ranked anew by exact cosines. Lists are
-cut into blocks of bounded size, queries into rounds of bounded size, so no task holds a whole list however large.
+from tables of its products with the codebooks, and keeps the best of all its lists; these are ranked anew by exact
+cosines. Lists are cut into blocks of bounded size, the queries of a list into rounds of bounded size, so no task holds
+a whole list however large. Exact vectors are sent once to each round of queries that wants them, not to each pair.
 """
 
 from __future__ import annotations
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship
 
-SUBSPACES, CODES, SAMPLE, BLOCK, MOST_LISTS = 16, 256, 40_000, 8192, 16_384
+SUBSPACES, CODES, SAMPLE, MOST_LISTS = 16, 256, 40_000, 16_384
+#: Members of a list that are searched at once, and queries of a list that are answered at once.
+BLOCK, ROUND = 8192, 4096
 
 
 def usable(vectors: pd.Series, dim: int) -> tuple[np.ndarray, np.ndarray]:
@@ -59,6 +62,15 @@ class Index:
 
     def __init__(self, coarse: np.ndarray, books: np.ndarray) -> None:
         self.coarse, self.books = coarse, books
+        self.margin = 0.0
+
+    def measure(self, x: np.ndarray) -> None:
+        """Sets margin: the largest error of the products of the vectors x by their codes."""
+        home = self.lists(x, 1)[:, 0]
+        codes = self.encode(x - self.coarse[home])
+        m, _, d = self.books.shape
+        held = self.coarse[home] + np.concatenate([self.books[j][codes[:, j]] for j in range(m)], axis=1)
+        self.margin = float(max((np.abs(x[lo : lo + 500] @ (x - held).T).max() for lo in range(0, len(x), 500)), default=0.0))
 
     def lists(self, x: np.ndarray, n: int) -> np.ndarray:
         """(vectors, n) nearest lists, nearest first."""
@@ -94,8 +106,10 @@ def fit(x: np.ndarray, n: int) -> Index:
     rest = x - coarse[(x @ coarse.T).argmax(axis=1)]
     m = SUBSPACES if x.shape[1] % SUBSPACES == 0 else 1
     d = x.shape[1] // m
-    books = np.stack([_padded(kmeans(np.ascontiguousarray(rest[:8192, j * d : (j + 1) * d]), CODES, 4, seed=j)) for j in range(m)])
-    return Index(coarse, books)
+    books = np.stack([_padded(kmeans(np.ascontiguousarray(rest[:, j * d : (j + 1) * d]), CODES, 4, seed=j)) for j in range(m)])
+    out = Index(coarse, books)
+    out.measure(x[:3000])  # 9 million products
+    return out
 
 
 def _padded(book: np.ndarray) -> np.ndarray:
@@ -109,7 +123,7 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = 64, probes: int = 4, d
     number that isn't finite, all 0) are neither queries nor answers; an id that comes again counts once; equal vectors
     are neighbours of cosine 1, of equal cosines the smaller id comes first; an empty table gives no rows. queries is a
     condition on id, floor the least cosine of an answer. probes lists are visited by each query, and the depth best of
-    each block of a list ranked exactly. A pair found from either side counts for both sides that are queries.
+    all of them ranked exactly. A pair found from either side counts for both sides that are queries.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -117,9 +131,9 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = 64, probes: int = 4, d
     n = rows.count()
     if n == 0:
         return spark.createDataFrame([], "id bigint, other bigint, cosine double, rank int")
-    every, rows, copies = rows, *_distinct(rows, k)
+    every, rows, copies = rows, *_distinct(rows, queries)
     slots = max(1, n // sample)
-    picked = rows.where(F.pmod(F.xxhash64("id"), F.lit(slots)) == 0).limit(2 * sample).toPandas()  # only of the vectors to fit on
+    picked = rows.where(F.pmod(F.xxhash64("id"), F.lit(slots)) == 0).select("embedding").limit(2 * sample).toPandas()  # only of the vectors to fit on
     _, x = usable(picked["embedding"], dim)
     if not len(x):
         return spark.createDataFrame([], "id bigint, other bigint, cosine double, rank int")
@@ -133,52 +147,52 @@ def neighbours(vectors: DataFrame, k: int = 5, dim: int = 64, probes: int = 4, d
             if not len(ids):
                 continue
             near = index.lists(x, probes)
-            home = near[:, 0]
+            home = near[:, 0].astype(np.int32)
             codes = index.encode(x - index.coarse[home])
-            yield pd.DataFrame({"list": home.astype(np.int32), "asks": False, "id": ids, "data": [c.tobytes() for c in codes]})
-            half = [v.tobytes() for v in x[asks].astype(np.float16)]
-            for j in range(near.shape[1]):
-                yield pd.DataFrame({"list": near[asks, j].astype(np.int32), "asks": True, "id": ids[asks], "data": half})
-
-    kind = "list int, asks boolean, id bigint, data binary"
-    routed = materialize(rows.withColumn("asks", F.lit(True) if copies is not None else F.expr(queries)).mapInPandas(route, kind), "routed")
-    sizes = routed.where("NOT asks").groupBy("list").agg(F.count("*").alias("n"))
-    cut = F.expr(f"cast(ceil(n / {BLOCK}) as int)")
-    blocks = routed.join(sizes.select("list", cut.alias("blocks")), "list")
-    members = blocks.where("NOT asks").withColumn("block", F.expr("cast(pmod(xxhash64(id), blocks) as int)"))
-    # a query goes to every block of its lists; its own round keeps the queries of a block apart
-    asked = blocks.where("asks").withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)")))
-    both = members.unionByName(asked).select("list", "block", "asks", "id", "data")
-    ask = "id bigint, other bigint"
+            yield pd.DataFrame({"list": home, "home": -1, "id": ids, "data": [c.tobytes() for c in codes]})
+            if asks.any():
+                half = np.array([v.tobytes() for v in x[asks].astype(np.float16)], object)
+                many = near.shape[1]
+                yield pd.DataFrame({"list": near[asks].ravel().astype(np.int32), "home": np.repeat(home[asks], many), "id": np.repeat(ids[asks], many), "data": np.repeat(half, many)})
+
+    routed = materialize(rows.mapInPandas(route, "list int, home int, id bigint, data binary"), "routed")
+    sizes = routed.groupBy("list").agg(F.count(F.when(F.col("home") < 0, 1)).alias("n"), F.count(F.when(F.col("home") >= 0, 1)).alias("q"))
+    cuts = sizes.where("n > 0 AND q > 0").select("list", F.expr(f"cast(ceil(n / {BLOCK}) as int)").alias("blocks"), F.expr(f"cast(ceil(q / {ROUND}) as int)").alias("rounds"))
+    held = routed.join(cuts, "list")
+    every_block, every_round = F.expr("sequence(0, blocks - 1)"), F.expr("sequence(0, rounds - 1)")
+    of = lambda parts: F.expr(f"cast(pmod(xxhash64(id), {parts}) as int)")
+    members = held.where("home < 0").withColumn("block", of("blocks")).withColumn("round", F.explode(every_round))
+    asked = held.where("home >= 0").withColumn("round", of("rounds")).withColumn("block", F.explode(every_block))
+    both = members.unionByName(asked).select("list", "block", "round", "home", "id", "data")
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         index = shared.value
-        mine = pdf["asks"].to_numpy()
+        mine = pdf["home"].to_numpy() >= 0
         ids, first = np.unique(pdf["id"].to_numpy()[~mine], return_index=True)
         if not len(ids) or not mine.any():
-            return pd.DataFrame({"id": np.empty(0, np.int64), "other": np.empty(0, np.int64)})
+            return pd.DataFrame({"home": np.empty(0, np.int32), "id": np.empty(0, np.int64), "other": np.empty(0, np.int64), "score": np.empty(0, np.float32)})
         codes = np.frombuffer(b"".join(pdf["data"].to_numpy()[~mine][first]), np.uint8).reshape(len(ids), -1)
         asking, start = np.unique(pdf["id"].to_numpy()[mine], return_index=True)
+        homes = pdf["home"].to_numpy()[mine][start]
         q = np.frombuffer(b"".join(pdf["data"].to_numpy()[mine][start]), np.float16).reshape(len(asking), -1).astype(np.float32)
-        out_q, out_m = [], []
+        at, out = int(pdf["list"].iloc[0]), []
         for lo in range(0, len(q), 256):
-            s = index.scores(q[lo : lo + 256], int(pdf["list"].iloc[0]), codes).T
+            s = index.scores(q[lo : lo + 256], at, codes).T
             s[ids[None, :] == asking[lo : lo + 256, None]] = -9
             if len(ids) > depth:
                 top = np.argpartition(-s, depth, axis=1)[:, :depth]
-                r = np.repeat(np.arange(len(s)), depth)
-                top = top.ravel()
+                r, top = np.repeat(np.arange(len(s)), depth), top.ravel()
             else:
                 r, top = np.divmod(np.arange(s.size), len(ids))
-            keep = s[r, top] >= max(-8.0, floor - 0.15)  # well below what the codes can be wrong by
-            out_q.append(asking[lo + r[keep]])
-            out_m.append(ids[top[keep]])
-        return pd.DataFrame({"id": np.concatenate(out_q), "other": np.concatenate(out_m)})
+            keep = s[r, top] >= max(-8.0, floor - 1.5 * index.margin)  # half as much again as the largest error of the codes that was measured
+            out.append((homes[lo + r[keep]], asking[lo + r[keep]], ids[top[keep]], s[r[keep], top[keep]]))
+        return pd.DataFrame(dict(zip(("home", "id", "other", "score"), map(np.concatenate, zip(*out)))))
 
-    found = both.groupBy("list", "block").applyInPandas(search, ask)
-    found = materialize(found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "candidates")
+    found = both.groupBy("list", "block", "round").applyInPandas(search, "home int, id bigint, other bigint, score float")
+    best = found.withColumn("r", F.row_number().over(W.partitionBy("id").orderBy(F.col("score").desc(), "other"))).where(F.col("r") <= depth)
+    found = materialize(best.select("home", "id", "other"), "candidates")
     exact = _cosines(rows, found, dim, floor)
-    sides = exact.select(F.col("a").alias("id"), F.col("b").alias("other"), "cosine").unionByName(exact.select(F.col("b").alias("id"), F.col("a").alias("other"), "cosine"))
+    sides = exact.unionByName(exact.select(F.col("other").alias("id"), F.col("id").alias("other"), "cosine")).dropDuplicates(["id", "other"])
     if copies is not None:
         sides = _with_copies(sides, every, copies, k, floor, dim)
     return _ranked(sides.where(F.expr(queries)), k)
@@ -189,17 +203,19 @@ def _ranked(sides: DataFrame, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k)
 
 
-def _distinct(rows: DataFrame, k: int) -> tuple[DataFrame, DataFrame | None]:
-    """One row for each different vector, and of the vectors that several ids share (key, id) of all and their first k + 1 ids.
+def _distinct(rows: DataFrame, queries: str) -> tuple[DataFrame, DataFrame | None]:
+    """(id, embedding, asks), one row for each different vector, and of the vectors that several ids share (id, rep) of all of those.
 
-    Only the vector with the smallest id is indexed, so that a vector shared by a third of all ids is searched once."""
+    Only the smallest id of a vector is indexed, so that a vector shared by a third of all ids is searched once; it asks
+    if any of its ids is a query."""
     keys = rows.select("id", F.xxhash64("embedding").alias("key")).distinct()
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("rep")).where("n > 1").select("key", "rep")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("id").alias("rep"), F.max(F.expr(queries)).alias("any_asks")).where("n > 1").select("key", "rep", "any_asks")
     shared = materialize(shared, "shared-vectors")
     if shared.isEmpty():
-        return rows, None
-    copies = materialize(keys.join(shared, "key").select("id", "rep"), "copies")
-    return rows.join(copies.where("id <> rep").select("id"), "id", "left_anti"), copies
+        return rows.withColumn("asks", F.expr(queries)), None
+    copies = materialize(keys.join(shared, "key").select("id", "rep", "any_asks"), "copies")
+    first = rows.join(copies, "id", "left").where("rep IS NULL OR rep = id").withColumn("asks", F.coalesce("any_asks", F.expr(queries)))
+    return first.select("id", "embedding", "asks"), copies.select("id", "rep")
 
 
 def _with_copies(sides: DataFrame, rows: DataFrame, copies: DataFrame, k: int, floor: float, dim: int) -> DataFrame:
@@ -217,17 +233,29 @@ def _with_copies(sides: DataFrame, rows: DataFrame, copies: DataFrame, k: int, f
 
 
 def _cosines(rows: DataFrame, pairs: DataFrame, dim: int, floor: float) -> DataFrame:
-    """Exact cosines of pairs, those of at least floor."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    held = rows.join(used, "id", "left_semi").dropDuplicates(["id"])
-    a, b = (held.select(F.col("id").alias(c), F.col("embedding").alias(f"v{c}")) for c in "ab")
-
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            x, y = (np.array(pdf[c].tolist(), np.float64).reshape(-1, dim) for c in ("va", "vb"))
-            x, y = (v / np.abs(v).max(axis=1, keepdims=True) for v in (x, y))
-            cos = (x * y).sum(axis=1) / np.sqrt((x * x).sum(axis=1) * (y * y).sum(axis=1))
+    """(id, other, cosine): exact cosines of pairs (home, id, other), those of at least floor.
+
+    The queries of a home are answered in rounds; each vector that a round needs is sent to it once."""
+    load = pairs.groupBy("home").agg(F.count("*").alias("n")).select("home", F.expr(f"cast(ceil(n / {ROUND * 16}) as int)").alias("rounds"))
+    cut = pairs.join(F.broadcast(load), "home").withColumn("round", F.expr("cast(pmod(xxhash64(id), rounds) as int)")).select("home", "round", "id", "other")  # as many rows as lists
+    needed = cut.select("home", "round", F.explode(F.array("id", "other")).alias("id")).distinct()
+    # the same id delivered again is dropped where it is used
+    held = needed.join(rows.select("id", "embedding"), "id").select("home", "round", "id", F.lit(0).cast("bigint").alias("other"), F.lit(False).alias("ask"), F.col("embedding").alias("v"))
+    both = cut.withColumns({"ask": F.lit(True), "v": F.lit(None).cast(rows.schema["embedding"].dataType)}).unionByName(held)
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        ask = pdf["ask"].to_numpy()
+        ids, first = np.unique(pdf["id"].to_numpy()[~ask], return_index=True)
+        x = np.stack(pdf["v"].to_numpy()[~ask][first]).astype(np.float64) if len(ids) else np.empty((0, dim))
+        x /= np.abs(x).max(axis=1, keepdims=True)
+        norm = (x * x).sum(axis=1)
+        a, b = pdf["id"].to_numpy()[ask], pdf["other"].to_numpy()[ask]
+        out = []
+        for lo in range(0, len(a), 20_000):
+            i, j = np.searchsorted(ids, a[lo : lo + 20_000]), np.searchsorted(ids, b[lo : lo + 20_000])
+            cos = (x[i] * x[j]).sum(axis=1) / np.sqrt(norm[i] * norm[j])
             keep = cos >= floor
-            yield pd.DataFrame({"a": pdf["a"][keep], "b": pdf["b"][keep], "cosine": cos[keep]})
+            out.append((a[lo : lo + 20_000][keep], b[lo : lo + 20_000][keep], cos[keep]))
+        return pd.DataFrame(dict(zip(("id", "other", "cosine"), map(np.concatenate, zip(*out)))) if out else {"id": np.empty(0, np.int64), "other": np.empty(0, np.int64), "cosine": np.empty(0)})
 
-    return pairs.join(a, "a").join(b, "b").mapInPandas(run, "a bigint, b bigint, cosine double")
+    return both.groupBy("home", "round").applyInPandas(run, "id bigint, other bigint, cosine double")

@@ -42,6 +42,11 @@ def p1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours(_vectors(spark, sf_dir), k=5, probes=48, depth=64, queries="id % 100 = 0").select("id", "other", F.round("cosine", 6).alias("cosine"), "rank")
 
 
+def p1_every(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest of every node, however far they are."""
+    return neighbours(_vectors(spark, sf_dir), k=5, probes=16, depth=24).select("id", "other", F.round("cosine", 6).alias("cosine"), "rank")
+
+
 def p2_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = pair_counts(endpoints(spark, sf_dir))
     return out.select(F.col("grp").alias("tenant_id"), F.col("item_a").alias("name_a"), F.col("item_b").alias("name_b"), "n_ab", "n_a", "n_b", "n", F.round("lift", 6).alias("lift"))
@@ -115,7 +120,7 @@ def p10_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p1_found": p1_found, "p1_nearest": p1_nearest, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p1_found": p1_found, "p1_nearest": p1_nearest, "p1_every": p1_every, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
@@ -132,6 +137,9 @@ SQL: dict[str, str] = {
     "p1_found": """WITH e AS (SELECT entity_id AS id, any_value(embedding)::DOUBLE[] AS v FROM entity WHERE len(embedding) = 64 GROUP BY entity_id), u AS (SELECT * FROM e WHERE isfinite(list_dot_product(v, v)) AND list_dot_product(v, v) > 0),
         s AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS c FROM u a JOIN u b ON a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS k FROM s WHERE c >= 0.9)
         SELECT DISTINCT least(a, b) AS entity_id_a, greatest(a, b) AS entity_id_b FROM r WHERE k <= 5""",
+    "p1_nearest": """WITH e AS (SELECT entity_id AS id, any_value(embedding)::DOUBLE[] AS v FROM entity WHERE len(embedding) = 64 GROUP BY entity_id), u AS (SELECT * FROM e WHERE isfinite(list_dot_product(v, v)) AND list_dot_product(v, v) > 0),
+        s AS (SELECT a.id, b.id AS other, list_cosine_similarity(a.v, b.v) AS c FROM u a JOIN u b ON a.id <> b.id WHERE a.id % 100 = 0), r AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY c DESC, other) AS INT) AS rank FROM s)
+        SELECT id, other, round(c, 6) AS cosine, rank FROM r WHERE rank <= 5""",
     "p7_found": r"""WITH d AS (SELECT DISTINCT document_id AS id, regexp_extract_all(lower(content), '[\pL\pN]+') AS w FROM document_with_entities WHERE content IS NOT NULL),
         g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k+2], ' '))) AS s FROM d), n AS (SELECT id, count(*) AS c FROM g GROUP BY id HAVING count(*) >= 10),
         p AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY ALL)
