@@ -117,10 +117,15 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return residue(table(spark, sf_dir, "documents"))
+    return residue(table(spark, sf_dir, "documents")).select("doc_id", "kind", F.round("coverage", 6).alias("coverage"), F.size("spans").alias("n_spans"))
 
 
-QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p1_found": p1_found, "p1_nearest": p1_nearest, "p1_every": p1_every, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where the residue of each such text lies."""
+    return residue(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.start", "s.end", "s.kind")
+
+
+QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p1_found": p1_found, "p1_nearest": p1_nearest, "p1_every": p1_every, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p10_spans": p10_spans, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),

@@ -1,16 +1,20 @@
 """Template residue, filler, error pages and script notices.
 
-Character n-gram models of filler, of notices (error pages, script notices and their page furniture) and of natural
-prose are fitted; every text is read through windows of the likelihood ratio, and a text whose windows are covered by
-filler or notices is residue. The models begin with the seed phrases below and are refitted on a bounded sample of the
-corpus (SAMPLE texts), so that they learn its own prose and its own kinds of residue. Places of a template that were
-left unfilled are found by their marks, outside quotations and listings.
+Character n-gram models of four kinds are fitted: filler, notices (error pages, script notices and their page furniture),
+unfilled places of a template, and natural prose. Every text is read through windows of the likelihood ratio against
+prose. A text whose windows are covered by filler or notices is residue, and so is one with a window of an unfilled place,
+which is short: its model has the shapes of characters beside the characters, a narrower window, and reads texts with
+quotations and listings blanked out, as what stands there is mentioned, not left unfilled.
+
+The models begin with the seeds below against all n-grams of the corpus; a second pass counts anew what they take for
+each kind, so that they learn the corpus' own prose and its own kinds of residue. Both passes read every text.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -20,8 +24,14 @@ from pyspark.sql import functions as F
 from ..session import ship
 from . import vec
 
-ORDER, BITS, WINDOW, SAMPLE, ROUNDS = 4, 18, 40, 4000, 3
-RATIO, COVERAGE, ADOPT, FLOOR = 0.25, 0.5, 0.3, 0.02
+ORDER, BITS, SHAPE_BITS, WINDOW, PLACE_WINDOW = 4, 18, 18, 40, 10
+#: Mean ratio of a window, share of a text in such windows, share and ratio at which a text is counted anew, and what a model takes from that of prose.
+RATIO, PLACE_RATIO, COVERAGE, ADOPT, PLACE_ADOPT, MIX, PLACE_MIX = 0.5, 1.75, 0.5, 0.3, 2.5, 0.3, 0.7
+#: Weight of the seeds beside what is counted anew, and the floor of prose.
+SEEDS, FLOOR = 3, 0.02
+BLOCK = 1 << 13
+#: A character of private use that stands for what is quoted; it counts as a letter.
+HIDDEN = "\ue000"
 
 #: Seed phrases of notices in the languages of the corpus, with page furniture.
 NOTICES = """
@@ -59,155 +69,249 @@ Texto de exemplo. Texto provisório. Texto de preenchimento. Aqui vai o texto. C
 foo bar baz test test test blah blah bla xxx 000 foo bla test bar blah foo foo bar
 asdf qwer asdfasdf jkl hjkl sdfg xcvb qwerty asdfjkl qwerasdf sdfghjkl zxcv hjklasdf yxcv uiop
 """
-_NAME = r"[A-Za-z][\w .-]{0,40}"
-#: Marks of an unfilled place.
-SLOT = re.compile(
-    rf"\{{\{{\s*[\w.# /-]{{1,40}}\s*\}}\}}|[$#]\{{\s*{_NAME}\s*\}}|\{{%-?\s*{_NAME}\s*-?%\}}|<%[=-]?\s*{_NAME}\s*%>|%%[A-Za-z_]\w*%%|(?<![\w%])%[A-Za-z_]{{2,30}}%(?![\w%])|@@\w+@@"
-    rf"|(?<!\w)__[A-Za-z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)*__(?!\w)|\[\[\s*{_NAME}\s*\]\]|%\({_NAME}\)[sd]|(?<![\w{{$#])\{{(?:\d{{1,2}}|[a-z]\w{{0,30}})\}}(?!\}})|&lt;\s*{_NAME}\s*&gt;"
-    rf"|<[a-z][\w ]{{0,40}} (?:goes|comes) here>|\[(?:your|insert|enter|add)\b[^\]\n]{{1,40}}\]|<(?:your|insert|enter) [\w ]{{1,40}}>",
-    re.I,
-)
-#: Quotations and listings; what stands in them is mentioned, not left unfilled.
+#: Marks in prose that are no places.
+PROSE = """See [notes] and [7]. Compare [3, 4] with [a], (see below) and [12]: as in [the list], [both]. It holds where a < b and c > d, 5% of 10% each, 20 % in all.
+#1 and #2, item_no_3, read_me, a/b, C++, C#, R&D, Q&A, $5, $20.50, 100%, x = {1, 2}, {a, b}, **bold**, *so*, __init__, a_b, ~10, ^2, a@b.org, https://a.org/b?c=d&e=f#g.
+array[0], x[i], [link](page.html), <b>bold</b>, <p class="a">, <br/>, ## Heading, - item, * item, | a | b |, --- and ... or e.g. (i.e. this), key: value; [sic], [...], [2024-01-01]."""
+#: How templates write a place (x: its name), how a field is left blank, and names of places.
+PLACES = """{{x}} {{ x }} ${x} #{x} {%x%} {% x %} <%= x %> <%x%> %%X%% %x% @@x@@ __X__ [[x]] %(x)s %(x)d {0} {1} {12} {x} &lt;x&gt; &lt; x &gt;""".split(" ")
+PHRASES = "<x goes here>; <x comes here>; [INSERT X HERE]; [YOUR X HERE]; [ENTER X]; [ADD X]; [your x]; [your x here]; [insert x]; [insert x here]; [enter x]; [add x here]; <your x>; <insert x>; <enter x>".split("; ")
+BLANKS = ": -; : --; : ...; : ___; : ???; : n/a; : N/A; : TBD; : TODO; : xxx".split("; ")
+FIELDS = "name date title city order.id first_name team amount summary company due_date price subject address user.name product".split()
 QUOTED = re.compile(r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|`[^`\n]*`|\"[^\"\n]{1,200}\"|“[^”\n]{1,200}”|„[^“”\n]{1,200}[“”]|«[^»\n]{1,200}»", re.S)
-MARKS = re.compile(r"[{\[<%@&]|__|[$#](?=\{)")
-FIELD = re.compile(r"^(?:#+\s*)?[^\W\d_][\w ]{0,30}:[ \t]*(.*)$")
-EMPTY = re.compile(r"^(?:|-+|–|—|\.{2,}|…|n/?a|tb[ad]|todo|none|null|nil|undefined|unknown|x{2,}|\?+|_+)\.?$", re.I)
 
 
-def _slot(text: str) -> bool:
-    return any(SLOT.match(text, m.start()) for m in MARKS.finditer(text))
+def _places() -> list[str]:
+    """Places with a name each and what may stand around them."""
+    filled = [f.replace("x", n, 1).replace("X", n.upper()) for f in PLACES for n in FIELDS]
+    return [f"so {f} and {f}, so {f}. So\n{f} is {f}\nso ({f}): so" for f in filled] + [f"{n}{b}\n{n}{b}\nso" for n in FIELDS for b in BLANKS]
 
 
-def unfilled(text: str) -> bool:
-    """Whether a place of a template stands unfilled: a mark outside quotations, or a card most of whose fields are empty."""
-    plain = text
-    if _slot(text):
-        plain = QUOTED.sub(" ", text)
-        if _slot(plain):
-            return True
-    if plain.count(":") < 3:
-        return False
-    lines = [x.strip() for x in plain.split("\n") if x.strip()]
-    fields = [m[1].strip() for x in lines if (m := FIELD.match(x))]
-    return len(fields) >= 3 and len(fields) >= 0.8 * len(lines) and sum(bool(EMPTY.match(v)) for v in fields) >= 0.6 * len(fields)
+def _phrases() -> list[str]:
+    """The words of places that are written out, without the names."""
+    return [f"so{b}\nso" for b in BLANKS] + [part for f in PHRASES for part in re.split(r"\bx\b", f" {f} ", flags=re.I) if len(part) > 4]
 
 
-def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed n-gram that ends at each character, and where the texts start. Digits count as one character."""
-    codes, offsets = vec.points([(t or "").lower() for t in texts])
-    c = codes.astype(np.uint32)
-    c[(c >= 48) & (c <= 57)] = 48
-    c[(c == 9) | (c == 10) | (c == 13)] = 32
+def outside(text: str) -> str:
+    """The text with HIDDEN in place of quotations and listings; nothing else moves."""
+    return QUOTED.sub(lambda m: HIDDEN * len(m[0]), text)
+
+
+def _lower(text: str) -> str:
+    """In small letters, as many characters as before."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+@cache
+def _kinds() -> np.ndarray:
+    """What each code point looks like: a letter, a digit, a blank, or itself."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    for c in range(0x110000):
+        x = chr(c)
+        if x.isalpha() or x == HIDDEN:
+            out[c] = 97
+        elif x.isdigit():
+            out[c] = 48
+        elif x.isspace():
+            out[c] = 32
+    return out
+
+
+def _hashed(c: np.ndarray, bits: int, offsets: np.ndarray) -> np.ndarray:
+    """The hashed n-gram that ends at each character; 0 where it would begin before its text."""
     h = np.zeros(len(c), np.uint32)
     for i in range(min(ORDER, len(c))):
         h *= np.uint32(0x01000193)
         h[i:] += c[: len(c) - i]
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
-    return h >> np.uint32(32 - BITS), offsets
+    h >>= np.uint32(32 - bits)
+    for i in range(ORDER - 1):
+        h[np.minimum(offsets[:-1] + i, offsets[1:] - 1)] = 0
+    return h
+
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram that ends at each character, and where the texts start. Digits count as one character."""
+    codes, offsets = vec.points([_lower(t or "") for t in texts])
+    c = codes.astype(np.uint32)
+    c[(c >= 48) & (c <= 57)] = 48
+    c[(c == 9) | (c == 10) | (c == 13)] = 32
+    return _hashed(c, BITS, offsets), offsets
+
+
+def _shapes(texts: list[str]) -> np.ndarray:
+    """The n-gram of shapes that ends at each character."""
+    codes, offsets = vec.points(texts)
+    return _hashed(_kinds()[codes], SHAPE_BITS, offsets)
+
+
+def _count(g: np.ndarray, bits: int, used: np.ndarray | None = None) -> np.ndarray:
+    out = np.bincount(g if used is None else g[used], minlength=1 << bits).astype(np.float64)
+    out[0] = 0  # no n-gram
+    return out
+
+
+def _share(counts: np.ndarray) -> np.ndarray:
+    return (1 - FLOOR) * counts / max(counts.sum(), 1) + FLOOR / len(counts)
+
 
+def _ratio(counts: np.ndarray, prose: np.ndarray, mix: float) -> np.ndarray:
+    """Log-likelihood ratio of each n-gram against prose; a model that has seen little falls back on prose."""
+    base = _share(prose)
+    out = np.log((1 - mix) * counts / max(counts.sum(), 1) / base + mix).astype(np.float32)
+    out[0] = 0
+    return out
 
-def _counts(texts: list[str]) -> np.ndarray:
-    return np.bincount(_grams(texts)[0], minlength=1 << BITS).astype(np.float64)
 
+def _means(r: np.ndarray, offsets: np.ndarray, window: int, least: int = 1) -> np.ndarray:
+    """The mean of r in the window around each character, within its text; a window of less than `least` counts as so long."""
+    n = len(offsets) - 1
+    at = np.arange(len(r))
+    doc = np.repeat(np.arange(n), np.diff(offsets))
+    lo, hi = np.maximum(at - window // 2, offsets[doc]), np.minimum(at + window // 2, offsets[doc + 1] - 1)
+    hi = np.maximum(hi, lo + 1)
+    sums = np.concatenate([[0.0], np.cumsum(r, dtype=np.float64)])
+    return (sums[hi] - sums[lo]) / np.maximum(hi - lo, least)
 
-def _weighted(g: np.ndarray, offsets: np.ndarray, used: np.ndarray) -> np.ndarray:
-    """Counts over the texts that are used."""
-    return np.bincount(g[np.repeat(used, np.diff(offsets))], minlength=1 << BITS).astype(np.float64)
 
+#: The counts that a pass over the corpus makes: name and bits.
+COUNTS = {"filler": BITS, "notice": BITS, "prose": BITS, "prose_shape": SHAPE_BITS}
 
-def _log(counts: np.ndarray) -> np.ndarray:
-    return np.log((1 - FLOOR) * counts / max(counts.sum(), 1) + FLOOR / len(counts))
+
+def seeds() -> dict[str, np.ndarray]:
+    """The counts of the seed phrases."""
+    filler, notices, places, phrases = FILLER.strip().split("\n"), NOTICES.strip().split("\n"), _places(), _phrases()
+    return {"filler": _count(_grams(filler)[0], BITS), "notice": _count(_grams(notices)[0], BITS), "place": _count(_grams(phrases)[0], BITS), "place_shape": _count(_shapes(places), SHAPE_BITS), "prose": _count(_grams([PROSE])[0], BITS), "prose_shape": _count(_shapes([PROSE]), SHAPE_BITS)}
 
 
 class Models:
-    """Log-likelihood ratios of filler and of notices against prose, for each n-gram."""
-
-    def __init__(self, filler: np.ndarray, notices: np.ndarray, prose: np.ndarray) -> None:
-        base = _log(prose)
-        self.ratios = np.stack([_log(filler) - base, _log(notices) - base]).astype(np.float32)
-
-    def coverage(self, texts: list[str]) -> np.ndarray:
-        """(texts, 2): the share of the characters of each text that lie in windows of filler and of notices."""
-        return self.covered(*_grams(texts))
-
-    def covered(self, g: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        n = len(offsets) - 1
-        out = np.zeros((n, 2))
-        length = np.maximum(np.diff(offsets) - 1, 1)
-        at = np.arange(len(g))
-        doc = np.repeat(np.arange(n), np.diff(offsets))
-        lo, hi = np.maximum(at - WINDOW // 2, offsets[doc]), np.minimum(at + WINDOW // 2, offsets[doc + 1] - 1)
-        hi = np.maximum(hi, lo + 1)
-        last = np.zeros(len(g), bool)
-        last[offsets[1:] - 1] = True
-        best = []
-        for r in self.ratios:
-            sums = np.concatenate([[0.0], np.cumsum(r[g], dtype=np.float64)])
-            best.append((sums[hi] - sums[lo]) / (hi - lo))
-        over = np.maximum(best[0], best[1]) > RATIO
-        for k in range(2):
-            mine = over & (best[k] >= best[1 - k]) & ~last
-            out[:, k] = np.add.reduceat(mine.astype(np.int64), offsets[:-1]) / length if n else 0
-        return out
-
-
-def fit(sample: list[str]) -> Models:
-    """Models from the seeds and a sample of texts: rounds of deciding which texts are residue and counting anew."""
-    seeds = [_counts(FILLER.strip().split("\n")), _counts(NOTICES.strip().split("\n"))]
-    sample = [t for t in sample if t and t.strip()]
-    parts = [_grams(sample[lo:hi]) for lo, hi in vec.batches(sample)]
-    empty = np.zeros(1 << BITS)
-    whole = sum((_weighted(g, o, np.ones(len(o) - 1, bool)) for g, o in parts), empty)
-    slots = np.fromiter(map(unfilled, sample), bool, len(sample))
-    models = Models(*seeds, whole if whole.sum() else empty + 1)
-    for _ in range(ROUNDS):
-        filler, notices, prose, at = empty, empty, empty, 0
-        for g, o in parts:
-            cover = models.covered(g, o)
-            residue = cover.sum(axis=1) >= ADOPT
-            kind = cover[:, 0] >= cover[:, 1]
-            filler = filler + _weighted(g, o, residue & kind)
-            notices = notices + _weighted(g, o, residue & ~kind)
-            prose = prose + _weighted(g, o, ~residue & ~slots[at : at + len(o) - 1])
-            at += len(o) - 1
-        models = Models(3 * seeds[0] + filler, 3 * seeds[1] + notices, prose if prose.sum() else empty + 1)
-    return models
-
-
-def residue(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(doc_id bigint, kind string, coverage double): texts that are template residue, filler or notices.
-
-    kind is `template`, `filler` or `notice`. docs needs doc_id and text; other columns are ignored. Texts are read
-    whole. Null ids and null or blank texts give no row, a repeated row gives one. `sample` bounds the texts on which
-    the models are fitted; they are taken by the hash of doc_id, so that the choice depends on nothing else.
+    """Log-likelihood ratios of filler, notices and places against prose, for each n-gram."""
+
+    def __init__(self, counts: dict[str, np.ndarray]) -> None:
+        some = {k: v if v.sum() else v + 1 for k, v in counts.items()}
+        self.filler, self.notice = (_ratio(some[k], some["prose"], MIX) for k in ("filler", "notice"))
+        self.place, self.place_shape = _ratio(some["place"], some["prose"], PLACE_MIX), _ratio(some["place_shape"], some["prose_shape"], PLACE_MIX)
+
+    def judged(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text its kind (0: none, 1: filler, 2: notice, 3: template) and coverage, and windows()."""
+        marks, offsets, _ = self.windows(texts)
+        cover = _coverage(marks, offsets)
+        full = cover[:, :2].sum(axis=1) >= COVERAGE
+        kind = np.where(full, np.where(cover[:, 0] >= cover[:, 1], 1, 2), np.where(cover[:, 2] > 0, 3, 0))
+        blank = np.fromiter((not t or t.isspace() for t in texts), bool, len(texts))
+        return np.where(blank, 0, kind), cover.sum(axis=1), marks, offsets
+
+    def windows(self, texts: list[str], place_ratio: float = PLACE_RATIO) -> tuple[np.ndarray, np.ndarray, dict[str, np.ndarray]]:
+        """For each character whether it is of filler (1), a notice (2), a place (3) or none of these (0), where the texts start, and the n-grams."""
+        g, offsets = _grams(texts)
+        plain = [outside(t or "") for t in texts]
+        shape = _shapes(plain)
+        hidden = vec.points(plain)[0] == ord(HIDDEN)
+        out = np.zeros(len(g), np.uint8)
+        if not len(g):
+            return out, offsets, {"g": g, "shape": shape}
+        filler, notice = _means(self.filler[g], offsets, WINDOW), _means(self.notice[g], offsets, WINDOW)
+        over = np.maximum(filler, notice) > RATIO
+        out[over & (filler >= notice)] = 1
+        out[over & (filler < notice)] = 2
+        words = self.place[g]
+        for i in range(ORDER):  # n-grams that reach into what is hidden don't count
+            words[i:][hidden[: len(g) - i]] = 0
+        place = _means(words + self.place_shape[shape], offsets, PLACE_WINDOW, PLACE_WINDOW) > place_ratio
+        out[place & ~hidden] = 3
+        out[offsets[1:] - 1] = 0
+        return out, offsets, {"g": g, "shape": shape}
+
+
+def _coverage(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """(texts, 3): the share of each text's characters that are of filler, notices and places."""
+    length = np.maximum(np.diff(offsets) - 1, 1)
+    return np.stack([np.add.reduceat((marks == k).astype(np.int64), offsets[:-1]) / length for k in (1, 2, 3)], axis=1) if len(length) else np.zeros((0, 3))
+
+
+def counts(rows: DataFrame, models: Models | None = None) -> dict[str, np.ndarray]:
+    """Counts of n-grams over all texts of rows (text): of all of them as prose, or by what models take each text for.
+
+    Every task adds up its own texts; blocks of the counters are summed in two steps."""
+    shared = rows.sparkSession.sparkContext.broadcast(models)
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models, held = shared.value, {k: np.zeros(1 << b, np.int64) for k, b in COUNTS.items()}
+        for pdf in it:
+            texts = pdf["text"].tolist()
+            for lo, hi in vec.batches(texts, 2_000_000):
+                part = texts[lo:hi]
+                if models is None:
+                    held["prose"] += _count(_grams(part)[0], BITS).astype(np.int64)
+                    held["prose_shape"] += _count(_shapes([outside(t) for t in part]), SHAPE_BITS).astype(np.int64)
+                    continue
+                marks, offsets, found = models.windows(part, PLACE_ADOPT)
+                cover = _coverage(marks, offsets)
+                full = cover[:, :2].sum(axis=1) >= ADOPT
+                kind = np.where(full, np.where(cover[:, 0] >= cover[:, 1], 1, 2), np.where(cover[:, 2] > 0, 3, 0))
+                of = np.repeat(kind, np.diff(offsets))
+                g, shape = found["g"], found["shape"]
+                for name, used in (("filler", of == 1), ("notice", of == 2), ("prose", of == 0)):
+                    held[name] += _count(g, BITS, used).astype(np.int64)
+                held["prose_shape"] += _count(shape, SHAPE_BITS, of == 0).astype(np.int64)
+        out = [(k, i, v[i * BLOCK : (i + 1) * BLOCK].tobytes()) for k, v in held.items() for i in range(len(v) // BLOCK) if v[i * BLOCK : (i + 1) * BLOCK].any()]
+        yield pd.DataFrame(out, columns=["kind", "block", "counts"])
+
+    def total(pdf: pd.DataFrame) -> pd.DataFrame:
+        summed = np.zeros(BLOCK, np.int64)
+        for c in pdf["counts"]:
+            summed += np.frombuffer(c, np.int64)
+        return pd.DataFrame({"kind": pdf["kind"].iloc[:1], "block": pdf["block"].iloc[:1], "counts": [summed.tobytes()]})
+
+    kind = "kind string, block int, counts binary"
+    local = rows.select("text").mapInPandas(run, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
+    summed = local.groupBy("kind", "block", "salt").applyInPandas(total, kind).groupBy("kind", "block").applyInPandas(total, kind)
+    out = {k: np.zeros(1 << b) for k, b in COUNTS.items()}
+    for r in summed.collect():  # a fixed number of counters
+        out[r["kind"]][r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], np.int64)
+    return out
+
+
+def fit(rows: DataFrame) -> Models:
+    """Models from the seeds and all texts of rows (text): first against all n-grams, then against what was taken for prose."""
+    start, whole = seeds(), counts(rows)
+    again = counts(rows, Models(start | {k: whole[k] + SEEDS * start[k] for k in ("prose", "prose_shape")}))
+    # places are as many as names: their model stays that of the seeds, and only learns what prose is
+    return Models({k: again[k] + SEEDS * start[k] for k in COUNTS} | {k: start[k] for k in ("place", "place_shape")})
+
+
+def residue(docs: DataFrame, models: Models | None = None) -> DataFrame:
+    """(doc_id bigint, kind string, coverage double, spans array<struct<start int, end int, kind string>>): texts that are template residue, filler or notices.
+
+    kind is `template`, `filler` or `notice`; spans are where the windows of each kind lie, in code points. docs needs
+    doc_id and text; other columns are ignored. Texts are read whole. Null ids and null or blank texts give no row, a
+    repeated row gives one.
     """
     spark = docs.sparkSession
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    n = rows.count()
-    slots = max(1, n // sample)
-    picked = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(slots)) == 0).limit(2 * sample)  # only of the rows to fit on
-    shared = spark.sparkContext.broadcast(fit([r[0] for r in picked.select("text").collect()]))
+    shared = spark.sparkContext.broadcast(models or fit(rows.select("text")))
+    names = np.array(["", "filler", "notice", "template"], object)
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         models = shared.value
         for pdf in it:
-            texts = pdf["text"].tolist()
+            texts, ids, out = pdf["text"].tolist(), pdf["doc_id"].tolist(), []
             for lo, hi in vec.batches(texts, 2_000_000):
-                part = texts[lo:hi]
-                cover = models.coverage(part)
-                total = cover.sum(axis=1)
-                slot = np.fromiter((unfilled(t) for t in part), bool, len(part))
-                full = (total >= COVERAGE) & np.fromiter((not t.isspace() and t != "" for t in part), bool, len(part))
-                kind = np.where(slot, "template", np.where(cover[:, 0] >= cover[:, 1], "filler", "notice"))
-                hit = slot | full
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[lo:hi][hit], "kind": kind[hit], "coverage": total[hit]})
+                kind, cover, marks, offsets = models.judged(texts[lo:hi])
+                for i in np.flatnonzero(kind).tolist():
+                    m = marks[offsets[i] : offsets[i + 1]]
+                    edge = np.flatnonzero(np.diff(m, prepend=0)).tolist()
+                    spans = [{"start": a, "end": b, "kind": names[m[a]]} for a, b in zip(edge, [*edge[1:], len(m)]) if m[a]]
+                    out.append((ids[lo + i], names[kind[i]], float(cover[i]), spans))
+            yield pd.DataFrame(out, columns=["doc_id", "kind", "coverage", "spans"])
 
-    return rows.mapInPandas(scan, "doc_id bigint, kind string, coverage double").dropDuplicates(["doc_id"])
+    return rows.mapInPandas(scan, "doc_id bigint, kind string, coverage double, spans array<struct<start:int,end:int,kind:string>>").dropDuplicates(["doc_id"])
 
 
-def without_residue(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def without_residue(docs: DataFrame, models: Models | None = None) -> DataFrame:
     """The rows whose texts are not residue; all columns, repeated rows and null texts stay."""
-    found = residue(docs, sample).select(F.col("doc_id").alias("_residue"))
+    found = residue(docs, models).select(F.col("doc_id").alias("_residue"))
     return docs.join(found, F.col("doc_id") == F.col("_residue"), "left_anti")

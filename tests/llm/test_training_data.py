@@ -209,9 +209,21 @@ def test_pack(spark):
 # 10: residue
 
 
+@pytest.fixture(scope="module")
+def residue_models(spark):
+    r = random.Random(5)
+    return residue.fit(spark.createDataFrame([(". ".join(" ".join(r.choice(WORDS) for _ in range(9)) for _ in range(6)) + ".",) for _ in range(100)], "text string"))
+
+
 @pytest.mark.parametrize("text, is_case", [("Hello {{name}}, the parcel left today.", True), ("The marker `{{name}}` is replaced later.", False), ("```\nprint('${x}')\n```\nThe listing shows it.", False), ("Title: -\nOwner: TBD\nTags: n/a\nSource: {0}", True), ("Title: Report\nOwner: Ann\nTags: a, b", False), ("See [notes] and [7].", False), ("", False), ("Dear [your name], welcome.", True), ("a < b and c > d, 5% of 10% each", False), ("Title: -\nOwner: TBD\nTags: n/a", True)])
-def test_unfilled_places(text, is_case):
-    assert residue.unfilled(text) == is_case
+def test_unfilled_places(residue_models, text, is_case):
+    assert bool((residue_models.windows([text])[0] == 3).any()) == is_case
+
+
+def test_spans_of_residue(residue_models):
+    text = " ".join(WORDS[:9]) + ", {{first_name}}, " + " ".join(WORDS[9:18]) + "."
+    kind, cover, marks, _ = residue_models.judged([text])
+    assert kind[0] == 3 and 0 < cover[0] < 0.5 and text.index("{{") <= np.flatnonzero(marks == 3).mean() <= text.index("}}")
 
 
 def test_residue(spark):
