@@ -1,9 +1,11 @@
 """Variant spellings of the names of persons and organisations.
 
-Names are parsed (titles, order, nicknames, abbreviations, legal forms) into a core, the family name or the
-organisation's own words, and the rest. Cores meet by a sparse cosine join over TF-IDF weighted character n-grams within
-their tenant; joined names whose spelling differs by no more than typing errors are pairs with a similarity. Connected
-pairs are grouped by average-linkage clustering. A name of which only an initial is known joins the only group it fits.
+A name is a vector of weighted character n-grams (two and three letters) over all its words, whatever their order; short
+and full forms of a given name share a feature. A sparse cosine join within each tenant finds the pairs of COSINE or
+more: features are ordered from rare to frequent, and only those before the rest of a vector falls below COSINE are
+joined, which loses no pair. Joined names are checked by parts (family name, given name, own words, legal form, in either
+order) for typing errors, and the cosines of those that pass are grouped by average-linkage clustering. A name of which
+only an initial is known joins the only group it fits.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship
+from ..session import materialize, ship, splits
 
-GRAM, COSINE, LINKAGE, WIDEST = 4, 0.12, 0.4, 300
+GRAMS, COSINE, LINKAGE, WIDEST = (2, 3), 0.3, 0.2, 300
 
 #: Given names with their usual short forms.
 NICKNAMES = """alexander alex sandy sascha; alexandra alex sandra; andrew andy drew; anthony tony; antonio toni tonio; barbara barb babs; benjamin ben benny; catherine cathy cate; charles charlie chuck chas; christopher chris kit;
@@ -67,6 +69,22 @@ def _tokens(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.replace("'", "").replace("’", ""))
 
 
+def turned(p: tuple[str, str, str]) -> tuple[str, str, str]:
+    """A person's parsed name read in the other order, family name first."""
+    first, *rest = [p[1], *p[2].split(), *p[0].split()]
+    return first, rest[0], " ".join(rest[1:])
+
+
+def features(kind: str, p: tuple[str, str, str]) -> set[str]:
+    """The n-grams of the words of a parsed name, and for given names the full forms."""
+    out: set[str] = set()
+    for word in " ".join(p if kind == "PERSON" else p[:2]).split():
+        padded = f"#{word}#"
+        out |= {padded[i : i + n] for n in GRAMS for i in range(len(padded) - n + 1)}
+        out |= {f"={x}" for x in FORMAL.get(word, ())} if kind == "PERSON" else set()
+    return out
+
+
 def parse(kind: str, name: str) -> tuple[str, str, str] | None:
     """(core, given, more) of a name: of a person the family name, the given name and middle names, of an organisation its own words, sector and legal form."""
     low = re.sub(r"\s+", " ", name.strip().lower())
@@ -77,7 +95,8 @@ def parse(kind: str, name: str) -> tuple[str, str, str] | None:
             last = [t for t in _tokens(family) if t not in TITLES]
         else:
             given = given or [t for t in _tokens(family) if t not in TITLES]
-            last, given = given[-1:], given[:-1]
+            first = len(given) > 1 and len(given[-1]) == 1 < len(given[0])  # an initial at the end is no family name
+            last, given = (given[:1], given[1:]) if first else (given[-1:], given[:-1])
         if not last:
             return None
         return " ".join(last), given[0] if given else "", " ".join(given[1:])
@@ -121,9 +140,19 @@ def similarity(kind: str, a: tuple[str, str, str], b: tuple[str, str, str]) -> f
     return (1.0, 0.9, 0.5, 0.3)[total] - unsure
 
 
-def letters(kind: str, given: str) -> list[str]:
-    """First letters that a given name can have, as it stands or in full; one empty string for organisations."""
-    return sorted({x[:1] for x in (given, *FORMAL.get(given, ()))}) if kind == "PERSON" else [""]
+def alike(kind: str, a: tuple[str, str, str], b: tuple[str, str, str], turn_a: bool, turn_b: bool) -> bool:
+    """Whether two parsed names pass the check by parts, one of them in the other order if its order isn't certain."""
+    return similarity(kind, a, b) > 0 or (turn_a and similarity(kind, turned(a), b) > 0) or (turn_b and similarity(kind, a, turned(b)) > 0)
+
+
+def letters(given: str) -> set[str]:
+    """First letters that a given name can have, as it stands or in full."""
+    return {x[:1] for x in (given, *FORMAL.get(given, ()))}
+
+
+def _near_keys(word: str) -> set[str]:
+    """A word and all that is left of it without one letter: words one error apart share one."""
+    return {word} | {word[:i] + word[i + 1 :] for i in range(len(word))}
 
 
 def _cluster(names: list[int], pairs: dict[tuple[int, int], float]) -> list[list[int]]:
@@ -143,6 +172,11 @@ def _cluster(names: list[int], pairs: dict[tuple[int, int], float]) -> list[list
     return list(groups.values())
 
 
+def _grouped(pairs: dict[tuple[int, int], float]) -> list[tuple[int, int]]:
+    """(name, group) of the names in pairs."""
+    return [(n, min(g)) for g in _cluster(sorted({x for p in pairs for x in p}), pairs) for n in g]
+
+
 def _components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, comp): the smallest id of each connected component, by passing labels along edges and their labels' labels."""
     both = materialize(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
@@ -163,7 +197,7 @@ def groups(names: DataFrame) -> DataFrame:
 
     names has tenant_id, kind (PERSON or another word for organisations) and name; other columns are ignored. Repeated
     rows count once; null tenants, kinds and names and names without a letter or digit give no row; a name without
-    variants is a group of its own.
+    variants is a group of its own. A person's name without a comma is read in either order.
     """
     spark = names.sparkSession
     ship(spark)
@@ -178,54 +212,86 @@ def groups(names: DataFrame) -> DataFrame:
             out = pdf[ok].reset_index(drop=True)
             for i, c in enumerate(("core", "given", "more")):
                 out[c] = [x[i] for x in p if x]
-            out["firsts"] = [letters(k, g) for k, g in zip(out["kind"], out["given"])]
+            out["turns"] = [k == "PERSON" and g != "" and "," not in n for k, g, n in zip(out["kind"], out["given"], out["name"])]
             yield out
 
-    items = held.mapInPandas(parsed, "tenant_id string, kind string, name string, core string, given string, more string, firsts array<string>")
-    # names that are parsed alike are one item: however many spellings of it there are, it is compared once
+    items = held.mapInPandas(parsed, "tenant_id string, kind string, name string, core string, given string, more string, turns boolean")
+    # names that are parsed alike are one item: however many spellings of it there are, it is compared once; a comma makes the order certain
     parts = ["tenant_id", "kind", "core", "given", "more"]
     spelled = materialize(items.withColumn("id", F.xxhash64(*parts)), "names")
-    items = materialize(spelled.select("id", *parts, "firsts").dropDuplicates(["id"]), "items")
-    near = _core_pairs(items.select("tenant_id", "kind", "core").distinct())
-    cols = ["core", "given", "more", "id"]
-    a = items.select("tenant_id", "kind", F.explode("firsts").alias("first"), *[F.col(c).alias(f"{c}_a") for c in cols])
-    b = items.select("tenant_id", "kind", F.explode("firsts").alias("first"), *[F.col(c).alias(f"{c}_b") for c in cols])
-    met = a.join(near, ["tenant_id", "kind", "core_a"]).join(b, ["tenant_id", "kind", "core_b", "first"]).where("id_a <> id_b")
+    items = materialize(spelled.groupBy("id", *parts).agg(F.min("turns").alias("turns")), "items")
+    strong = materialize(_strong(items), "strong-pairs")
+    comps = materialize(_components(items.select("id"), strong), "components")
+    clustered = materialize(_linked(comps, strong), "clusters")
+    return spelled.select("tenant_id", "kind", "name", "id").join(_initials(items, clustered, materialize(_initial_pairs(items), "initials")), "id").select("tenant_id", "kind", "name", "grp")
+
+
+def _strong(items: DataFrame) -> DataFrame:
+    """(a, b, sim): items of a tenant whose vectors have a cosine of COSINE or more and that pass the check by parts; a < b."""
+    place = ["tenant_id", "kind"]
+
+    def grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            found = [list(features(k, p)) for k, *p in zip(pdf["kind"], pdf["core"], pdf["given"], pdf["more"])]
+            n = np.fromiter(map(len, found), np.int64, len(found))
+            yield pd.DataFrame({c: np.repeat(pdf[c].to_numpy(), n) for c in ("tenant_id", "kind", "id")} | {"gram": [g for f in found for g in f]})
+
+    held = items.mapInPandas(grams, "tenant_id string, kind string, id bigint, gram string").select(*place, "id", F.xxhash64("kind", "gram").alias("gram"))
+    held = materialize(held, "grams")
+    total = max(items.count(), 1)
+    df = held.groupBy("gram").agg(F.count("*").alias("df"))
+    weighted = held.join(df, "gram").withColumn("w2", F.pow(F.log(F.lit(1.0) + F.lit(float(total)) / F.col("df")), 2))
+    whole, rest = W.partitionBy("id"), W.partitionBy("id").orderBy(F.col("df").desc(), "gram").rowsBetween(W.unboundedPreceding, 0)
+    weighted = weighted.withColumn("norm2", F.sum("w2").over(whole)).withColumn("rest2", F.sum("w2").over(rest))
+    unit = materialize(weighted.select(*place, "id", "gram", F.sqrt(F.col("w2") / F.col("norm2")).cast("float").alias("w"), (F.col("rest2") >= F.col("norm2") * (COSINE * COSINE) * (1 - 1e-9)).alias("joins")), "unit-vectors")
+    a, b = (unit.where("joins").select(*place, "gram", F.col("id").alias(x)) for x in "ab")
+    met = materialize(a.join(b, [*place, "gram"]).where("a < b").select("a", "b").distinct(), "met")
+    vectors = unit.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("gram", "w"))).alias("v")).select("id", F.col("v.gram").alias("grams"), F.col("v.w").alias("weights"))
+    full = materialize(items.join(vectors, "id"), "vectors")
+    cols = ["kind", "core", "given", "more", "turns", "grams", "weights"]
+    x, y = (full.select(F.col("id").alias(c), *[F.col(n).alias(f"{n}_{c}") for n in cols]) for c in "ab")
 
     def judge(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            x = list(zip(pdf["core_a"], pdf["given_a"], pdf["more_a"]))
-            y = list(zip(pdf["core_b"], pdf["given_b"], pdf["more_b"]))
-            s = np.array([similarity(k, p, q) for k, p, q in zip(pdf["kind"], x, y)], float)
-            # an initial stands for a name: only with the same core but for one error, and middle names that don't disagree
-            short = np.array([k == "PERSON" and len(p[1]) == 1 and q[1] != "" and edits(p[0], q[0], 1) <= 1 and not (p[2] and q[2] and p[2][0] != q[2][0]) for k, p, q in zip(pdf["kind"], x, y)], bool)
-            keep = (s > 0) | short
-            yield pd.DataFrame({"a": pdf["id_a"][keep], "b": pdf["id_b"][keep], "sim": s[keep], "initial": short[keep], "exact": np.array([p[0] == q[0] for p, q in zip(x, y)], bool)[keep], "both": np.array([len(q[1]) == 1 for q in y], bool)[keep]})
-
-    pairs = materialize(met.mapInPandas(judge, "a bigint, b bigint, sim double, initial boolean, exact boolean, both boolean").distinct(), "pairs")
-    strong = pairs.where("sim > 0 AND a < b")
-    nodes = items.select("id")
-    comps = materialize(_components(nodes, strong), "components")
-    clustered = materialize(_linked(comps, strong), "clusters")
-    return spelled.select("tenant_id", "kind", "name", "id").join(_initials(items, clustered, pairs), "id").select("tenant_id", "kind", "name", "grp")
-
-
-def _core_pairs(cores: DataFrame) -> DataFrame:
-    """(tenant_id, kind, core_a, core_b): cores of a tenant whose n-gram vectors have a cosine of COSINE or more, themselves included."""
-    gram = F.explode(F.array_distinct(F.expr(f"transform(sequence(1, greatest(1, length(padded) - {GRAM - 1})), i -> substring(padded, i, {GRAM}))"))).alias("gram")
-    grams = cores.withColumn("padded", F.concat(F.lit("#"), "core", F.lit("#"))).select("tenant_id", "kind", "core", gram)
-    total = max(cores.count(), 1)
-    df = grams.groupBy("gram").agg(F.count("*").alias("df"))
-    weighted = grams.join(df, "gram").withColumn("w", F.sqrt(F.log(F.lit(total + 1.0) / F.col("df")) + 0.1))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(W.partitionBy("tenant_id", "kind", "core")))
-    unit = materialize(weighted.select("tenant_id", "kind", "core", "gram", (F.col("w") / norm).alias("w")), "unit-vectors")
-    x = unit.select("tenant_id", "kind", "gram", F.col("core").alias("core_a"), F.col("w").alias("wa"))
-    y = unit.select("tenant_id", "kind", "gram", F.col("core").alias("core_b"), F.col("w").alias("wb"))
-    cos = x.join(y, ["tenant_id", "kind", "gram"]).where("core_a < core_b AND abs(length(core_a) - length(core_b)) <= 2").groupBy("tenant_id", "kind", "core_a", "core_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("cos")).where(F.col("cos") >= COSINE)
-    # a cheap bound before the pairs of names: no more than two typing errors apart
-    close = materialize(cos.where("levenshtein(core_a, core_b) <= 4").select("tenant_id", "kind", "core_a", "core_b"), "core-pairs")
-    back = close.select("tenant_id", "kind", F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"))
-    return close.unionByName(back).unionByName(cores.select("tenant_id", "kind", F.col("core").alias("core_a"), F.col("core").alias("core_b")))
+            sim = np.zeros(len(pdf))
+            rows = zip(*(pdf[f"{c}_{z}"] for z in "ab" for c in ("core", "given", "more", "turns", "grams", "weights")), pdf["kind_a"])
+            for i, (ca, ga, ma, ta, fa, wa, cb, gb, mb, tb, fb, wb, kind) in enumerate(rows):
+                _, at, bt = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
+                cos = float(np.dot(wa[at], wb[bt]))
+                if cos >= COSINE and alike(kind, (ca, ga, ma), (cb, gb, mb), ta, tb):
+                    sim[i] = cos
+            keep = sim > 0
+            yield pd.DataFrame({"a": pdf["a"][keep], "b": pdf["b"][keep], "sim": sim[keep]})
+
+    return met.join(x, "a").join(y, "b").mapInPandas(judge, "a bigint, b bigint, sim double")
+
+
+def _initial_pairs(items: DataFrame) -> DataFrame:
+    """(a, b, exact, both): items a of which only the initial of the given name is known with items b that it may stand for.
+
+    Family names may differ by one error (exact: by none), middle names must not disagree; both: b has an initial too."""
+    people = items.where("kind = 'PERSON' AND given <> ''")
+
+    def keyed(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for tenant, number, core, given, more, turns in zip(pdf["tenant_id"], pdf["id"], pdf["core"], pdf["given"], pdf["more"], pdf["turns"]):
+                for c, g, m in {(core, given, more)} | ({turned((core, given, more))} if turns else set()):
+                    out += [(tenant, number, c, g, m, x, y) for y in letters(g) for x in _near_keys(c)]
+            yield pd.DataFrame(out, columns=["tenant_id", "id", "core", "given", "more", "key", "letter"])
+
+    kind = "tenant_id string, id bigint, core string, given string, more string, key string, letter string"
+    short = people.where("length(given) = 1").withColumn("turns", F.lit(False)).mapInPandas(keyed, kind)
+    cols = ["id", "core", "given", "more"]
+    x, y = (df.select("tenant_id", "key", "letter", *[F.col(c).alias(f"{c}_{z}") for c in cols]) for z, df in (("a", short), ("b", people.mapInPandas(keyed, kind))))
+    met = x.join(y, ["tenant_id", "key", "letter"]).where("id_a <> id_b").drop("key", "letter").distinct()
+
+    def fit(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            ok = np.array([edits(p, q, 1) <= 1 and not (m and n and m[0] != n[0]) for p, q, m, n in zip(pdf["core_a"], pdf["core_b"], pdf["more_a"], pdf["more_b"])], bool)
+            yield pd.DataFrame({"a": pdf["id_a"], "b": pdf["id_b"], "exact": pdf["core_a"] == pdf["core_b"], "both": pdf["given_b"].str.len() == 1})[ok]
+
+    return met.mapInPandas(fit, "a bigint, b bigint, exact boolean, both boolean").distinct()
 
 
 def _linked(comps: DataFrame, strong: DataFrame) -> DataFrame:
@@ -234,13 +300,20 @@ def _linked(comps: DataFrame, strong: DataFrame) -> DataFrame:
     wide = sizes.where(F.col("size") > WIDEST)
     rows = strong.join(comps.join(sizes.where(F.col("size") <= WIDEST), "comp").select(F.col("id").alias("a"), "comp"), "a").select("comp", "a", "b", "sim")
 
-    def link(pdf: pd.DataFrame) -> pd.DataFrame:
-        pairs = {(int(a), int(b)): float(s) for a, b, s in zip(pdf["a"], pdf["b"], pdf["sim"])}
-        names = sorted({x for p in pairs for x in p})
-        out = [(n, min(g)) for g in _cluster(names, pairs) for n in g]
-        return pd.DataFrame(out, columns=["id", "grp"])
-
-    found = rows.groupBy("comp").applyInPandas(link, "id bigint, grp bigint")
+    def link(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last, pairs = None, {}  # the component that is being read, and its pairs
+        for pdf in it:
+            out = []
+            for comp, a, b, s in zip(pdf["comp"].tolist(), pdf["a"].tolist(), pdf["b"].tolist(), pdf["sim"].tolist()):
+                if comp != last:
+                    out += _grouped(pairs)
+                    last, pairs = comp, {}
+                pairs[a, b] = s
+            yield pd.DataFrame(out, columns=["id", "grp"])
+        yield pd.DataFrame(_grouped(pairs), columns=["id", "grp"])
+
+    # a number of partitions that is not adapted: many small components are more work than their bytes tell
+    found = rows.repartition(splits(rows.sparkSession), "comp").sortWithinPartitions("comp").mapInPandas(link, "id bigint, grp bigint")
     if not wide.isEmpty():
         found = found.unionByName(_rounds(strong.join(comps.join(wide, "comp").select(F.col("id").alias("a")), "a")))
     return comps.select("id").join(found, "id", "left").select("id", F.coalesce("grp", "id").alias("grp"))
@@ -273,9 +346,9 @@ def _rounds(pairs: DataFrame) -> DataFrame:
 
 def _initials(items: DataFrame, clustered: DataFrame, pairs: DataFrame) -> DataFrame:
     """Names with an initial join the only group that they fit; those that fit none join each other."""
-    fits = pairs.where("initial AND NOT both").join(clustered.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.countDistinct(F.when(F.col("exact"), F.col("grp"))).alias("n_exact"), F.min(F.when(F.col("exact"), F.col("grp"))).alias("g_exact"), F.countDistinct("grp").alias("n"), F.min("grp").alias("g"))
+    fits = pairs.where("NOT both").join(clustered.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.countDistinct(F.when(F.col("exact"), F.col("grp"))).alias("n_exact"), F.min(F.when(F.col("exact"), F.col("grp"))).alias("g_exact"), F.countDistinct("grp").alias("n"), F.min("grp").alias("g"))
     known = fits.select("id", F.when(F.col("n_exact") == 1, F.col("g_exact")).when((F.col("n_exact") == 0) & (F.col("n") == 1), F.col("g")).alias("to"))
-    lone = pairs.where("initial AND both AND exact AND a < b").join(fits.select(F.col("id").alias("a")), "a", "left_anti").join(fits.select(F.col("id").alias("b")), "b", "left_anti")
+    lone = pairs.where("both AND exact AND a < b").join(fits.select(F.col("id").alias("a")), "a", "left_anti").join(fits.select(F.col("id").alias("b")), "b", "left_anti")
     same = lone.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("twin"))
     out = items.select("id").join(clustered, "id").join(known, "id", "left").join(same, "id", "left")
     return out.select("id", F.coalesce("to", "twin", "grp").alias("grp"))
