@@ -94,6 +94,8 @@ def _phrases() -> list[str]:
 
 def outside(text: str) -> str:
     """The text with HIDDEN in place of quotations and listings; nothing else moves."""
+    if not any(c in text for c in ("`", '"', "“", "„", "«", "~~~")):
+        return text
     return QUOTED.sub(lambda m: HIDDEN * len(m[0]), text)
 
 
@@ -167,13 +169,21 @@ def _ratio(counts: np.ndarray, prose: np.ndarray, mix: float) -> np.ndarray:
 
 def _means(r: np.ndarray, offsets: np.ndarray, window: int, least: int = 1) -> np.ndarray:
     """The mean of r in the window around each character, within its text; a window of less than `least` counts as so long."""
-    n = len(offsets) - 1
-    at = np.arange(len(r))
-    doc = np.repeat(np.arange(n), np.diff(offsets))
-    lo, hi = np.maximum(at - window // 2, offsets[doc]), np.minimum(at + window // 2, offsets[doc + 1] - 1)
+    n, half = len(r), window // 2
+    sums = np.zeros(n + 1)
+    np.cumsum(r, dtype=np.float64, out=sums[1:])
+    out = np.zeros(n)
+    if n > 2 * half:
+        out[half : n - half] = (sums[2 * half : n] - sums[: n - 2 * half]) / max(2 * half, least)
+    # characters near the ends of their text have a shorter window
+    near = np.arange(half + 1)
+    first, last = offsets[:-1, None] + near, offsets[1:, None] - 1 - near
+    at = np.concatenate([first[first < offsets[1:, None]], last[last >= offsets[:-1, None]]])
+    doc = np.searchsorted(offsets, at, "right") - 1
+    lo, hi = np.maximum(at - half, offsets[doc]), np.minimum(at + half, offsets[doc + 1] - 1)
     hi = np.maximum(hi, lo + 1)
-    sums = np.concatenate([[0.0], np.cumsum(r, dtype=np.float64)])
-    return (sums[hi] - sums[lo]) / np.maximum(hi - lo, least)
+    out[at] = (sums[hi] - sums[lo]) / np.maximum(hi - lo, least)
+    return out
 
 
 #: The counts that a pass over the corpus makes: name and bits.
@@ -217,7 +227,7 @@ class Models:
         out[over & (filler >= notice)] = 1
         out[over & (filler < notice)] = 2
         words = self.place[g]
-        for i in range(ORDER):  # n-grams that reach into what is hidden don't count
+        for i in range(ORDER if hidden.any() else 0):  # n-grams that reach into what is hidden don't count
             words[i:][hidden[: len(g) - i]] = 0
         place = _means(words + self.place_shape[shape], offsets, PLACE_WINDOW, PLACE_WINDOW) > place_ratio
         out[place & ~hidden] = 3
