@@ -21,6 +21,8 @@ from . import vec
 
 BITS, CENTROIDS, SAMPLE, ROUNDS = 13, 3, 2500, 4
 NEAREST, LEAD, WORDS = 0.12, 0.12, 5
+#: Share of the labelled sample that a language needs to get centroids; below it, its labels are taken for errors.
+LEAST_SHARE = 0.005
 
 #: Codes and English names of languages (two letters, three letters, name).
 LANGUAGES = """en eng english; de deu ger german; fr fra fre french; es spa spanish; it ita italian; pt por portuguese; nl nld dut dutch; pl pol polish; sv swe swedish;
@@ -196,15 +198,17 @@ def label_of(metadata: str):
     return F.get_json_object(metadata, "$.lang")
 
 
-def fit_on(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model fitted on at most 2 * sample texts whose label names a language, taken by the hash of document_id."""
+def fit_on(docs: DataFrame, sample: int = SAMPLE, least_share: float = LEAST_SHARE) -> Model:
+    """A model fitted on at most 2 * sample texts whose label names a language, taken by the hash of document_id.
+
+    A language whose labels are less than least_share of them, or on one text only, gets no centroid; its texts are rejected or take the nearest language."""
     rows = docs.select("document_id", "content", label_of("metadata").alias("label")).where("document_id IS NOT NULL AND content IS NOT NULL AND label IS NOT NULL")
     slots = max(1, rows.count() // sample)
     held = rows.where(F.pmod(F.xxhash64("document_id"), F.lit(slots)) == 0).limit(2 * sample).collect()
     pairs = [(r["content"], code(r["label"])) for r in held]
     pairs = [(t, c) for t, c in pairs if c and readable(t)]
     counts = pd.Series([c for _, c in pairs]).value_counts() if pairs else pd.Series(dtype=int)
-    common = set(counts[counts >= max(2, 0.005 * len(pairs))].index)  # a language needs some texts to have a centroid
+    common = set(counts[counts >= max(2, least_share * len(pairs))].index)
     pairs = [(t, c) for t, c in pairs if c in common]
     return fit([t for t, _ in pairs], [c for _, c in pairs])
 

@@ -1,7 +1,9 @@
 """Evaluation texts within training text: a broadcast set of n-grams of the test items, scanned over every word window.
 
-The hashes of all sequences of n consecutive words of the items are the set. If it outgrows max_grams, the windows of
-the corpus are joined with it by a shuffle instead of a broadcast. A hit counts only after its words have been compared.
+The hashes of all sequences of n consecutive words of the items are the set; only hashes are broadcast, at most
+max_grams of them. A larger set is broadcast as a table of bits of fixed size instead, which lets a few more windows
+through. The windows that meet the set are joined with the n-grams on hash and words, so a hit counts only if its words
+are the same, and neighbouring hits become one run.
 """
 
 from __future__ import annotations
@@ -11,14 +13,15 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import materialize, ship
 from . import vec
 
 N_WORDS = 12
-MAX_GRAMS = 2_000_000  # 16 MB of hashes and as much of items
-SEEN_BITS = 22
+MAX_GRAMS = 2_000_000  # 16 MB of hashes
+SEEN_BITS, TABLE_BITS = 22, 27  # of the first look-up, and of the table in place of a larger set (16 MB)
 
 
 def _grams(ids: list[int], texts: list[str], n: int) -> pd.DataFrame:
@@ -55,85 +58,63 @@ def leaks(docs: DataFrame, items: DataFrame, n: int = N_WORDS, max_grams: int =
     """
     spark = docs.sparkSession
     ship(spark)
-    grams = item_grams(items, n)
-    held = grams.limit(max_grams + 1).toPandas()
+    grams = materialize(item_grams(items, n).distinct(), "item-grams")
     corpus = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
-    kind = "doc_id bigint, item_id bigint, start_word bigint, n_words bigint"
-    if len(held) > max_grams:
-        return _shuffled(corpus, grams, n, kind)
-    keys = np.unique(held["gram"].to_numpy().view(np.uint64))
-    by_gram: dict[int, list[tuple[int, str]]] = {}
-    for g, i, w in zip(held["gram"].to_numpy().view(np.uint64).tolist(), held["item_id"].tolist(), held["words"].tolist()):
-        by_gram.setdefault(g, []).append((i, w))
-    shared = spark.sparkContext.broadcast((keys, by_gram))
+    few = grams.select("gram").distinct().count() <= max_grams
+    shared = spark.sparkContext.broadcast(np.unique(grams.select("gram").distinct().toPandas()["gram"].to_numpy(np.int64).view(np.uint64)) if few else _table(grams))
 
     def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, by_gram = shared.value
+        keys = shared.value
         seen = np.zeros(1 << SEEN_BITS, bool)
-        seen[keys >> np.uint64(64 - SEEN_BITS)] = True
+        if few:
+            seen[keys >> np.uint64(64 - SEEN_BITS)] = True
         for pdf in it:
             ids, texts = pdf["doc_id"].to_numpy(), pdf["text"].tolist()
             for lo, hi in vec.batches(texts):
                 w = vec.words(texts[lo:hi])
                 h, at = w.windows(n)
-                hit = np.flatnonzero(seen[h >> np.uint64(64 - SEEN_BITS)])
-                hit = hit[keys[np.minimum(np.searchsorted(keys, h[hit]), len(keys) - 1)] == h[hit]] if len(keys) else hit[:0]
-                rows = _verified(hit, h, at, w, texts[lo:hi], by_gram, n)
-                if rows:
-                    d, i, s, k = map(np.array, zip(*rows))
-                    yield pd.DataFrame({"doc_id": ids[lo:hi][d], "item_id": i, "start_word": s, "n_words": k})
-
-    return corpus.mapInPandas(scan, kind).distinct()
-
-
-def _verified(hit, h, at, w: vec.Words, texts, by_gram, n: int) -> list[tuple]:
-    """Runs (text, item, first word, words) from hits whose words are the same; neighbouring hits become one run."""
-    open_runs: dict[tuple[int, int], list[int]] = {}
-    rows = []
-    lowered: dict[int, str] = {}
+                if few:
+                    hit = np.flatnonzero(seen[h >> np.uint64(64 - SEEN_BITS)])
+                    hit = hit[keys[np.minimum(np.searchsorted(keys, h[hit]), len(keys) - 1)] == h[hit]] if len(keys) else hit[:0]
+                else:
+                    slot = h >> np.uint64(64 - TABLE_BITS)
+                    hit = np.flatnonzero(keys[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1)
+                if len(hit):
+                    d = w.doc[at[hit]]
+                    yield pd.DataFrame({"gram": h[hit].view(np.int64), "doc_id": ids[lo:hi][d], "place": at[hit] - w.first[d], "words": _words_at(texts[lo:hi], w, at[hit], n)})
+
+    hits = corpus.mapInPandas(scan, "gram bigint, doc_id bigint, place bigint, words string").join(grams, ["gram", "words"]).select("doc_id", "item_id", "place").distinct()
+    runs = hits.withColumn("run", F.col("place") - F.row_number().over(W.partitionBy("doc_id", "item_id").orderBy("place")))
+    return runs.groupBy("doc_id", "item_id", "run").agg(F.min("place").alias("start_word"), (F.count("*") + n - 1).alias("n_words")).drop("run")
+
+
+def _words_at(texts: list[str], w: vec.Words, at: np.ndarray, n: int) -> list[str]:
+    """The n words of each window. Windows come in the order of their texts."""
     base = np.concatenate([[0], np.cumsum([len((t or "").lower()) + 1 for t in texts])])
-    for k in hit.tolist():
-        a = int(at[k])
+    out, last, low = [], -1, ""
+    for a in at.tolist():
         d = int(w.doc[a])
-        if d not in lowered:
-            lowered = {d: texts[d].lower()}
-        found = " ".join(_split(lowered[d][w.starts[a] - base[d] : w.ends[a + n - 1] - base[d]]))
-        place = a - int(w.first[d])
-        for item, wanted in by_gram[int(h[k])]:
-            if wanted != found:
-                continue
-            run = open_runs.get((d, item))
-            if run and run[0] + run[1] - n + 1 == place:
-                run[1] += 1
-            else:
-                run = open_runs[d, item] = [place, n]
-                rows.append((d, item, run))
-    return [(d, item, run[0], run[1]) for d, item, run in rows]
-
-
-def _shuffled(corpus: DataFrame, grams: DataFrame, n: int, kind: str) -> DataFrame:
-    """The same for test sets too large to broadcast: windows and n-grams meet by a join on the hash."""
-
-    def windows(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            texts = pdf["text"].tolist()
-            for lo, hi in vec.batches(texts, 1_000_000):
-                w = vec.words(texts[lo:hi])
-                h, at = w.windows(n)
-                if not len(h):
-                    continue
-                low = "\n".join(t.lower() for t in texts[lo:hi]) + "\n"
-                yield pd.DataFrame({"gram": h.view(np.int64), "doc_id": pdf["doc_id"].to_numpy()[lo:hi][w.doc[at]], "place": at - w.first[w.doc[at]], "found": [" ".join(_split(low[w.starts[a] : w.ends[a + n - 1]])) for a in at]})
-
-    hits = corpus.mapInPandas(windows, "gram bigint, doc_id bigint, place bigint, found string").join(grams.distinct(), "gram").where("found = words").select("doc_id", "item_id", "place").distinct()
-    runs = hits.withColumn("run", F.col("place") - F.row_number().over(_by_place()))
-    return runs.groupBy("doc_id", "item_id", "run").agg(F.min("place").alias("start_word"), (F.count("*") + n - 1).alias("n_words")).select(*[c.split()[0] for c in kind.split(", ")])
-
-
-def _by_place():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("doc_id", "item_id").orderBy("place")
+        if d != last:
+            last, low = d, texts[d].lower()
+        out.append(" ".join(_split(low[w.starts[a] - base[d] : w.ends[a + n - 1] - base[d]])))
+    return out
+
+
+def _table(grams: DataFrame) -> np.ndarray:
+    """A table of TABLE_BITS bits in which the first bits of every hash are set; made in blocks, so that the driver gets the table and not the hashes."""
+    block = 16
+    slot = F.shiftrightunsigned("gram", 64 - TABLE_BITS)
+
+    def bits(pdf: pd.DataFrame) -> pd.DataFrame:
+        b = np.zeros(1 << (TABLE_BITS - block), bool)
+        b[pdf["slot"].to_numpy() & ((1 << (TABLE_BITS - block)) - 1)] = True
+        return pd.DataFrame({"block": pdf["block"].iloc[:1], "bits": [np.packbits(b, bitorder="little").tobytes()]})
+
+    rows = grams.select(slot.alias("slot")).distinct().withColumn("block", F.shiftright("slot", TABLE_BITS - block)).groupBy("block").applyInPandas(bits, "block bigint, bits binary").collect()
+    out = np.zeros((1 << block, 1 << (TABLE_BITS - block - 3)), np.uint8)
+    for r in rows:
+        out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    return out.ravel()
 
 
 def leaked_items(docs: DataFrame, items: DataFrame, n: int = N_WORDS) -> DataFrame:

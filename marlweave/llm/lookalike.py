@@ -132,17 +132,32 @@ def lookalike_names(nodes: DataFrame) -> DataFrame:
     return held.withColumnRenamed("name", "name_a").join(other, ["tenant_id", "form"]).where("name_a < name_b")
 
 
-def lookalike_nodes(nodes: DataFrame) -> DataFrame:
+def lookalike_nodes(nodes: DataFrame, block: int = 1000) -> DataFrame:
     """(entity_id_a bigint, entity_id_b bigint), smaller id first: two nodes of one tenant whose names differ but look the same.
 
-    A node delivered again counts once; null ids give no row. Names with many nodes are spread by a salt over the join."""
-    salts = 16
+    A node delivered again counts once; null ids give no row. A name of more than `block` nodes is joined in parts, on
+    either side."""
     pairs = materialize(lookalike_names(nodes).drop("form"), "name-pairs")
     used = pairs.select("tenant_id", F.explode(F.array("name_a", "name_b")).alias("name")).distinct()
     held = nodes.select("entity_id", "tenant_id", "name").where("entity_id IS NOT NULL").join(used, ["tenant_id", "name"], "left_semi").dropDuplicates(["entity_id"])
-    held = held.withColumn("_salt", F.pmod(F.xxhash64("entity_id"), F.lit(salts)).cast("int"))
-    spread = pairs.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    a = held.select("tenant_id", F.col("name").alias("name_a"), "_salt", F.col("entity_id").alias("a"))
-    b = held.select("tenant_id", F.col("name").alias("name_b"), F.col("entity_id").alias("b"))
-    rows = spread.hint("merge").join(a, ["tenant_id", "name_a", "_salt"]).drop("_salt").join(b, ["tenant_id", "name_b"])
+    held = materialize(held, "named-nodes")
+    parts = held.groupBy("tenant_id", "name").agg(F.expr(f"cast(ceil(count(*) / {block}) as int)").alias("parts"))
+    placed = held.join(parts, ["tenant_id", "name"]).withColumn("part", F.expr("cast(pmod(xxhash64(entity_id), parts) as int)"))
+    rows = pairs
+    for x in "ab":
+        rows = rows.join(parts.select("tenant_id", F.col("name").alias(f"name_{x}"), F.col("parts").alias(f"parts_{x}")), ["tenant_id", f"name_{x}"]).withColumn(f"part_{x}", F.explode(F.expr(f"sequence(0, parts_{x} - 1)")))
+    for x in "ab":
+        side = placed.select("tenant_id", F.col("name").alias(f"name_{x}"), F.col("part").alias(f"part_{x}"), F.col("entity_id").alias(x))
+        rows = rows.join(side, ["tenant_id", f"name_{x}", f"part_{x}"])
     return rows.select(F.least("a", "b").alias("entity_id_a"), F.greatest("a", "b").alias("entity_id_b")).distinct()
+
+
+def lookalike_classes(nodes: DataFrame) -> DataFrame:
+    """(tenant_id, entity_id bigint, form string, spellings bigint): every node whose name looks like a different name of its tenant, with the form they share and how many spellings it has.
+
+    One row for each node: the form is the class, and no pairs are made."""
+    forms = consistent_names(nodes)
+    held = forms.groupBy("tenant_id", "form").agg(F.count("*").alias("spellings")).where("spellings > 1 AND form <> '' AND form NOT RLIKE '^ +$'")
+    named = forms.join(held, ["tenant_id", "form"])
+    rows = nodes.select(F.col("entity_id").cast("bigint"), "tenant_id", "name").where("entity_id IS NOT NULL").dropDuplicates(["entity_id"])
+    return rows.join(named, ["tenant_id", "name"]).select("tenant_id", "entity_id", "form", "spellings")

@@ -9,23 +9,28 @@ within its length, and with it a slot of the plan.
 from __future__ import annotations
 
 import base64
-import heapq
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import materialize, ship
+from ..session import materialize, ship, splits
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how byte_bpe_50k cuts a text before merging.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+_sent: set[tuple[str, str]] = set()
+
+
 @cache
 def _encoding(path: str):
     import tiktoken
@@ -36,12 +41,19 @@ def _encoding(path: str):
 
 
 def token_counts(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id bigint, n_tokens int) of every text; null ids and null texts give no row, an empty text has 0 tokens, a repeated doc_id counts once."""
+    """(doc_id bigint, n_tokens int) of every text; null ids and null texts give no row, an empty text has 0 tokens, a repeated doc_id counts once.
+
+    The vocabulary is sent to the executors; path has to exist on the driver only."""
+    sc = docs.sparkSession.sparkContext
     ship(docs.sparkSession)
+    if (sc.applicationId, path) not in _sent:
+        sc.addFile(path)
+        _sent.add((sc.applicationId, path))
+    name = Path(path).name
     rows = docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def count(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = _encoding(path).encode_ordinary
+        encode = _encoding(SparkFiles.get(name)).encode_ordinary
         for pdf in it:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.fromiter((len(encode(t)) for t in pdf["text"]), np.int32, len(pdf))})
 
@@ -55,22 +67,21 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
     containers with the same gap is a run of numbers; a run is cut where only a part of it is used.
     """
     gaps: dict[int, list[tuple[int, int]]] = {}  # gap: runs (first container, containers)
-    order: list[int] = []  # heap of gaps that may have runs
+    order: list[int] = []  # the gaps that have runs, ascending
     slots, made = [], 0
 
     def give(gap: int, run: tuple[int, int]) -> None:
         if gap <= 0:
             return
-        if not gaps.get(gap):
-            heapq.heappush(order, gap)
+        if gap not in gaps:
+            insort(order, gap)
         gaps.setdefault(gap, []).append(run)
 
     for length in sorted((x for x in histogram if 0 < x <= capacity), reverse=True):
         left, rank = histogram[length], 0
         while left:
-            while order and not gaps.get(order[0]):
-                heapq.heappop(order)
-            fit = min((g for g in gaps if g >= length and gaps[g]), default=None)
+            at = bisect_left(order, length)
+            fit = order[at] if at < len(order) else None
             if fit is None:
                 each = capacity // length  # a new container takes as many of them as it holds
                 n = -(-left // each)
@@ -79,7 +90,7 @@ def plan(histogram: dict[int, int], capacity: int) -> tuple[list[tuple[int, int,
             else:
                 run = gaps[fit].pop()
                 if not gaps[fit]:
-                    del gaps[fit]
+                    del gaps[fit], order[at]
             first, n = run
             used = min(n, left)
             slots.append((length, rank, used, first, capacity - fit))
@@ -131,9 +142,18 @@ def pack(docs: DataFrame, capacity: int, path: str = TOKENIZER) -> DataFrame:
             out.append(pd.DataFrame({"doc_id": group["doc_id"].to_numpy(), "piece": group["piece"].to_numpy(), "first_token": group["piece"].to_numpy() * capacity, "n_tokens": int(n), "container": slot[:, 3] + rank - slot[:, 1], "at": slot[:, 4]}))
         return pd.concat(out)
 
-    return held.groupBy("part").cogroup(before.groupBy("of")).applyInPandas(place, "doc_id bigint, piece int, first_token int, n_tokens int, container bigint, at int")
+    # by number, so that the parts aren't put together again for being small: placing costs more than their bytes tell
+    n = max(splits(spark), 1)
+    return held.repartition(n, "part").groupBy("part").cogroup(before.repartition(n, "of").groupBy("of")).applyInPandas(place, "doc_id bigint, piece int, first_token int, n_tokens int, container bigint, at int")
 
 
 def fill(packed: DataFrame, capacity: int) -> DataFrame:
     """(containers bigint, tokens bigint, share double): how full the containers of pack() are."""
     return packed.agg(F.countDistinct("container").alias("containers"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens")).withColumn("share", F.when(F.col("containers") > 0, F.col("tokens") / (F.col("containers") * capacity)))
+
+
+def invariants(packed: DataFrame, capacity: int) -> DataFrame:
+    """(texts, overfull, overlapping, cut_without_need bigint): texts with a place, and how often a rule of pack() is broken."""
+    by = W.partitionBy("container").orderBy("at", "doc_id", "piece")
+    placed = packed.withColumn("next", F.lead("at").over(by)).withColumn("pieces", F.count("*").over(W.partitionBy("doc_id"))).withColumn("tokens", F.sum("n_tokens").over(W.partitionBy("doc_id")))
+    return placed.agg(F.countDistinct("doc_id").alias("texts"), F.count_if(F.col("at") + F.col("n_tokens") > capacity).alias("overfull"), F.count_if(F.col("at") + F.col("n_tokens") > F.col("next")).alias("overlapping"), F.count_if((F.col("pieces") > 1) & (F.col("tokens") <= capacity)).alias("cut_without_need"))

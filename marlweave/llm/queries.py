@@ -10,8 +10,8 @@ from .golay import document_pairs, near_duplicates
 from .ivfpq import neighbours
 from .language import mislabelled, segments
 from .leaks import leaked_items
-from .lookalike import lookalike_nodes
-from .packing import fill, pack
+from .lookalike import lookalike_classes, lookalike_nodes
+from .packing import fill, invariants, pack
 from .residue import residue
 from .together import pair_counts
 from .variants import groups, variant_pairs
@@ -68,6 +68,10 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookalike_nodes(table(spark, sf_dir, "entity"))
 
 
+def p4_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lookalike_classes(table(spark, sf_dir, "entity"))
+
+
 def names_of_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(tenant_id, kind, name): the stored names of persons and organisations, of nodes and of extractions."""
     kinds = F.col("entity_type").isin("PERSON", "ORGANIZATION")
@@ -108,6 +112,11 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill(p8_pack(spark, sf_dir), _capacity(spark, sf_dir, "medium"))
 
 
+def p8_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts that have a place, and breaches of the rules, of which there must be none."""
+    return invariants(p8_pack(spark, sf_dir), _capacity(spark, sf_dir, "medium"))
+
+
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_item"))
 
@@ -125,7 +134,7 @@ def p10_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue(table(spark, sf_dir, "documents")).select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.start", "s.end", "s.kind")
 
 
-QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p1_found": p1_found, "p1_nearest": p1_nearest, "p1_every": p1_every, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p10_spans": p10_spans, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
+QUERIES = {"p8_pack": p8_pack, "p8_fill": p8_fill, "p8_invariants": p8_invariants, "p1_found": p1_found, "p1_nearest": p1_nearest, "p1_every": p1_every, "p5_found": p5_found, "p5_groups": p5_groups, "p3_found": p3_found, "p3_segments": p3_segments, "p10_found": p10_found, "p10_kinds": p10_kinds, "p10_spans": p10_spans, "p2_found": p2_found, "p2_counts": p2_counts, "p4_found": p4_found, "p4_classes": p4_classes, "p7_found": p7_found, "p7_classes": p7_classes, "p9_found": p9_found}
 _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, target_entity]) AS name FROM extracted_relation WHERE weight >= 0.3),
         b AS (SELECT DISTINCT tenant_id, document_id, regexp_replace(regexp_replace(lower(name), '^[\s\pZ]+|[\s\pZ]+$', '', 'g'), '^(the|a|an)\s+', '') AS item
             FROM r JOIN (SELECT DISTINCT document_id, tenant_id FROM document_with_entities) USING (document_id) WHERE name IS NOT NULL),
@@ -139,6 +148,7 @@ _PAIRS = r"""WITH r AS (SELECT DISTINCT document_id, unnest([source_entity, targ
 SQL: dict[str, str] = {
     "p2_counts": _PAIRS,
     "p2_found": f"SELECT tenant_id, name_a, name_b FROM ({_PAIRS})",
+    "p8_invariants": "SELECT count(DISTINCT doc_id) AS texts, 0::BIGINT AS overfull, 0::BIGINT AS overlapping, 0::BIGINT AS cut_without_need FROM documents WHERE doc_id IS NOT NULL AND text <> ''",
     "p1_found": """WITH e AS (SELECT entity_id AS id, any_value(embedding)::DOUBLE[] AS v FROM entity WHERE len(embedding) = 64 GROUP BY entity_id), u AS (SELECT * FROM e WHERE isfinite(list_dot_product(v, v)) AND list_dot_product(v, v) > 0),
         s AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS c FROM u a JOIN u b ON a.id <> b.id), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS k FROM s WHERE c >= 0.9)
         SELECT DISTINCT least(a, b) AS entity_id_a, greatest(a, b) AS entity_id_b FROM r WHERE k <= 5""",

@@ -1,11 +1,12 @@
 """Items that appear together more often than chance: heavy-light decomposition.
 
 Within a group (tenant) an item is heavy if it is in at least max(HEAVY, baskets / SHARE) baskets, so that a group has
-a bounded number of heavy items whatever its size. Heavy pairs are counted by popcounts of dense bit matrices, one for
-each block of baskets; light pairs by hashing the pairs of each basket; a mixed pair by probing the baskets on the
-light item's list for heavy items. Baskets of more than BIG items never emit pairs: an item in `support` of them or more
-is heavy too, and a pair with a light item then has fewer big baskets than `support`, so it meets in a small basket
-at least once and its big baskets are added by probing the lists.
+at most SHARE times as many heavy items as an average basket has items. Heavy pairs are counted by popcounts of dense bit
+matrices, one for each block of baskets and pair of tiles of items, so that no task holds more than two tiles; light
+pairs by hashing the pairs of each basket; a mixed pair by probing the baskets on the light item's list for heavy items.
+Baskets of more than BIG items never emit pairs: an item in `support` of them or more goes to the matrices too, however
+many such items there are, and a pair with a light item then has fewer big baskets than `support`, so it meets in a small
+basket at least once and its big baskets are added by probing the lists.
 """
 
 from __future__ import annotations
@@ -13,14 +14,15 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import materialize, ship
 
-HEAVY, SHARE, BIG, BLOCK = 64, 128, 256, 8192
+HEAVY, SHARE, BIG, BLOCK, TILE = 64, 128, 256, 8192, 1024
 
 
-def pair_counts(items: DataFrame, support: int = 5, lift: int = 4, heavy: int = HEAVY, share: int = SHARE, big: int = BIG) -> DataFrame:
+def pair_counts(items: DataFrame, support: int = 5, lift: int = 4, heavy: int = HEAVY, share: int = SHARE, big: int = BIG, tile: int = TILE) -> DataFrame:
     """(grp, item_a, item_b strings, n_ab, n_a, n_b, n bigint, lift double): pairs with n_ab >= support and n_ab * n >= lift * n_a * n_b.
 
     items has grp, basket and item; n is the number of baskets of a group. Rows with a null or an empty item are
@@ -41,7 +43,7 @@ def pair_counts(items: DataFrame, support: int = 5, lift: int = 4, heavy: int =
     kept = held.join(freq.select("grp", "item", "heavy"), ["grp", "item"]).join(bigs, ["grp", "basket"], "left")
     kept = materialize(kept.withColumn("big", F.coalesce("big", F.lit(False))), "kept")
 
-    dense = _dense(kept.where("heavy"), support)
+    dense = _dense(kept.where("heavy"), support, tile)
     small = kept.where("NOT big").select("grp", "basket", "item", "heavy")
     light = small.where("NOT heavy").select("grp", "basket", F.col("item").alias("x"))
     other = small.select("grp", "basket", F.col("item").alias("y"), "heavy")
@@ -65,26 +67,49 @@ def _with_big(sparse: DataFrame, lists: DataFrame, bigs: DataFrame) -> DataFrame
     return sparse.join(more, ["grp", "item_a", "item_b"], "left").select("grp", "item_a", "item_b", (F.col("n_ab") + F.coalesce("more", F.lit(0))).alias("n_ab"))
 
 
-def _dense(heavy: DataFrame, support: int) -> DataFrame:
-    """Counts of pairs of heavy items: a bit matrix of items by baskets for each block of baskets, AND and popcount."""
-    load = heavy.select("grp", "basket").distinct().groupBy("grp").agg(F.count("*").alias("c")).withColumn("blocks", F.expr(f"cast(greatest(1, ceil(c / {BLOCK})) as int)"))
-    rows = heavy.select("grp", "basket", "item").join(load.select("grp", "blocks"), "grp").withColumn("block", F.expr("cast(pmod(xxhash64(basket), blocks) as int)")).drop("blocks")
+def _dense(heavy: DataFrame, support: int, tile: int) -> DataFrame:
+    """Counts of pairs of heavy items: bit rows of items for each block of baskets, AND and popcount of two tiles of items at a time."""
+    hashed = lambda c, n: F.expr(f"cast(pmod(xxhash64({c}), {n}) as int)")
+    baskets = heavy.select("grp", "basket").distinct()
+    blocks = baskets.groupBy("grp").agg(F.expr(f"cast(ceil(count(*) / {BLOCK}) as int)").alias("blocks"))
+    # the place of a basket in its block; a block has about BLOCK baskets
+    placed = baskets.join(blocks, "grp").withColumn("block", hashed("basket", "blocks")).withColumn("col", F.row_number().over(W.partitionBy("grp", "block").orderBy("basket")) - 1).select("grp", "basket", "block", "col")
+    tiles = heavy.select("grp", "item").distinct().groupBy("grp").agg(F.expr(f"cast(ceil(count(*) / {tile}) as int)").alias("tiles"))
+    rows = heavy.select("grp", "basket", "item").join(placed, ["grp", "basket"]).join(tiles, "grp").withColumn("tile", hashed("item", "tiles"))
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        items, row = np.unique(pdf["item"].to_numpy(dtype=object), return_inverse=True)
+        bits = np.zeros((len(items), -(-(int(pdf["col"].max()) + 1) // 64) * 64), bool)
+        bits[row, pdf["col"].to_numpy()] = True
+        return pd.DataFrame({"grp": pdf["grp"].iloc[0], "block": pdf["block"].iloc[0], "tile": pdf["tile"].iloc[0], "tiles": pdf["tiles"].iloc[0], "item": items, "bits": [b.tobytes() for b in np.packbits(bits, axis=1)]})
+
+    held = rows.groupBy("grp", "block", "tile").applyInPandas(packed, "grp string, block int, tile int, tiles int, item string, bits binary")
+    met = held.withColumn("other", F.explode(F.expr("sequence(0, tiles - 1)"))).withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
     kind = "grp string, item_a string, item_b string, c bigint"
 
+    def matrix(rows: pd.DataFrame) -> np.ndarray:
+        out = np.zeros((len(rows), max((len(b) for b in rows["bits"]), default=8)), np.uint8)
+        for k, b in enumerate(rows["bits"]):
+            out[k, : len(b)] = np.frombuffer(b, np.uint8)
+        return out.view(np.uint64)
+
     def popcounts(pdf: pd.DataFrame) -> pd.DataFrame:
-        col, baskets = pd.factorize(pdf["basket"])
-        items, row = np.unique(pdf["item"].to_numpy(dtype=object), return_inverse=True)
-        bits = np.zeros((len(items), -(-len(baskets) // 64) * 64), bool)
-        bits[row, col] = True
-        packed = np.packbits(bits, axis=1).view(np.uint64)
+        same = pdf["i"].iloc[0] == pdf["j"].iloc[0]
+        left = pdf[pdf["tile"] == pdf["i"]]
+        right = left if same else pdf[pdf["tile"] == pdf["j"]]
+        x, y = matrix(left), matrix(right)
+        width = min(x.shape[1], y.shape[1])
         a, b, c = [], [], []
-        for i in range(len(items) - 1):
-            n = np.bitwise_count(packed[i + 1 :] & packed[i]).sum(axis=1, dtype=np.int64)
+        for k in range(len(x)):
+            first = k + 1 if same else 0
+            n = np.bitwise_count(y[first:, :width] & x[k, :width]).sum(axis=1, dtype=np.int64)
             at = np.flatnonzero(n)
-            a.append(np.full(len(at), i))
-            b.append(at + i + 1)
+            a.append(np.full(len(at), k))
+            b.append(at + first)
             c.append(n[at])
-        a, b, c = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (a, b, c))
-        return pd.DataFrame({"grp": pdf["grp"].iloc[0], "item_a": items[a.astype(int)], "item_b": items[b.astype(int)], "c": c.astype(np.int64)})
+        a, b, c = (np.concatenate(v).astype(np.int64) if v else np.empty(0, np.int64) for v in (a, b, c))
+        p, q = left["item"].to_numpy(dtype=object)[a], right["item"].to_numpy(dtype=object)[b]
+        swap = np.array([s > t for s, t in zip(p, q)], bool)
+        return pd.DataFrame({"grp": pdf["grp"].iloc[0], "item_a": np.where(swap, q, p), "item_b": np.where(swap, p, q), "c": c})
 
-    return rows.groupBy("grp", "block").applyInPandas(popcounts, kind).groupBy("grp", "item_a", "item_b").agg(F.sum("c").alias("n_ab")).where(F.col("n_ab") >= support)
+    return met.groupBy("grp", "block", "i", "j").applyInPandas(popcounts, kind).groupBy("grp", "item_a", "item_b").agg(F.sum("c").alias("n_ab")).where(F.col("n_ab") >= support)

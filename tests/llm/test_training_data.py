@@ -73,7 +73,7 @@ def test_lookalike_nodes(spark):
 # 2: pairs
 
 
-@pytest.mark.parametrize("settings", [{}, {"heavy": 6, "share": 1000, "big": 8}, {"heavy": 1, "share": 10**6}, {"heavy": 10**6, "share": 1, "big": 4}])
+@pytest.mark.parametrize("settings", [{}, {"heavy": 1, "share": 10**6, "tile": 7}, {"heavy": 6, "share": 1000, "big": 8}, {"heavy": 1, "share": 10**6}, {"heavy": 10**6, "share": 1, "big": 4}])
 def test_pairs_against_brute_force(spark, settings):
     r = random.Random(1)
     rows, baskets = [], {}
@@ -287,6 +287,13 @@ def test_variants(spark):
     assert variants.groups(df.limit(0)).count() == 0
 
 
+def test_variants_in_either_order_with_errors_anywhere(spark):
+    same = [["Jennifer Bendorrermor", "Bendorrermor Jennifer", "Dendorrermor, Jennifer", "Uennifer Bendorrermor", "Jenny Bendorrermor"], ["Anna Lee", "Anna Lea"], ["Hugo Smith", "Hugo Smyth", "Smith Hugo"], ["Clara Smith"], ["Smith, Charles", "C. Smith"][:1], ["Otto Hunt", "Hunt O."]]
+    rows = [("t", "PERSON", n) for g in same for n in g] + [("t", "PERSON", f"{x}ian{y} Smith") for x in ("Dor", "Mar", "Bel") for y in ("a", "us")]
+    got = {tuple(x)[1:] for x in variants.variant_pairs(variants.groups(spark.createDataFrame(rows, "tenant_id string, kind string, name string"))).collect()}
+    assert got == {p for g in same for p in combinations(sorted(g), 2)}
+
+
 def test_average_linkage_doesn_t_chain():
     pairs = {(i, i + 1): 0.9 for i in range(6)}
     assert max(map(len, variants._cluster(list(range(7)), pairs))) < 7
