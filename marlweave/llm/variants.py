@@ -1,11 +1,12 @@
 """Variant spellings of the names of persons and organisations.
 
-A name is a vector of weighted character n-grams (two and three letters) over all its words, whatever their order; short
-and full forms of a given name share a feature. A sparse cosine join within each tenant finds the pairs of COSINE or
-more: features are ordered from rare to frequent, and only those before the rest of a vector falls below COSINE are
-joined, which loses no pair. Joined names are checked by parts (family name, given name, own words, legal form, in either
-order) for typing errors, and the cosines of those that pass are grouped by average-linkage clustering. A name of which
-only an initial is known joins the only group it fits.
+Names are read by parts: family and given name, in either order where no comma tells it, or an organisation's own words,
+sector and legal form. Family names and own words meet by a sparse join of weighted character n-gram vectors within their
+tenant: n-grams are ordered from rare to frequent, and only those before the rest of a vector falls below COSINE are
+joined, which loses no pair of that cosine; pairs one error apart, however short, meet by what is left of them without
+one letter as well. Names whose parts differ by no more than typing errors and short forms are linked by the cosine of
+the weighted n-gram vectors of the whole names, and the links grouped by average-linkage clustering. A name of which only
+an initial is known joins the only group it fits.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship, splits
 
-GRAMS, COSINE, LINKAGE, WIDEST = (2, 3), 0.3, 0.2, 300
+GRAM, GRAMS, COSINE, LINKAGE, WIDEST = 4, (2, 3), 0.2, 0.2, 300
 
 #: Given names with their usual short forms.
 NICKNAMES = """alexander alex sandy sascha; alexandra alex sandra; andrew andy drew; anthony tony; antonio toni tonio; barbara barb babs; benjamin ben benny; catherine cathy cate; charles charlie chuck chas; christopher chris kit;
@@ -226,44 +227,83 @@ def groups(names: DataFrame) -> DataFrame:
     return spelled.select("tenant_id", "kind", "name", "id").join(_initials(items, clustered, materialize(_initial_pairs(items), "initials")), "id").select("tenant_id", "kind", "name", "grp")
 
 
+def _near_cores(cores: DataFrame) -> DataFrame:
+    """(tenant_id, kind, core_a, core_b), both ways round and each with itself: cores whose vectors can have a cosine of COSINE, or that are one error apart."""
+    place = ["tenant_id", "kind"]
+    pieces = lambda text, n: F.expr(f"transform(sequence(1, greatest(1, length({text}) - {n - 1})), i -> substring({text}, i, {n}))")
+    grams = cores.withColumn("padded", F.concat(F.lit("#"), "core", F.lit("#"))).select(*place, "core", F.explode(F.array_distinct(pieces("padded", GRAM))).alias("gram"))
+    total = float(max(cores.count(), 1))
+    df = grams.groupBy("gram").agg(F.count("*").alias("df"))
+    weighted = grams.join(df, "gram").withColumn("w2", F.pow(F.log(F.lit(1.0) + F.lit(total) / F.col("df")), 2))
+    core = W.partitionBy(*place, "core")
+    rest = core.orderBy(F.col("df").desc(), "gram").rowsBetween(W.unboundedPreceding, 0)
+    prefix = weighted.withColumns({"norm2": F.sum("w2").over(core), "rest2": F.sum("w2").over(rest)}).where(F.col("rest2") >= F.col("norm2") * (COSINE * COSINE * (1 - 1e-9)))
+    without = F.expr("concat(array(core), transform(sequence(1, length(core)), i -> concat(substring(core, 1, i - 1), substring(core, i + 1))))")
+    keyed = prefix.select(*place, "core", F.concat(F.lit("n"), "gram").alias("key")).unionByName(cores.select(*place, "core", F.explode(F.array_distinct(without)).alias("key")).withColumn("key", F.concat(F.lit("w"), "key")))
+    keyed = materialize(keyed.select(*place, "core", F.xxhash64("key").alias("key")), "core-keys")
+    a, b = (keyed.withColumnRenamed("core", f"core_{x}") for x in "ab")
+    met = a.join(b, [*place, "key"]).where("core_a < core_b AND abs(length(core_a) - length(core_b)) <= 2").select(*place, "core_a", "core_b").distinct()
+    # no more than two errors, of which a swap of neighbours counts as two changes
+    near = materialize(met.where("levenshtein(core_a, core_b, 4) >= 0"), "near-cores")
+    back = near.select(*place, F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b"))
+    return near.unionByName(back).unionByName(cores.select(*place, F.col("core").alias("core_a"), F.col("core").alias("core_b")))
+
+
 def _strong(items: DataFrame) -> DataFrame:
-    """(a, b, sim): items of a tenant whose vectors have a cosine of COSINE or more and that pass the check by parts; a < b."""
+    """(a, b, sim): items of a tenant that pass the check by parts, with the cosine of their whole names; a < b.
+
+    Items meet if their cores are near and their given names share a full form or what is left without one letter, or
+    their sectors are the same."""
     place = ["tenant_id", "kind"]
 
+    def keyed(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in it:
+            out = []
+            for tenant, kind, number, turns, *p in zip(*(pdf[c] for c in ("tenant_id", "kind", "id", "turns", "core", "given", "more"))):
+                if kind != "PERSON":
+                    out.append((tenant, kind, number, p[0], p[1]))
+                elif len(p[1]) > 1 or turns:
+                    for c, g, _ in {tuple(p)} | ({turned(tuple(p))} if turns else set()):
+                        forms = {g, *FORMAL.get(g, ())} if len(g) > 1 and len(c) > 1 else set()
+                        out += [(tenant, kind, number, c, k) for k in set().union(*({x} if len(x) < 4 else _near_keys(x) for x in forms))]
+            yield pd.DataFrame(out, columns=[*place, "id", "core", "key"])
+
+    kind = "tenant_id string, kind string, id bigint, core string, key string"
+    rows = materialize(items.mapInPandas(keyed, kind).select(*place, "id", "core", F.xxhash64("key").alias("key")), "keyed-items")
+    near = _near_cores(rows.select(*place, "core").distinct())
+    a, b = (rows.select(*place, F.col("core").alias(f"core_{x}"), F.col("id").alias(x), "key") for x in "ab")
+    met = a.join(near, [*place, "core_a"]).join(b, [*place, "core_b", "key"]).where("a < b").select("a", "b").distinct()
+    used = materialize(met, "met")
+
     def grams(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             found = [list(features(k, p)) for k, *p in zip(pdf["kind"], pdf["core"], pdf["given"], pdf["more"])]
             n = np.fromiter(map(len, found), np.int64, len(found))
-            yield pd.DataFrame({c: np.repeat(pdf[c].to_numpy(), n) for c in ("tenant_id", "kind", "id")} | {"gram": [g for f in found for g in f]})
+            yield pd.DataFrame({"id": np.repeat(pdf["id"].to_numpy(), n), "gram": [f"{k}{g}" for k, f in zip(pdf["kind"], found) for g in f]})
 
-    held = items.mapInPandas(grams, "tenant_id string, kind string, id bigint, gram string").select(*place, "id", F.xxhash64("kind", "gram").alias("gram"))
-    held = materialize(held, "grams")
-    total = max(items.count(), 1)
+    held = items.mapInPandas(grams, "id bigint, gram string").select("id", F.xxhash64("gram").alias("gram"))
     df = held.groupBy("gram").agg(F.count("*").alias("df"))
-    weighted = held.join(df, "gram").withColumn("w2", F.pow(F.log(F.lit(1.0) + F.lit(float(total)) / F.col("df")), 2))
-    whole, rest = W.partitionBy("id"), W.partitionBy("id").orderBy(F.col("df").desc(), "gram").rowsBetween(W.unboundedPreceding, 0)
-    weighted = weighted.withColumn("norm2", F.sum("w2").over(whole)).withColumn("rest2", F.sum("w2").over(rest))
-    unit = materialize(weighted.select(*place, "id", "gram", F.sqrt(F.col("w2") / F.col("norm2")).cast("float").alias("w"), (F.col("rest2") >= F.col("norm2") * (COSINE * COSINE) * (1 - 1e-9)).alias("joins")), "unit-vectors")
-    a, b = (unit.where("joins").select(*place, "gram", F.col("id").alias(x)) for x in "ab")
-    met = materialize(a.join(b, [*place, "gram"]).where("a < b").select("a", "b").distinct(), "met")
-    vectors = unit.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("gram", "w"))).alias("v")).select("id", F.col("v.gram").alias("grams"), F.col("v.w").alias("weights"))
-    full = materialize(items.join(vectors, "id"), "vectors")
+    # the weights of those that are compared; frequencies are of all items
+    wanted = used.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    total = float(max(items.count(), 1))
+    weighted = items.join(wanted, "id", "left_semi").mapInPandas(grams, "id bigint, gram string").select("id", F.xxhash64("gram").alias("gram")).join(df, "gram").withColumn("w", F.log(F.lit(1.0) + F.lit(total) / F.col("df")))
+    vectors = weighted.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("gram", "w"))).alias("v")).select("id", F.col("v.gram").alias("grams"), F.col("v.w").alias("weights"))
     cols = ["kind", "core", "given", "more", "turns", "grams", "weights"]
+    full = materialize(items.join(vectors, "id").select("id", *cols), "vectors")
     x, y = (full.select(F.col("id").alias(c), *[F.col(n).alias(f"{n}_{c}") for n in cols]) for c in "ab")
 
     def judge(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             sim = np.zeros(len(pdf))
-            rows = zip(*(pdf[f"{c}_{z}"] for z in "ab" for c in ("core", "given", "more", "turns", "grams", "weights")), pdf["kind_a"])
+            rows = zip(*(pdf[f"{c}_{z}"] for z in "ab" for c in cols[1:]), pdf["kind_a"])
             for i, (ca, ga, ma, ta, fa, wa, cb, gb, mb, tb, fb, wb, kind) in enumerate(rows):
-                _, at, bt = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
-                cos = float(np.dot(wa[at], wb[bt]))
-                if cos >= COSINE and alike(kind, (ca, ga, ma), (cb, gb, mb), ta, tb):
-                    sim[i] = cos
+                if alike(kind, (ca, ga, ma), (cb, gb, mb), ta, tb):
+                    _, at, bt = np.intersect1d(fa, fb, assume_unique=True, return_indices=True)
+                    sim[i] = np.dot(wa[at], wb[bt]) / np.sqrt(np.dot(wa, wa) * np.dot(wb, wb))
             keep = sim > 0
             yield pd.DataFrame({"a": pdf["a"][keep], "b": pdf["b"][keep], "sim": sim[keep]})
 
-    return met.join(x, "a").join(y, "b").mapInPandas(judge, "a bigint, b bigint, sim double")
+    return used.join(x, "a").join(y, "b").mapInPandas(judge, "a bigint, b bigint, sim double")
 
 
 def _initial_pairs(items: DataFrame) -> DataFrame:
