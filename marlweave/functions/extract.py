@@ -6,6 +6,9 @@ import hashlib
 import json
 import re
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from .text import unfenced
 
 #: Pattern groups of technologies and their confidence.
@@ -37,6 +40,23 @@ SEGMENT_CHARS, CUT_FROM = 100_000, 0.75
 STATES = ("done", "skipped", "not_ready", "running", "pending", "error")
 
 
+def typed(label) -> tuple[Column, Column]:
+    """Type and confidence of a column of a recogniser's labels."""
+    kind = F.create_map(*[F.lit(x) for p in LABELS.items() for x in p])[label]
+    return F.coalesce(kind, F.lit("UNKNOWN")), F.when(kind.isNotNull(), NAMED_CONFIDENCE).otherwise(UNKNOWN_CONFIDENCE)
+
+
+def verb_type(lemma) -> Column:
+    """The relation type of a column of verb lemmas."""
+    return F.coalesce(F.create_map(*[F.lit(x) for p in VERBS.items() for x in p])[lemma], F.lit("RELATED_TO"))
+
+
+def concept_type(kind, known: set[str]) -> Column:
+    """A column of types where those that aren't known become CONCEPT."""
+    upper = F.upper(F.trim(kind))
+    return F.when(upper.isin(*sorted(known)), upper).otherwise("CONCEPT")
+
+
 def segments(text: str, cap: int = SEGMENT_CHARS) -> list[tuple[int, str]]:
     """Offset and text of segments of at most cap characters, whose concatenation is the text.
 
@@ -73,28 +93,43 @@ def state(status) -> str:
 
 
 def answer(text: str | None, concept_types: set[str], relation_types: set[str]) -> dict:
-    """Concepts and relations of a model's answer, and how many items were dropped. Never raises.
+    """Concepts and relations of a model's answer, how many items were dropped, and whether it could be read. Never raises.
 
-    Reads an object {concepts, relations} or a list of {subject, relation_type, object}, fenced or with words around.
-    Concepts of another type become CONCEPT, relations of another type RELATED_TO; items without text are dropped."""
+    Reads an object {concepts, relations} or a list of {subject, relation_type, object}, fenced or with words around a
+    list. Types are upper-cased; concepts of another type become CONCEPT, relations of another type are dropped, and so
+    are items without text or without an end. A part that is no list counts as one dropped item. The concepts of a list
+    are its different subjects and objects, whatever their letter case."""
     data = _json(unfenced(text or ""))
-    raw_c, raw_r, lost = [], [], 0
+    told = lambda x, k: str(x.get(k) if x.get(k) is not None else "").strip()
+    kind = lambda x, k, known, other: told(x, k).upper() if told(x, k).upper() in known else other
+    concepts: list[dict] = []
+    relations: list[dict] = []
+    raw = 0
     if isinstance(data, dict):
-        for key, into in (("concepts", raw_c), ("relations", raw_r)):
-            part = data.get(key) or []
-            into.extend(part if isinstance(part, list) else [])
-            lost += not isinstance(part, list)
+        for key in ("concepts", "relations"):
+            part = data.get(key, [])
+            if not isinstance(part, list):
+                raw += 1
+                continue
+            raw += len(part)
+            for x in (x for x in part if isinstance(x, dict) and told(x, "text")):
+                if key == "concepts":
+                    concepts.append({"type": kind(x, "type", concept_types, "CONCEPT"), "text": told(x, "text")})
+                elif (t := kind(x, "type", relation_types, "")) and told(x, "origin") and told(x, "destination"):
+                    relations.append({"type": t, "origin": told(x, "origin"), "destination": told(x, "destination"), "text": told(x, "text")})
+        dropped = raw - len(concepts) - len(relations)
     elif isinstance(data, list):
-        for x in data:
-            if isinstance(x, dict) and {"subject", "object"} <= set(x):
-                raw_c += [{"type": x.get("subject_type"), "text": x["subject"]}, {"type": x.get("object_type"), "text": x["object"]}]
-                raw_r.append({"type": x.get("relation_type"), "origin": x["subject"], "destination": x["object"], "text": x.get("text") or x.get("relation_type")})
-            else:
-                lost += 1
-    told = lambda x, *keys: isinstance(x, dict) and all(isinstance(x.get(k), str) and x[k].strip() for k in keys)
-    concepts = [{"type": x["type"] if x.get("type") in concept_types else "CONCEPT", "text": x["text"].strip()} for x in raw_c if told(x, "text")]
-    relations = [{"type": x["type"] if x.get("type") in relation_types else "RELATED_TO", "origin": x["origin"].strip(), "destination": x["destination"].strip(), "text": x["text"].strip()} for x in raw_r if told(x, "origin", "destination", "text")]
-    return {"concepts": concepts, "relations": relations, "dropped": lost + max(0, len(raw_c) - len(concepts)) + max(0, len(raw_r) - len(relations))}
+        seen: dict[str, dict] = {}
+        for x in (x for x in data if isinstance(x, dict)):
+            ends, t = (told(x, "subject"), told(x, "object")), kind(x, "relation_type", relation_types, "")
+            if all(ends) and t:
+                relations.append({"type": t, "origin": ends[0], "destination": ends[1], "text": ""})
+                for name, of in zip(ends, ("subject_type", "object_type")):
+                    seen.setdefault(name.casefold(), {"type": kind(x, of, concept_types, "CONCEPT"), "text": name})
+        concepts, dropped = list(seen.values()), len(data) - len(relations)
+    else:
+        dropped = 0
+    return {"concepts": concepts, "relations": relations, "dropped": max(0, dropped), "read": isinstance(data, dict | list)}
 
 
 def _json(text: str):

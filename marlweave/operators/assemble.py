@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import proximity_type, strip
-from ..session import materialize
+from ..session import materialize, ship, splits
 
 #: Window of proximity in characters, entities up to which all pairs co-occur, rows of a write batch and ids of a delete batch.
 NEAR, CO_OCCURRING, WRITE_BATCH, DELETE_BATCH = 100, 10, 5000, 100
@@ -23,11 +23,25 @@ def best_per_name(extracted: DataFrame) -> DataFrame:
 
 
 def technologies(docs: DataFrame, patterns: list[str], confidence: float = 0.85) -> DataFrame:
-    """(doc_id, name, start, confidence): each technology of a document with the place of its first hit. Patterns have one group."""
-    any_of = "(?iu)" + "|".join(f"(?:{p})" for p in patterns)
-    hits = F.flatten(F.array(*[F.regexp_extract_all("content", F.lit(f"(?iu){p}"), F.lit(1)) for p in patterns]))
-    rows = docs.where(F.col("content").rlike(any_of)).select(F.col("id").alias("doc_id"), "content", F.explode(F.array_distinct(F.transform(hits, F.lower))).alias("name"))
-    return rows.select("doc_id", "name", (F.expr("locate(name, lower(content))") - 1).alias("start"), F.lit(confidence).alias("confidence"))
+    """(doc_id, name, start, end, confidence): every match of every pattern as the text spells it, with its place in code points.
+
+    Patterns are read without regard to case. Only texts that can hold a match leave the JVM."""
+    import re
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    ship(docs.sparkSession)
+    any_of = "(?iu)" + "|".join(f"(?:{p})" for p in patterns).replace(r"\b", "")
+
+    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        compiled = [re.compile(p, re.I) for p in patterns]
+        for pdf in it:
+            out = [(d, m[0], m.start(), m.end()) for d, t in zip(pdf["doc_id"], pdf["content"]) for p in compiled for m in p.finditer(t)]
+            yield pd.DataFrame(out, columns=["doc_id", "name", "start", "end"])
+
+    found = docs.where(F.col("content").rlike(any_of)).select(F.col("id").alias("doc_id"), "content").mapInPandas(run, "doc_id string, name string, start int, end int")
+    return found.withColumn("confidence", F.lit(confidence))
 
 
 def proximity(entities: DataFrame, docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -54,9 +68,16 @@ def co_occurrence(entities: DataFrame, most: int = CO_OCCURRING) -> DataFrame:
 
 
 def overlapping(tokens: DataFrame, entities: DataFrame) -> DataFrame:
-    """(doc_id, token, name): each token with the first entity, by start, that its span overlaps. tokens has doc_id, token, s and e."""
-    met = tokens.join(entities.select("doc_id", "name", "start", "end"), "doc_id").where("s < end AND start < e")
-    return met.groupBy("doc_id", "token", "s").agg(F.min_by("name", F.struct("start", "name")).alias("name"))
+    """(doc_id, token, s, name): each token with the first entity, by start, that its span overlaps, else the first that the span of its subtree does, if that has two to five tokens.
+
+    tokens has doc_id, token, s, e and, of the subtree, sub_s, sub_e and sub_n."""
+    held = entities.select("doc_id", "name", "start", "end")
+    wide = F.col("sub_n").between(2, 5)
+    met = tokens.withColumns({"lo": F.when(wide, F.least("s", "sub_s")).otherwise(F.col("s")), "hi": F.when(wide, F.greatest("e", "sub_e")).otherwise(F.col("e"))}).join(held, "doc_id").where("lo < end AND start < hi")
+    own = F.when(F.expr("s < end AND start < e"), F.struct("start", "name"))
+    sub = F.when(wide & F.expr("sub_s < end AND start < sub_e"), F.struct("start", "name"))
+    first = F.coalesce(F.min(own), F.min(sub))
+    return met.groupBy("doc_id", "token", "s").agg(first["name"].alias("name")).where("name IS NOT NULL")
 
 
 def merge_mentions(mentions: DataFrame) -> DataFrame:
@@ -65,11 +86,11 @@ def merge_mentions(mentions: DataFrame) -> DataFrame:
 
 
 def merge_entities(rows: DataFrame) -> DataFrame:
-    """(key, name, type, documents, confidence): entities of many documents as one; the first name and type in the order of ord, all documents, the highest confidence.
+    """(key, name, type, documents, confidence): entities of many documents as one; the first name, type and, where rows have one, vector in the order of ord, all documents, the highest confidence.
 
     rows has key, name, type, doc_id, confidence and ord."""
     first = lambda c: F.min_by(c, F.when(F.col(c).isNotNull() & (F.col(c) != ""), F.col("ord")))
-    return rows.groupBy("key").agg(first("name").alias("name"), first("type").alias("type"), F.sort_array(F.collect_set("doc_id")).alias("documents"), F.max("confidence").alias("confidence"))
+    return rows.groupBy("key").agg(first("name").alias("name"), first("type").alias("type"), F.sort_array(F.collect_set("doc_id")).alias("documents"), F.max("confidence").alias("confidence"), *([F.min_by("vector", F.when(F.col("vector").isNotNull(), F.col("ord"))).alias("vector")] if "vector" in rows.columns else []))
 
 
 def fold_weights(rows: DataFrame, key: list[str], order: str, weight: str = "weight") -> DataFrame:
@@ -91,14 +112,16 @@ def upsert_entities(old: DataFrame, new: DataFrame) -> DataFrame:
     """Nodes after writing new ones. Both have key, name, type, types, documents, confidence, concept_gen.
 
     An existing node keeps its type, takes the new name, adds a new type, unites documents, keeps the higher confidence
-    and loses its concept tag; a new one starts with its type alone."""
+    and loses its concept tag; a new one starts with its type alone. Where both have a vector, a new one replaces the old
+    one and none leaves it as it is."""
     o = old.select("key", *[F.col(c).alias(f"o_{c}") for c in old.columns if c != "key"])
-    n = new.select("key", *[F.col(c).alias(f"n_{c}") for c in ("name", "type", "documents", "confidence")])
+    vectors = ["vector"] if "vector" in old.columns and "vector" in new.columns else []
+    n = new.select("key", *[F.col(c).alias(f"n_{c}") for c in ("name", "type", "documents", "confidence", *vectors)])
     both = o.join(n, "key", "full_outer")
     there, written = F.col("o_type").isNotNull() | F.col("o_name").isNotNull(), F.col("n_name").isNotNull()
     types = F.when(~written, F.col("o_types")).when(~there, F.array("n_type")).otherwise(F.array_union("o_types", F.array("n_type")))
     none = F.array().cast("array<string>")
-    return both.select("key", F.coalesce("n_name", "o_name").alias("name"), F.coalesce("o_type", "n_type").alias("type"), types.alias("types"), F.array_union(F.coalesce("o_documents", none), F.coalesce("n_documents", none)).alias("documents"), F.greatest("o_confidence", "n_confidence").alias("confidence"), F.when(~written, F.col("o_concept_gen")).alias("concept_gen"))
+    return both.select("key", F.coalesce("n_name", "o_name").alias("name"), F.coalesce("o_type", "n_type").alias("type"), types.alias("types"), F.array_union(F.coalesce("o_documents", none), F.coalesce("n_documents", none)).alias("documents"), F.greatest("o_confidence", "n_confidence").alias("confidence"), F.when(~written, F.col("o_concept_gen")).alias("concept_gen"), *[F.coalesce("n_vector", "o_vector").alias("vector") for _ in vectors])
 
 
 def upsert_mentions(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -106,9 +129,9 @@ def upsert_mentions(old: DataFrame, new: DataFrame) -> DataFrame:
     return new.select("doc_id", "entity_id", "confidence").unionByName(old.select("doc_id", "entity_id", "confidence").join(new, ["doc_id", "entity_id"], "left_anti"))
 
 
-def upsert_relations(old: DataFrame, new: DataFrame) -> DataFrame:
+def upsert_relations(old: DataFrame, new: DataFrame, key: list[str] | None = None) -> DataFrame:
     """Relations after writing new ones: the mean of old and new weight; files that are old only come first, then the new ones."""
-    k = ["src", "dst", "type"]
+    k = key or ["src", "dst", "type"]
     both = old.select(*k, F.col("weight").alias("ow"), F.col("files").alias("of")).join(new.select(*k, F.col("weight").alias("nw"), F.col("files").alias("nf")), k, "full_outer")
     none = F.array().cast("array<string>")
     weight = F.when(F.col("ow").isNull(), F.col("nw")).when(F.col("nw").isNull(), F.col("ow")).otherwise((F.col("ow") + F.col("nw")) / 2)
@@ -128,6 +151,14 @@ def batches(kind: DataFrame, size: int = WRITE_BATCH) -> DataFrame:
     return kind.groupBy("kind").agg(F.ceil(F.count("*") / size).cast("bigint").alias("batches"))
 
 
+def write_plans(entities: DataFrame, relations: DataFrame, key: str, size: int = WRITE_BATCH) -> DataFrame:
+    """(key, plans): in how many transactions each key's graph is written: one if its entities and relations together are no more than size, else batches of entities and then of relations."""
+    rows = entities.select(key, F.lit(1).alias("e")).unionByName(relations.select(key, F.lit(0).alias("e")))
+    n = rows.groupBy(key).agg(F.sum("e").alias("es"), F.count("*").alias("all"))
+    many = F.ceil(F.col("es") / size) + F.ceil((F.col("all") - F.col("es")) / size)
+    return n.select(key, F.when(F.col("all") <= size, 1).otherwise(many).cast("bigint").alias("plans"))
+
+
 def next_edges(docs: DataFrame) -> DataFrame:
     """(src, dst): consecutive chunks of a source, cards left out, in the order of start_index, else chunk_index; chunks without a place only if none has one, by arrival and id."""
     card = F.coalesce(F.get_json_object("metadata", "$.is_catalogue_card") == "true", F.lit(False))
@@ -138,18 +169,24 @@ def next_edges(docs: DataFrame) -> DataFrame:
     return _following(rows, ["tenant_id", "source_key"])
 
 
-def _following(rows: DataFrame, key: list[str]) -> DataFrame:
+#: Places in a cut of a source, and rows above which a cut is made finer.
+CUT_PLACES, CUT_ROWS = 256, 100_000
+
+
+def _following(rows: DataFrame, key: list[str], places: int = CUT_PLACES, most: int = CUT_ROWS) -> DataFrame:
     """(src, dst): neighbours within a key in the order of place, created_at and id.
 
-    A key is cut into the rows of one place and hour; neighbours are found inside those, and the last of one leads to the
-    first of the next. No task sorts a whole key, however many rows it has."""
-    cut = [*key, "place", "hour"]
-    rows = rows.withColumn("hour", F.date_trunc("hour", "created_at"))
-    inner = rows.select(*cut, F.col("id").alias("src"), F.lead("id").over(W.partitionBy(*cut).orderBy("created_at", "id")).alias("dst"))
-    order = F.struct("created_at", "id")
-    ends = rows.groupBy(*cut).agg(F.min_by("id", order).alias("first"), F.max_by("id", order).alias("last"))
-    outer = ends.select(F.col("last").alias("src"), F.lead("first").over(W.partitionBy(*key).orderBy("place", "hour")).alias("dst"))
-    return inner.select("src", "dst").unionByName(outer).where("dst IS NOT NULL")
+    A key is cut into ranges of places, and a range with very many rows into the rows of one place and hour; neighbours
+    are found inside the cuts, and the last of one leads to the first of the next. No task sorts a whole key: rows are
+    sorted by cut, and the ends of the cuts are a small part of them."""
+    rows = rows.withColumn("at", F.coalesce("place", F.lit(-1))).withColumn("range", F.floor(F.col("at") / places))
+    full = rows.groupBy(*key, "range").agg(F.count("*").alias("n")).where(F.col("n") > most).select(*key, "range", F.lit(True).alias("fine"))
+    rows = rows.join(full, [*key, "range"], "left").select(*key, "id", "created_at", "at", F.when(F.col("fine"), F.col("at")).otherwise(F.col("range") * places).alias("cut"), F.when(F.col("fine"), F.date_trunc("hour", "created_at")).alias("hour"))
+    cut, order = [*key, "cut", "hour"], ["at", "created_at", "id"]
+    inner = rows.select(F.col("id").alias("src"), F.lead("id").over(W.partitionBy(*cut).orderBy(*order)).alias("dst"))
+    ends = rows.groupBy(*cut).agg(F.min_by("id", F.struct(*order)).alias("first"), F.max_by("id", F.struct(*order)).alias("last"))
+    outer = ends.select(F.col("last").alias("src"), F.lead("first").over(W.partitionBy(*key).orderBy("cut", "hour")).alias("dst"))
+    return inner.unionByName(outer).where("dst IS NOT NULL")
 
 
 def numbered(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -164,39 +201,40 @@ def numbered(rows: DataFrame, key: list[str]) -> DataFrame:
     return joined.select("x.*", (F.col("x.r") + F.col("y.before")).alias("n")).drop("r", "day")
 
 
-def accumulated(prose: DataFrame, limit: int = 12_000) -> DataFrame:
-    """(tenant_id, source_key, chunks, chars): how much of each source's text a language model gets: chunks in order until the text before exceeds the limit, then cut to it."""
+#: Fixed value: what marks a text that was cut.
+CUT = " [truncated]"
+
+
+def _taken(prose: DataFrame, limit: int) -> DataFrame:
+    """The chunks of each source that a language model gets, with position r: in order until the contents before exceed the limit; separators don't count."""
     w = W.partitionBy("tenant_id", "source_key").orderBy(F.col("position").isNull(), "position", "id")
-    before = F.coalesce(F.sum(F.length("content") + 2).over(w.rowsBetween(W.unboundedPreceding, -1)) - 2, F.lit(0))
-    # a chunk adds at least three characters: what comes after limit / 3 chunks can't count, and goes before the sums
-    near = prose.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit // 3 + 2).drop("_r")
-    kept = near.withColumn("before", before).where(F.col("before") <= limit)
-    total = F.sum(F.length("content")) + 2 * (F.count("*") - 1)
-    return kept.groupBy("tenant_id", "source_key").agg(F.count("*").alias("chunks"), F.least(F.lit(limit), total).cast("bigint").alias("chars"))
+    # a chunk has a character at least: what comes after limit + 2 chunks can't count, and goes before the sums
+    near = prose.withColumn("r", F.row_number().over(w)).where(F.col("r") <= limit + 2)
+    before = F.coalesce(F.sum(F.length("content")).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return near.withColumn("before", before).where(F.col("before") <= limit)
 
 
-#: Fixed value: what marks a text that was cut.
-CUT = "\n\n[... truncated ...]"
+def accumulated(prose: DataFrame, limit: int = 12_000) -> DataFrame:
+    """(tenant_id, source_key, chunks, chars): how much of each source's text a language model gets: the chunks taken, joined by blank lines and cut to the limit."""
+    total = F.sum(F.length("content")) + 2 * (F.count("*") - 1)
+    return _taken(prose, limit).groupBy("tenant_id", "source_key").agg(F.count("*").alias("chunks"), F.least(F.lit(limit), total).cast("bigint").alias("chars"))
 
 
 def accumulated_text(prose: DataFrame, limit: int = 12_000) -> DataFrame:
     """(tenant_id, source_key, text): what accumulated() counts, joined by blank lines; a text that was cut ends with a mark."""
-    w = W.partitionBy("tenant_id", "source_key").orderBy(F.col("position").isNull(), "position", "id")
-    before = F.coalesce(F.sum(F.length("content") + 2).over(w.rowsBetween(W.unboundedPreceding, -1)) - 2, F.lit(0))
-    # a chunk adds at least three characters: what comes after limit / 3 chunks can't count, and goes before the sums
-    near = prose.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= limit // 3 + 2).drop("_r")
-    kept = near.withColumn("before", before).where(F.col("before") <= limit)
-    chunks = F.sort_array(F.collect_list(F.struct(F.col("before").alias("b"), "id", F.col("content").alias("c"))))
+    chunks = F.sort_array(F.collect_list(F.struct("r", F.col("content").alias("c"))))
     whole = F.concat_ws("\n\n", F.transform(chunks, lambda x: x["c"]))
-    joined = kept.groupBy("tenant_id", "source_key").agg(whole.alias("whole"))
+    joined = _taken(prose, limit).groupBy("tenant_id", "source_key").agg(whole.alias("whole"))
     return joined.select("tenant_id", "source_key", F.when(F.length("whole") > limit, F.concat(F.substring("whole", 1, limit), F.lit(CUT))).otherwise(F.col("whole")).alias("text"))
 
 
 def structure(docs: DataFrame) -> DataFrame:
-    """(kind, src, dst): PART_OF from documents to their source, HAS_SUMMARY from sources to their cards."""
+    """(kind, src, dst): PART_OF from documents to their source, HAS_SUMMARY from sources to their cards, CHILD_OF from documents to the parent that their metadata names, if it is a document of the tenant."""
     card = F.coalesce(F.get_json_object("metadata", "$.is_catalogue_card") == "true", F.lit(False))
     part = docs.select(F.lit("PART_OF").alias("kind"), F.col("id").alias("src"), F.concat_ws("/", "tenant_id", "source_key").alias("dst"))
-    return part.unionByName(docs.where(card).select(F.lit("HAS_SUMMARY").alias("kind"), F.concat_ws("/", "tenant_id", "source_key").alias("src"), F.col("id").alias("dst")))
+    named = docs.where(~card).select("tenant_id", F.col("id").alias("src"), F.get_json_object("metadata", "$.parent_id").alias("dst")).where("dst IS NOT NULL AND dst <> ''")
+    child = named.join(docs.select("tenant_id", F.col("id").alias("dst")), ["tenant_id", "dst"], "left_semi").select(F.lit("CHILD_OF").alias("kind"), "src", "dst")
+    return part.unionByName(child).unionByName(docs.where(card).select(F.lit("HAS_SUMMARY").alias("kind"), F.concat_ws("/", "tenant_id", "source_key").alias("src"), F.col("id").alias("dst")))
 
 
 def co_mentioned(edges: DataFrame, entities: DataFrame, mentions: DataFrame, docs: DataFrame) -> DataFrame:
@@ -217,15 +255,73 @@ def co_mentioned(edges: DataFrame, entities: DataFrame, mentions: DataFrame, doc
     return met.groupBy("tenant_id", "src", "dst").agg(F.concat_ws(",", F.sort_array(F.collect_set("source_key"))).alias("keys"))
 
 
-def containing(entities: DataFrame, docs: DataFrame, least: int = 3) -> DataFrame:
-    """(doc_id, entity_id): entities and the documents of their tenant whose text holds their name, as words.
+#: Names in one automaton: their number and characters.
+BLOCK_NAMES, BLOCK_CHARS, BLOCK_TEXTS = 100_000, 8_000_000, 20_000
+
+
+def containing(entities: DataFrame, docs: DataFrame, least: int = 3, most_names: int = BLOCK_NAMES) -> DataFrame:
+    """(doc_id, entity_id): entities and the documents of their tenant whose lowered text contains their lowered name, anywhere in it.
+
+    Names of at least `least` characters count. An automaton finds all names of a text in one pass over it. Names within
+    the bounds of one block are broadcast; more are cut into blocks, and the texts of a tenant meet each of its blocks in
+    parts of bounded size."""
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    spark = docs.sparkSession
+    ship(spark)
+    low = F.lower("name")
+    names = entities.where(F.length(low) >= least).select(F.col("id").alias("entity_id"), "tenant_id", low.alias("low")).where("tenant_id IS NOT NULL")
+    size = names.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("low")), F.lit(0)).alias("chars")).first()
+    texts = docs.where("content IS NOT NULL").select(F.col("id").alias("doc_id"), "tenant_id", "content")
+    kind = f"doc_id string, entity_id {dict(names.dtypes)['entity_id']}"
+
+    if size["n"] <= most_names and size["chars"] <= BLOCK_CHARS:
+        held: dict[str, dict[str, list]] = {}
+        for r in names.collect():  # within the bounds of a block
+            held.setdefault(r["tenant_id"], {}).setdefault(r["low"], []).append(r["entity_id"])
+        shared = spark.sparkContext.broadcast(held)
+
+        def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            automata: dict = {}
+            for pdf in it:
+                out = []
+                for doc, tenant, text in zip(pdf["doc_id"], pdf["tenant_id"], pdf["content"]):
+                    if tenant in shared.value:
+                        if tenant not in automata:
+                            automata[tenant] = _automaton(shared.value[tenant])
+                        out += [(doc, e) for e in _found(automata[tenant], text)]
+                yield pd.DataFrame(out, columns=["doc_id", "entity_id"])
+
+        return texts.mapInPandas(scan, kind).distinct()
+
+    block = lambda n: F.expr(f"cast(pmod(xxhash64(low), greatest(1, cast(ceil({n} / {most_names}) as int))) as int)")
+    loads = names.groupBy("tenant_id").agg(F.count("*").alias("n")).join(texts.groupBy("tenant_id").agg(F.count("*").alias("t")), "tenant_id")
+    loads = loads.select("tenant_id", "n", F.expr(f"cast(ceil(n / {most_names}) as int)").alias("blocks"), F.expr(f"cast(ceil(t / {BLOCK_TEXTS}) as int)").alias("parts"))
+    left = names.join(loads, "tenant_id").withColumn("block", block("n")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select("tenant_id", "block", "part", "entity_id", "low")
+    right = texts.join(loads, "tenant_id").withColumn("part", F.expr("cast(pmod(xxhash64(doc_id), parts) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select("tenant_id", "block", "part", "doc_id", "content")
+    place = ["tenant_id", "block", "part"]
+
+    def meet(names: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
+        held: dict[str, list] = {}
+        for n, e in zip(names["low"], names["entity_id"]):
+            held.setdefault(n, []).append(e)
+        automaton = _automaton(held)
+        return pd.DataFrame([(d, e) for d, t in zip(texts["doc_id"], texts["content"]) for e in _found(automaton, t)], columns=["doc_id", "entity_id"])
+
+    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, kind).distinct()
+
+
+def _automaton(names: dict[str, list]):
+    import ahocorasick
 
-    Instead of trying every name on every text, each text looks up its own runs of as many words as names have."""
-    words = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
-    names = entities.where(F.length("norm") >= least).select(F.col("id").alias("entity_id"), "tenant_id", words(F.col("norm")).alias("w")).where("size(w) > 0").select("entity_id", "tenant_id", F.size("w").alias("n"), F.concat_ws(" ", "w").alias("run"))
-    sizes = sorted(r[0] for r in names.select("n").distinct().collect())  # as many rows as there are word counts of names
-    texts = docs.select(F.col("id").alias("doc_id"), "tenant_id", words(F.col("content")).alias("w"))
-    runs: Column = F.flatten(F.array(*[F.expr(f"CASE WHEN size(w) >= {n} THEN transform(sequence(1, size(w) - {n - 1}), i -> concat_ws(' ', slice(w, i, {n}))) ELSE array() END") for n in sizes])) if sizes else F.array().cast("array<string>")
-    return texts.select("doc_id", "tenant_id", F.explode(F.array_distinct(runs)).alias("run")).join(names, ["tenant_id", "run"]).select("doc_id", "entity_id").distinct()
+    out = ahocorasick.Automaton()
+    for n, ids in names.items():
+        out.add_word(n, ids)
+    out.make_automaton()
+    return out
 
 
+def _found(automaton, text: str) -> set:
+    return {e for _, ids in automaton.iter(text.lower()) for e in ids} if len(automaton) else set()

@@ -32,10 +32,10 @@ def failed_phases(status: DataFrame) -> DataFrame:
     return status.where("state = 'error'").groupBy("source_key").agg(F.concat_ws(",", F.sort_array(F.collect_set("phase"))).alias("phases"))
 
 
-def dependents(needs: dict[str, list[str]], phase: str) -> list[str]:
-    """All phases that depend on one, however indirectly."""
-    out: list[str] = []
-    todo = [phase]
+def with_dependents(needs: dict[str, list[str]], phases: list[str]) -> list[str]:
+    """The phases asked for and all that depend on them, however indirectly."""
+    out = list(dict.fromkeys(phases))
+    todo = list(out)
     while todo:
         now = todo.pop()
         for p in (p for p, before in needs.items() if now in before and p not in out):
@@ -55,6 +55,21 @@ def drifted(collections: DataFrame, name: str, size: int) -> DataFrame:
     return collections.agg(F.coalesce(F.bool_or(other), F.lit(False)).alias("drifted"))
 
 
-def plan(status: DataFrame) -> DataFrame:
-    """(source_key, action): what maintenance would do with each source: reingest, resume or nothing."""
-    return status.groupBy("source_key").agg(F.bool_or(F.col("state") == "error").alias("bad"), F.bool_and(F.col("state") == "done").alias("done")).select("source_key", F.when(F.col("bad"), "resume").when(F.col("done"), "none").otherwise("reingest").alias("action"))
+def generation_current(marker: str | None, fingerprint: str) -> bool:
+    """Whether the active generation of concepts is that of the settings."""
+    return marker == fingerprint
+
+
+def plan(status: DataFrame, tags: dict[str, str], drift: bool = False) -> DataFrame:
+    """(source_key, action): what maintenance would do with each source: resume (a phase failed), reingest (the source was never parsed to the end), reembed (another embedder), graph (a graph phase isn't done with its current tag) or none. status has source_key, phase, state and tag."""
+    failed = F.bool_or(F.col("state") == "error")
+    current = F.coalesce((F.col("state") == "done") & (F.col("tag") == F.create_map(*[F.lit(x) for p in tags.items() for x in p])[F.col("phase")]), F.lit(False))
+    stored = F.coalesce(F.bool_or((F.col("phase") == "embedding") & (F.col("state") == "done")), F.lit(False))
+    held = status.groupBy("source_key").agg(failed.alias("failed"), stored.alias("stored"), F.bool_and(F.col("phase").isin("embedding") | current).alias("graph"))
+    action = F.when(F.col("failed"), "resume").when(~F.col("stored"), "reingest").when(F.lit(drift), "reembed").when(~F.col("graph"), "graph").otherwise("none")
+    return held.select("source_key", action.alias("action"))
+
+
+def exit_code(done: list[bool], verified: bool, dry_run: bool = False) -> int:
+    """How a maintenance run ends: 2 if it only showed its plan, 0 if every step and the check afterwards succeeded, else 1."""
+    return 2 if dry_run else 0 if all(done) and verified else 1

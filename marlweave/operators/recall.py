@@ -13,10 +13,12 @@ from ..session import materialize
 BLOCK = 10_000
 
 
-def visible(entities: DataFrame, active: str | None) -> DataFrame:
-    """Nodes of the base graph and of the active concept generation."""
+def visible(rows: DataFrame, active: str | None) -> DataFrame:
+    """Nodes or edges of the base graph and of the active concept generation; edges without a generation column are of the base graph."""
+    if "concept_gen" not in rows.columns:
+        return rows
     shown = F.col("concept_gen").isNull()
-    return entities.where(shown | (F.col("concept_gen") == active) if active else shown)
+    return rows.where(shown | (F.col("concept_gen") == active) if active else shown)
 
 
 def top(rows: DataFrame, k: int) -> DataFrame:
@@ -31,26 +33,39 @@ def direct(docs: DataFrame, entities: DataFrame, mentions: DataFrame, names: lis
     return top(rows.groupBy(F.col("doc_id").alias("id")).agg((F.countDistinct("entity_id") / len(names)).alias("score")), k)
 
 
+#: Names of a step that are held on the driver; a larger step is written out.
+FRONTIER = 20_000
+
+
 def hops(edges: DataFrame, names: list[str], depth: int) -> DataFrame:
     """(name, hop): names reached within depth steps, edges read in both directions; the named ones have hop 0.
 
-    One join for each step; the frontier holds only names that are new, so a name is expanded once."""
+    One join for each step; the frontier holds only names that are new, so a name is expanded once. Steps of at most
+    FRONTIER names are broadcast, larger ones written out and joined."""
     spark = edges.sparkSession
-    both = edges.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(edges.select(F.col("dst").alias("a"), F.col("src").alias("b"))).distinct()
-    both = materialize(both, "edges")  # read again in every step
-    seen = frontier = spark.createDataFrame([(n, 0) for n in names], "name string, hop int")
+    kind = "name string, hop int"
+    ends = edges.select("src", "dst").distinct()
+    both = materialize(ends, "edges") if depth > 1 else ends  # read again in every step
+    both = both.select(F.col("src").alias("a"), F.col("dst").alias("b")).unionByName(both.select(F.col("dst").alias("a"), F.col("src").alias("b")))
+    seen = frontier = spark.createDataFrame([(n, 0) for n in dict.fromkeys(names)], kind)
     for step in range(1, depth + 1):
-        reached = both.join(frontier.select(F.col("name").alias("a")), "a").select(F.col("b").alias("name")).distinct()
-        frontier = materialize(reached.join(seen.select("name"), "name", "left_anti").select("name", F.lit(step).alias("hop")), "frontier")
+        reached = both.join(frontier.select(F.col("name").alias("a")), "a", "left_semi").select(F.col("b").alias("name")).distinct()
+        new = reached.join(seen.select("name"), "name", "left_anti").select("name", F.lit(step).alias("hop"))
+        if step == depth:
+            return seen.unionByName(new)
+        few = new.limit(FRONTIER + 1).collect()  # at most FRONTIER + 1 names
+        if not few:
+            return seen
+        frontier = spark.createDataFrame(few, kind) if len(few) <= FRONTIER else materialize(new, "frontier")
         seen = seen.unionByName(frontier)
     return seen
 
 
 def related(docs: DataFrame, entities: DataFrame, mentions: DataFrame, edges: DataFrame, names: list[str], k: int, depth: int = 2, decay: float = 0.8, active: str | None = None) -> DataFrame:
-    """(id, score): documents that mention entities related to the named ones; the score is decay to the power of the fewest steps."""
+    """(id, score): documents that mention entities related to the named ones; the score is decay to the power of the fewest steps. Every node and edge of a path has to be visible."""
     shown = visible(entities, active).where("norm <> ''")
     known = shown.select("norm").distinct()
-    inside = edges.select("src", "dst").distinct().join(known.withColumnRenamed("norm", "src"), "src", "left_semi").join(known.withColumnRenamed("norm", "dst"), "dst", "left_semi")
+    inside = visible(edges, active).select("src", "dst").distinct().join(known.withColumnRenamed("norm", "src"), "src", "left_semi").join(known.withColumnRenamed("norm", "dst"), "dst", "left_semi")
     far = hops(inside, names, depth).where("hop > 0").withColumnRenamed("name", "norm")
     rows = shown.select(F.col("id").alias("entity_id"), "norm").join(far, "norm").join(mentions, "entity_id").join(docs.select(F.col("id").alias("doc_id")), "doc_id")
     best = rows.groupBy(F.col("doc_id").alias("id")).agg(F.min("hop").alias("hop"))
@@ -113,8 +128,8 @@ def recall(docs: DataFrame, entities: DataFrame, mentions: DataFrame, edges: Dat
     return rerank(d, indirect(r, e), by_vector(docs, doc_vectors, query, 2 * k, threshold), k, decay)
 
 
-def similar(vectors: DataFrame, queries: DataFrame, collection: DataFrame, k: int = 20, threshold: float = 0.7) -> DataFrame:
-    """(src, dst, score): similarity edges of the stated queries, in both directions.
+def similar(vectors: DataFrame, queries: DataFrame, collection: DataFrame, k: int = 20, threshold: float = 0.7, generation: str | None = None) -> DataFrame:
+    """(src, dst, score): similarity edges of the stated queries, in both directions; with a generation, a column gen that names it.
 
     Of each query the k nearest of the whole index, itself counted; then itself, other collections and scores below the
     threshold go. Queries and index meet in blocks, each giving its own k best, so no block holds more than its part.
@@ -148,4 +163,5 @@ def similar(vectors: DataFrame, queries: DataFrame, collection: DataFrame, k: in
     ranked = local.withColumn("r", F.row_number().over(W.partitionBy("src").orderBy(F.round("score", 9).desc(), "dst"))).where(F.col("r") <= k)
     a, b = (collection.select(F.col("id").alias(c), F.struct("tenant_id", "collection").alias(f"{c}_of")) for c in ("src", "dst"))
     kept = ranked.where((F.col("src") != F.col("dst")) & (F.col("score") >= threshold)).join(a, "src").join(b, "dst").where("src_of = dst_of").select("src", "dst", "score")
-    return kept.unionByName(kept.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "score")).groupBy("src", "dst").agg(F.max("score").alias("score"))
+    out = kept.unionByName(kept.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "score")).groupBy("src", "dst").agg(F.max("score").alias("score"))
+    return out if generation is None else out.withColumn("gen", F.lit(generation))

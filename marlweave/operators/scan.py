@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_binary, is_blank, is_card
+from ..functions.text import has_pairs, is_binary, is_blank, is_card
 from ..functions.vectors import is_valid
 
 
@@ -30,6 +30,23 @@ def page(docs: DataFrame, tenant: str, collection: str, limit: int | None, offse
     return out.orderBy("id").offset(start).limit(limit)
 
 
+def web_points(docs: DataFrame, tenant: str, collection: str, limit: int | None = None, offset: str | None = None) -> DataFrame:
+    """A page of the documents whose metadata gives exactly `http` as their source; addresses don't count."""
+    return page(docs, tenant, collection, limit, offset, has_pairs(F.col("metadata"), {"source": "http"}, exact=False))
+
+
+def file_points(docs: DataFrame, tenant: str, collection: str, limit: int | None = None, offset: str | None = None) -> DataFrame:
+    """The same for `file`."""
+    return page(docs, tenant, collection, limit, offset, has_pairs(F.col("metadata"), {"source": "file"}, exact=False))
+
+
+def page_after(docs: DataFrame, tenant: str, collection: str, limit: int, after: str | None = None, where: Column | None = None) -> DataFrame:
+    """The page of the ids behind `after`: a filter and the smallest `limit`, so that a late page costs no more than the first."""
+    out = collection_scan(docs, tenant, collection)
+    out = out.where(where) if where is not None else out
+    return (out.where(F.col("id") > after) if after is not None else out).orderBy("id").limit(limit)
+
+
 def next_offset(rows: int, limit: int, offset: str | None = None) -> str | None:
     """The offset of the next page; none after a page that isn't full."""
     start = int(offset) if offset and offset.isdecimal() else 0
@@ -75,13 +92,29 @@ def per_source(points: DataFrame) -> DataFrame:
 
 
 def routes(points: DataFrame, status: DataFrame) -> DataFrame:
-    """The route of each source's write. status has source_key, phase (parsing, embedding, done, error or null) and staged.
+    """The route of each source's write. points has tenant_id, collection, source and source_key, status has source_key, status and phase.
+
+    none for procedures; similarity for points without a source; job for a source without a status row; phase while its
+    ingestion is processing in the embedding phase; resume for any other source with a row."""
+    s = points.select("tenant_id", "collection", "source_key", F.col("source").isNull().alias("loose")).distinct().join(status.withColumn("there", F.lit(True)), "source_key", "left")
+    writing = F.coalesce((F.col("status") == "processing") & (F.col("phase") == "embedding"), F.lit(False))
+    route = F.when(F.col("collection") == "procedural", "none").when(F.col("loose"), "similarity").when(F.col("there").isNull(), "job").when(writing, "phase").otherwise("resume")
+    return s.select("tenant_id", "collection", "source_key", route.alias("route"))
+
+
+def staged(points: DataFrame, status: DataFrame) -> DataFrame:
+    """(id, staged): whether a point belongs to a staging pass: its vector is the empty one and its source is still being parsed. Such points get no graph."""
+    parsing = status.where("phase = 'parsing'").select("source_key", F.lit(True).alias("parsing")).distinct()
+    empty = F.col("vector").isNotNull() & (F.size("vector") == 0)
+    return points.join(parsing, "source_key", "left").select("id", (empty & F.coalesce("parsing", F.lit(False))).alias("staged"))
+
+
+def after_outside_writes(routes: DataFrame, status: DataFrame, transferring: bool = False) -> DataFrame:
+    """(source_key, action): what a write outside an ingestion sets off: due (the graph phases of a source with a row are run again) or job (a source without one is rebuilt).
 
-    none while a staging pass writes points without vectors; phase while the source is being embedded; resume after an
-    error; job for a source that was done; similarity for one without a status."""
-    s = points.select("tenant_id", "source_key").distinct().join(status, "source_key", "left")
-    route = F.when(F.col("phase").isNull(), "similarity").when((F.col("phase") == "parsing") & F.col("staged"), "none").when(F.col("phase").isin("parsing", "embedding"), "phase").when(F.col("phase") == "error", "resume").otherwise("job")
-    return s.select("tenant_id", "source_key", route.alias("route"))
+    During a transfer to another store sources with a row are left to what follows it."""
+    out = routes.where("route IN ('resume', 'job')").select("source_key", F.when(F.col("route") == "resume", "due").otherwise("job").alias("action")).distinct()
+    return out.where("action = 'job'") if transferring else out
 
 
 def prose(docs: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship, splits
 
-BLOCK = 1 << 14
+BLOCK, PART = 1 << 14, 200_000
 
 
 def _local_counts(keys: list[str]):
@@ -53,7 +53,7 @@ def dense_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     local = materialize(rows.mapInPandas(_local_counts(keys), f"{kinds}, n bigint"), "local-counts")
 
     # Dictionary: the partition by hash gives the first part of a code, the place within the partition the rest.
-    parts = splits(spark)
+    parts = max(splits(spark), local.count() // PART + 1)  # a part has about PART keys at most
     part = F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int")
     words = local.select(*keys).distinct().withColumn("_part", part)
 
@@ -68,8 +68,8 @@ def dense_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     for p in range(parts):
         base.append(start)
         start += -(-sizes.get(p, 0) // BLOCK) * BLOCK  # every part begins a new block
-    offset = F.element_at(F.array(*[F.lit(b) for b in base]).cast("array<bigint>"), F.col("_part") + 1)
-    dictionary = numbered.select(*keys, (offset + F.col("_at")).alias("_code"))
+    offsets = spark.createDataFrame(list(enumerate(base)), "_part int, _base bigint")  # as many rows as parts
+    dictionary = numbered.join(F.broadcast(offsets), "_part").select(*keys, (F.col("_base") + F.col("_at")).alias("_code"))
 
     # Scatter-reduce: codes to dense blocks, each block in a few salted pieces, then the pieces of a block.
     coded = local.join(dictionary, keys).select(

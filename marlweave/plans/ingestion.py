@@ -20,6 +20,10 @@ from ..session import ship
 
 #: text to (name, label, start, end)
 Recogniser = Callable[[str], list[tuple[str, str, int, int]]]
+#: text to tokens with i, start, end, lemma, pos, dep and head
+Parser = Callable[[str], list[dict]]
+#: Fixed value: the weight of a relation that a parse shows.
+GROUNDED = 0.85
 _ENTITY = "array<struct<name:string,type:string,start_char:int,end_char:int,confidence:double>>"
 _RELATION = "array<struct<source_entity:string,target_entity:string,relation_type:string,weight:double>>"
 
@@ -34,23 +38,46 @@ def entity_type(label: str) -> tuple[str, float]:
     return (LABELS[label], NAMED_CONFIDENCE) if label in LABELS else ("UNKNOWN", UNKNOWN_CONFIDENCE)
 
 
-def triples(tokens: list[dict]) -> list[tuple[str, str, str]]:
-    """(subject, object, type) from a parsed sentence: tokens with i, text, lemma, pos, dep and head. A passive verb's agent is its subject."""
+def dependencies(tokens: list[dict], entities: list[tuple]) -> list[tuple[str, str, str, float]]:
+    """(source, target, type, weight) from a parsed text: tokens with i, start, end, lemma, pos, dep and head; entities as extract_text() has them.
+
+    Every subject of a verb (also a passive one, and its agent) with every object (also a predicate, and the object of a
+    preposition), where both are entities and not the same; the type follows from the verb's lemma."""
     children: dict[int, list[dict]] = {}
     for t in tokens:
-        children.setdefault(t["head"], []).append(t)
-    out = []
+        if t["head"] != t["i"]:
+            children.setdefault(t["head"], []).append(t)
+    placed = sorted(entities, key=lambda e: e[2])
+
+    def at(start: int, end: int) -> str | None:
+        return next((e[0] for e in placed if start < e[3] and e[2] < end), None)
+
+    def entity(t: dict) -> str | None:
+        """The first entity that the token overlaps, else the first that its subtree does, if that has two to five tokens."""
+        tree, todo = [t], [t]
+        while todo:
+            below = children.get(todo.pop()["i"], [])
+            tree += below
+            todo += below
+        own = at(t["start"], t["end"])
+        return own or (at(min(x["start"] for x in tree), max(x["end"] for x in tree)) if 2 <= len(tree) <= 5 else None)
+
+    out: dict[tuple[str, str, str], None] = {}
     for verb in (t for t in tokens if t["pos"] in ("VERB", "AUX")):
         arcs = children.get(verb["i"], [])
-        of = lambda *deps: [t["text"] for t in arcs if t["dep"] in deps]  # noqa: B023, E731
-        under = lambda dep: [x["text"] for t in arcs if t["dep"] == dep for x in children.get(t["i"], []) if x["dep"] == "pobj"]  # noqa: B023, E731
-        pairs = [(s, o) for s in of("nsubj") for o in of("dobj", "obj", "attr") + under("prep")] + [(a, o) for a in under("agent") for o in of("nsubjpass")]
-        out += [(s, o, VERBS.get(verb["lemma"], "RELATED_TO")) for s, o in pairs]
-    return list(dict.fromkeys(out))
-
-
-def extract_text(text: str, recognise: Recogniser, patterns: list[re.Pattern]) -> tuple[list[tuple], list[tuple]]:
-    """Entities and relations of one text: segments, recogniser, patterns, the best of each name, proximity and co-occurrence."""
+        of = lambda *deps: [t for t in arcs if t["dep"] in deps]  # noqa: B023, E731
+        under = lambda dep, *deps: [x for t in of(dep) for x in children.get(t["i"], []) if x["dep"] in deps]
+        subjects = of("nsubj", "nsubjpass") + under("agent", "pobj")
+        objects = of("dobj", "attr", "acomp", "oprd") + under("prep", "pobj", "pcomp")
+        for x in map(entity, subjects):
+            for y in map(entity, objects):
+                if x and y and x != y:
+                    out[x, y, VERBS.get(verb["lemma"], "RELATED_TO")] = None
+    return [(*k, GROUNDED) for k in out]
+
+
+def extract_text(text: str, recognise: Recogniser, patterns: list[re.Pattern], parse: Parser | None = None) -> tuple[list[tuple], list[tuple]]:
+    """Entities and relations of one text: segments, recogniser, patterns, the best of each name, dependencies, proximity of pairs that those don't have, and co-occurrence."""
     found: dict[str, tuple] = {}
 
     def take(name: str, kind: str, start: int, end: int, sure: float) -> None:
@@ -67,11 +94,15 @@ def extract_text(text: str, recognise: Recogniser, patterns: list[re.Pattern]) -
             take(m[0], "TECHNOLOGY", m.start(), m.end(), TECHNOLOGY_CONFIDENCE)
     entities = list(found.values())
     placed = sorted(entities, key=lambda e: (e[2], e[0]))
-    relations = []
+    tokens = [t | {"i": (at, t["i"]), "head": (at, t["head"]), "start": at + t["start"], "end": at + t["end"]} for at, part in segments(text) for t in parse(part)] if parse else []
+    relations = dependencies(tokens, entities)
+    known = {r[:2] for r in relations}
     for i, a in enumerate(placed):
         for b in placed[i + 1 :]:
             if b[2] - a[3] >= NEAR:
                 break
+            if (a[0], b[0]) in known:
+                continue
             between = text[a[3] : b[2]].lower()
             kind = "IS_A" if "is a" in between or "are a" in between else "BASED_ON" if "based on" in between else "RELATED_TO"
             relations.append((a[0], b[0], kind, 0.6))
@@ -80,15 +111,15 @@ def extract_text(text: str, recognise: Recogniser, patterns: list[re.Pattern]) -
     return entities, relations
 
 
-def extract(docs: DataFrame, recognise: Recogniser = capitals, extra_patterns: list[str] | None = None) -> DataFrame:
-    """(doc_id, tenant_id, entities, relations) of every document; a null text has none."""
+def extract(docs: DataFrame, recognise: Recogniser = capitals, extra_patterns: list[str] | None = None, parse: Parser | None = None) -> DataFrame:
+    """(doc_id, tenant_id, entities, relations) of every document; a null text has none. A recogniser or parser that needs a model gets it by models.per_process()."""
     ship(docs.sparkSession)
     sources = [*TECHNOLOGY_PATTERNS, *(extra_patterns or [])]
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         patterns = [re.compile(p, re.I) for p in sources]
         for pdf in it:
-            rows = [extract_text(t or "", recognise, patterns) for t in pdf["content"]]
+            rows = [extract_text(t or "", recognise, patterns, parse) for t in pdf["content"]]
             out = pdf[["doc_id", "tenant_id"]].copy()
             out["entities"] = [[dict(zip(("name", "type", "start_char", "end_char", "confidence"), e)) for e in es] for es, _ in rows]
             out["relations"] = [[dict(zip(("source_entity", "target_entity", "relation_type", "weight"), r)) for r in rs] for _, rs in rows]
@@ -122,31 +153,49 @@ def query_entities(spark: SparkSession, text: str, extra_patterns: list[str] | N
     return spark.createDataFrame([(n,) for n in dict.fromkeys(e[0].strip().lower() for e in entities)], "name string")
 
 
-def concepts(texts: DataFrame, model: Callable[[str], str], concept_types: set[str], relation_types: set[str], enabled: bool = True) -> DataFrame:
-    """(source_key, state, concepts, relations, dropped) of each source's accumulated text (source_key, text).
-
-    skipped while disabled, not_ready without a text, error if the model fails or answers nothing, else done."""
+def outcome(text: str | None, model: Callable[[str], str] | None, concept_types: set[str], relation_types: set[str], enabled: bool = True, attempt: int = 1) -> dict:
+    """What the phase of the language model makes of one source's text: state, reason, concepts, relations and dropped items.
+
+    skipped while disabled; error for a source without points (no text) or without a model; done with a warning for
+    blank text and for an answer that is valid but empty; not_ready for a failure of the model and for no answer at all;
+    a time-out and an answer that can't be read are not_ready at the first attempt and then an error; a part of the
+    items dropped is an error; else done."""
+    none = {"reason": "", "concepts": [], "relations": [], "dropped": 0}
+    if text is None:
+        return none | {"state": "error", "reason": "no stored points"}
+    if not enabled:
+        return none | {"state": "skipped", "reason": "disabled"}
+    if model is None:
+        return none | {"state": "error", "reason": "no model"}
+    if not text.strip():
+        return none | {"state": "done", "reason": "empty-extraction"}
+    again = "not_ready" if attempt <= 1 else "error"
+    try:
+        said = model(text)
+    except TimeoutError:
+        return none | {"state": again, "reason": "time-out"}
+    except Exception as e:
+        return none | {"state": "not_ready", "reason": f"failure: {type(e).__name__}"}
+    if not (said or "").strip():
+        return none | {"state": "not_ready", "reason": "no answer"}
+    a = answer(said, concept_types, relation_types)
+    if not a["concepts"] and not a["relations"]:
+        return none | ({"state": "done", "reason": "empty-extraction"} if a["read"] else {"state": again, "reason": "unreadable"})
+    if a["dropped"]:
+        return none | {"state": "error", "reason": "partial", "dropped": a["dropped"]}
+    return none | {"state": "done", "concepts": a["concepts"], "relations": a["relations"]}
+
+
+def concepts(texts: DataFrame, model: Callable[[str], str] | None, concept_types: set[str], relation_types: set[str], enabled: bool = True, attempt: int = 1) -> DataFrame:
+    """(source_key, state, reason, concepts, relations, dropped) of each source's accumulated text (source_key, text), by outcome()."""
     ship(texts.sparkSession)
-    kind = "source_key string, state string, concepts array<struct<type:string,text:string>>, relations array<struct<type:string,origin:string,destination:string,text:string>>, dropped int"
-
-    def one(text: str | None) -> tuple:
-        if not enabled:
-            return "skipped", [], [], 0
-        if not (text or "").strip():
-            return "not_ready", [], [], 0
-        try:
-            said = model(text)
-        except Exception:
-            return "error", [], [], 0
-        if not (said or "").strip():
-            return "error", [], [], 0
-        a = answer(said, concept_types, relation_types)
-        return "done", a["concepts"], a["relations"], a["dropped"]
+    kind = "source_key string, state string, reason string, concepts array<struct<type:string,text:string>>, relations array<struct<type:string,origin:string,destination:string,text:string>>, dropped int"
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
-            if len(pdf):
-                yield pd.DataFrame([(k, *one(t)) for k, t in zip(pdf["source_key"], pdf["text"])], columns=["source_key", "state", "concepts", "relations", "dropped"])
+            rows = [{"source_key": k} | outcome(None if t is None else str(t), model, concept_types, relation_types, enabled, attempt) for k, t in zip(pdf["source_key"], pdf["text"])]
+            if rows:
+                yield pd.DataFrame(rows)[["source_key", "state", "reason", "concepts", "relations", "dropped"]]
 
     return texts.select("source_key", "text").mapInPandas(run, kind)
 

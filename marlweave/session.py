@@ -7,6 +7,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,10 +74,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+@contextmanager
+def temporary_tables() -> Iterator[None]:
+    """What is materialized inside is removed at the end: for long sessions, around a query whose result has been taken or written by then."""
+    mark = len(_written)
+    try:
+        yield
+    finally:
+        drop_written(mark)
+
+
 @atexit.register
-def drop_written() -> None:
-    """Remove the tables written by materialize() once nothing reads them any more."""
-    while _written:
+def drop_written(keep: int = 0) -> None:
+    """Remove the tables written by materialize(), but for the first `keep`."""
+    while len(_written) > keep:
         spark, at = _written.pop()
         try:
             path = spark._jvm.org.apache.hadoop.fs.Path(at)

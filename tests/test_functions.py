@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from marlweave.functions import extract as X
 from marlweave.functions import text as T
 from marlweave.functions.vectors import is_valid, score
-from marlweave.operators.checks import dependents
+from marlweave.operators.checks import with_dependents
 from marlweave.operators.scan import next_offset
-from marlweave.plans.ingestion import entity_type, extract_text, triples
+from marlweave.functions import models as M
+from marlweave.plans.ingestion import dependencies, entity_type, extract_text
 
 
 @given(st.text(alphabet="ab \n\r\t", max_size=120), st.integers(4, 50))
@@ -77,7 +78,8 @@ def test_driver_side_functions():
     a, b = X.fingerprint({"x": 1, "y": 2}, {}, " p ", "m", True), X.fingerprint({"y": 2, "x": 1}, {}, "p", "m", True)
     assert a == b != X.fingerprint({}, {}, "p", "m", True)
     assert [X.state(s) for s in ("done", "odd", None, True)] == ["done", "error", "error", "error"]
-    assert dependents({"ner": ["embed"], "llm": ["ner"], "x": []}, "embed") == ["llm", "ner"]
+    needs = {"ner": ["embed"], "llm": ["ner"], "x": []}
+    assert [with_dependents(needs, p) for p in (["embed"], ["x"], ["llm", "x"], [])] == [["embed", "llm", "ner"], ["x"], ["llm", "x"], []]
     assert [next_offset(100, 100), next_offset(99, 100), next_offset(100, 100, "100"), next_offset(100, 100, "junk")] == ["100", None, "200", "100"]
 
 
@@ -85,8 +87,9 @@ def test_driver_side_functions():
     "said, concepts, relations, dropped",
     [
         ('```json\n{"concepts": [{"type": "TERM", "text": "Alpha"}, {"type": "ODD", "text": "Beta"}, {"type": "TERM", "text": " "}], "relations": [{"type": "USES", "origin": "Alpha", "destination": "Beta", "text": "t"}, {"origin": "x"}]}\n```', [("TERM", "Alpha"), ("CONCEPT", "Beta")], [("USES", "Alpha", "Beta")], 2),
-        ('words [{"subject": "A", "relation_type": "ODD", "object": "B", "subject_type": "TERM"}] words', [("TERM", "A"), ("CONCEPT", "B")], [("RELATED_TO", "A", "B")], 0),
-        ('{"concepts": "no list", "relations": null}', [], [], 1),
+        ('{"concepts": [{"type": "term", "text": "Alpha"}], "relations": [{"type": "uses", "origin": "Alpha", "destination": "Beta", "text": "t"}, {"type": "LIKES", "origin": "Alpha", "destination": "Beta", "text": "t"}]}', [("TERM", "Alpha")], [("USES", "Alpha", "Beta")], 1),
+        ('words [{"subject": "Kiln", "relation_type": "uses", "object": "Clay", "subject_type": "term"}, {"subject": "KILN", "relation_type": "USES", "object": "Fire"}, {"subject": "Kiln", "relation_type": "ODD", "object": "Air"}] words', [("TERM", "Kiln"), ("CONCEPT", "Clay"), ("CONCEPT", "Fire")], [("USES", "Kiln", "Clay"), ("USES", "KILN", "Fire")], 1),
+        ('{"concepts": "no list", "relations": null}', [], [], 2),
         ("not json", [], [], 0),
         (None, [], [], 0),
         ("[1, 2]", [], [], 2),
@@ -100,14 +103,53 @@ def test_answers(said, concepts, relations, dropped):
 
 
 def test_extraction_prefers_the_surer_and_keeps_offsets():
-    text = "Alice built a parser.\n\nIt runs on Redis, which Guido likes."
-    entities, relations = extract_text(text, lambda t: [(m[0], "PERSON", m.start(), m.end()) for m in re.finditer("Alice|Guido", t)], [re.compile(p, re.I) for p in X.TECHNOLOGY_PATTERNS])
-    assert {(e[0], e[1], text[e[2] : e[3]]) for e in entities} == {("Alice", "PERSON", "Alice"), ("Redis", "TECHNOLOGY", "Redis"), ("Guido", "PERSON", "Guido")}
-    assert ("Redis", "Guido", "RELATED_TO", 0.6) in relations and ("Alice", "Guido", "CO_OCCURS_WITH", 0.45) in relations
+    text = "Odile keeps the kiln warm.\n\nIts log lives in Redis, which Tamsin reads."
+    entities, relations = extract_text(text, lambda t: [(m[0], "PERSON", m.start(), m.end()) for m in re.finditer("Odile|Tamsin", t)], [re.compile(p, re.I) for p in X.TECHNOLOGY_PATTERNS])
+    assert {(e[0], e[1], text[e[2] : e[3]]) for e in entities} == {("Odile", "PERSON", "Odile"), ("Redis", "TECHNOLOGY", "Redis"), ("Tamsin", "PERSON", "Tamsin")}
+    assert ("Redis", "Tamsin", "RELATED_TO", 0.6) in relations and ("Odile", "Tamsin", "CO_OCCURS_WITH", 0.45) in relations
     assert entity_type("ORG") == ("ORGANIZATION", 0.9) and entity_type("?") == ("UNKNOWN", 0.5)
 
 
-def test_triples_of_active_and_passive_verbs():
-    active = [dict(i=0, text="Ann", lemma="Ann", pos="PROPN", dep="nsubj", head=1), dict(i=1, text="uses", lemma="use", pos="VERB", dep="ROOT", head=1), dict(i=2, text="Go", lemma="Go", pos="PROPN", dep="dobj", head=1)]
-    passive = [dict(i=0, text="Py", lemma="Py", pos="PROPN", dep="nsubjpass", head=1), dict(i=1, text="created", lemma="create", pos="VERB", dep="ROOT", head=1), dict(i=2, text="by", lemma="by", pos="ADP", dep="agent", head=1), dict(i=3, text="Guido", lemma="Guido", pos="PROPN", dep="pobj", head=2)]
-    assert triples(active) == [("Ann", "Go", "USES")] and triples(passive) == [("Guido", "Py", "CREATES")]
+def _tokens(text, *rows):
+    out, at = [], 0
+    for i, (word, lemma, pos, dep, head) in enumerate(rows):
+        at = text.index(word, at)
+        out.append({"i": i, "start": at, "end": at + len(word), "lemma": lemma, "pos": pos, "dep": dep, "head": head})
+        at += len(word)
+    return out
+
+
+def test_relations_of_a_parse():
+    names = lambda text, *ns: [(n, "X", text.index(n), text.index(n) + len(n), 0.9) for n in ns]
+    text = "Odile uses Red Clay"
+    active = _tokens(text, ("Odile", "Odile", "PROPN", "nsubj", 1), ("uses", "use", "VERB", "ROOT", 1), ("Red", "red", "ADJ", "amod", 3), ("Clay", "clay", "NOUN", "dobj", 1))
+    assert dependencies(active, names(text, "Odile", "Red Clay")) == [("Odile", "Red Clay", "USES", 0.85)]
+    assert dependencies(active, names(text, "Odile", "Red")) == [("Odile", "Red", "USES", 0.85)]  # by the subtree of the object
+    assert dependencies(active, names(text, "Odile")) == []
+    text = "Kiln was built by Tamsin with Brick"
+    passive = _tokens(text, ("Kiln", "Kiln", "PROPN", "nsubjpass", 2), ("was", "be", "AUX", "auxpass", 2), ("built", "build", "VERB", "ROOT", 2), ("by", "by", "ADP", "agent", 2), ("Tamsin", "Tamsin", "PROPN", "pobj", 3), ("with", "with", "ADP", "prep", 2), ("Brick", "Brick", "PROPN", "pobj", 5))
+    got = dependencies(passive, names(text, "Kiln", "Tamsin", "Brick"))
+    assert got == [("Kiln", "Brick", "CREATES", 0.85), ("Tamsin", "Brick", "CREATES", 0.85)]
+    entities, relations = extract_text(text, lambda t: [(n, "X", t.index(n), t.index(n) + len(n)) for n in ("Kiln", "Tamsin", "Brick")], [], lambda t: passive)
+    assert relations[:2] == got and ("Kiln", "Tamsin", "RELATED_TO", 0.6) in relations and ("Kiln", "Brick", "RELATED_TO", 0.6) not in relations
+
+
+def test_outside_models():
+    made = []
+    load = lambda: made.append(1) or object()
+    assert M.per_process("m", load) is M.per_process("m", load) and made == [1]
+    guess = lambda t: [("xx", 0.5), ("en", 0.9), ("de", 0.95)]
+    assert [M.language(t, guess) for t in ("a text", " abc ", None)] == ["en", None, None]
+    assert M.language("a text", lambda t: [("en", 0.8)]) is None and M.language("a text", lambda t: 1 / 0) is None
+    schema = M.answer_schema(["TERM"], ["USES"])
+    good = {"concepts": [{"type": "TERM", "text": "Kiln"}], "relations": []}
+    assert M.structured(lambda p: __import__("json").dumps(good), "q", schema) == good
+    native = type("N", (), {"structured": lambda self, p, s: good})()
+    assert M.structured(native, "q", schema) == good
+    for said in ("no json", '{"concepts": []}', '{"concepts": [{"type": "ODD", "text": "x"}], "relations": []}', "[]", ""):
+        with pytest.raises(M.Unstructured) as e:
+            M.structured(lambda p, s=said: s, "q", schema)
+        assert e.value.text == said
+    a, b = M.phase_tags({"en": "m", "de": "n"}, True, True), M.phase_tags({"de": "n", "en": "m"}, True, True)
+    assert a == b and set(a) == {"ner", "llm"}
+    assert M.phase_tags({}, True, False)["llm"] != a["llm"] and M.phase_tags({"en": "k"}, True, True)["llm"] == a["llm"]

@@ -112,13 +112,20 @@ def test_prose_selection(spark):
 
 def test_llm_phase(spark):
     def model(text):
-        if "fail" in text:
-            raise RuntimeError
-        return "" if "mute" in text else '{"concepts": [{"type": "TERM", "text": "x"}], "relations": []}'
-
-    rows = frame(spark, [("ok", "text"), ("bad", "fail"), ("mute", "mute"), ("none", " "), ("null", None)], "source_key string, text string")
-    assert {r.source_key: r.state for r in I.concepts(rows, model, {"TERM"}, set()).collect()} == {"ok": "done", "bad": "error", "mute": "error", "none": "not_ready", "null": "not_ready"}
-    assert {r.state for r in I.concepts(rows, model, {"TERM"}, set(), enabled=False).collect()} == {"skipped"}
+        if text in ("fail", "late"):
+            raise RuntimeError if text == "fail" else TimeoutError
+        item = '{"type": "TERM", "text": "x"}'
+        return {"mute": " ", "odd": "no json", "empty": '{"concepts": [], "relations": []}', "part": f'{{"concepts": [{item}, {{"text": ""}}]}}'}.get(text, f'{{"concepts": [{item}]}}')
+
+    texts = ["text", "fail", "late", "mute", "odd", "empty", "part", " "]
+    rows = frame(spark, [(t, t) for t in texts] + [("null", None)], "source_key string, text string")
+    always = {"text": "done", "fail": "not_ready", "mute": "not_ready", "empty": "done", "part": "error", " ": "done", "null": "error"}
+    for attempt, state in ((1, "not_ready"), (2, "error")):
+        got = I.concepts(rows, model, {"TERM"}, set(), attempt=attempt).collect()
+        assert {r.source_key: r.state for r in got} == always | {"late": state, "odd": state}
+        assert [len(r.concepts) for r in got if r.source_key in ("text", "part")] == [1, 0]
+    assert {r.state for r in I.concepts(rows, model, {"TERM"}, set(), enabled=False).where("source_key <> 'null'").collect()} == {"skipped"}
+    assert {r.state for r in I.concepts(rows, None, {"TERM"}, set()).collect()} == {"error"}
 
 
 def test_store_publishes_snapshots(spark, tmp_path):
@@ -129,6 +136,45 @@ def test_store_publishes_snapshots(spark, tmp_path):
     assert store.read("docs").count() == 2 and store.read("docs", before).count() == 3
     with pytest.raises(RuntimeError):
         store.publish({"docs": spark.range(1).toDF("id")}, expected=1)
+    real = store.manifest
+    store.manifest = lambda: before  # a writer who read before the other published
+    with pytest.raises(RuntimeError):
+        store.publish({"docs": spark.range(1).toDF("id")})
+    store.manifest = real
+    (tmp_path / "store" / "manifest-9.json").write_text('{"version": 9, "tab')  # a manifest that is still being written
+    assert store.manifest()["version"] == 2
+
+
+def test_swap_of_the_embedder(spark, tmp_path):
+    store = L.Store(spark, f"file://{tmp_path}/swap")
+    docs = frame(spark, [("a", "xx"), ("b", ""), ("c", None)], "id string, content string")
+    store.publish({"docs": docs, "entity_vectors_v1": frame(spark, [(1, [1.0]), (2, None)], "id bigint, vector array<double>"), "vectors_v1": docs.select("id")})
+    assert L.swap_embedder(store, lambda ts: [[float(len(t)), 0.0] for t in ts], lambda v: v.select(F.col("id").alias("src"), F.col("id").alias("dst"))) == "v2"
+    now = store.manifest()
+    assert set(now["tables"]) == {"docs", "vectors_v2", "similar_v2", "entity_vectors_v2"} and now["generation"] == "v2"
+    assert [tuple(r) for r in store.read("vectors_v2").collect()] == [("a", [2.0, 0.0])] and [r.id for r in store.read("entity_vectors_v2").collect()] == [1]
+
+
+def test_scopes_of_provenance(spark):
+    edges = frame(spark, [("kb", ["f"], None), ("both", ["f", "chat:1:f"], None), ("chat", ["chat:1:f", "chat:1:g"], "g1"), ("none", None, None), ("empty", [], None)], "src string, files array<string>, concept_gen string")
+    left = lambda phase="both", **scope: {r.src: r.files for r in L.strip_provenance(edges, L.in_scope(**scope), phase).collect()}
+    rest = {"none": None, "empty": []}
+    assert left(key="f") == rest | {"both": ["chat:1:f"], "chat": ["chat:1:f", "chat:1:g"]}
+    assert left(prefix="chat:1:") == rest | {"kb": ["f"], "both": ["f"]}
+    assert left(knowledge_base=True) == rest | {"both": ["chat:1:f"], "chat": ["chat:1:f", "chat:1:g"]}
+    assert left("llm", prefix="chat:1:") == rest | {"kb": ["f"], "both": ["f", "chat:1:f"]}
+
+
+def test_temporary_tables_are_removed(spark):
+    from pathlib import Path
+
+    from marlweave import session
+
+    with session.temporary_tables():
+        df = session.materialize(spark.range(3), "t")
+        at = Path(session._written[-1][1].removeprefix("file://").removeprefix("file:"))
+        assert df.count() == 3 and at.exists()
+    assert not at.exists()
 
 
 def test_streaming(spark, tmp_path):
@@ -152,7 +198,7 @@ def test_entry_points(spark):
     assert len(e.queries()) > 90
 
 
-def test_neighbours_and_ranks_of_a_hot_source(spark):
+def test_neighbours_and_ranks_of_a_hot_source(spark, monkeypatch):
     import random
     from datetime import datetime, timedelta
 
@@ -165,6 +211,10 @@ def test_neighbours_and_ranks_of_a_hot_source(spark):
         order = [x[0] for x in sorted((x for x in rows if x[2] == s), key=lambda x: (x[4], x[3], x[0]))]
         want |= set(zip(order, order[1:]))
     assert {(x.src, x.dst) for x in A.next_edges(docs).collect()} == want
+    monkeypatch.setattr(A, "CUT_ROWS", 10)  # as if the source had very many rows of a few places
+    placed = docs.select("id", "tenant_id", "source_key", "created_at", F.col("chunk_index").alias("place"))
+    for places in (1, 2, 256):
+        assert {(x.src, x.dst) for x in A._following(placed, ["tenant_id", "source_key"], places, 10).collect()} == want
     for s in "su":
         order = [x[0] for x in sorted((x for x in rows if x[2] == s), key=lambda x: (x[3], x[0]))]
         got = {x.id: x.n for x in A.numbered(docs, ["tenant_id", "source_key"]).where(F.col("source_key") == s).collect()}
@@ -185,14 +235,51 @@ def test_co_mentions_of_usual_and_wide_documents(spark, monkeypatch):
 def test_technologies_come_from_one_scan(spark):
     docs = frame(spark, [("a", "Redis and redis, then Go."), ("b", "nothing"), ("c", None)], "id string, content string")
     got = {tuple(x) for x in A.technologies(docs, [r"\b(Redis|MySQL)\b", r"\b(Go)\b"]).collect()}
-    assert got == {("a", "redis", 0, 0.85), ("a", "go", 22, 0.85)}
+    assert got == {("a", "Redis", 0, 5, 0.85), ("a", "redis", 10, 15, 0.85), ("a", "Go", 22, 24, 0.85)}
+    docs = frame(spark, [("a", "google, go")], "id string, content string")
+    assert {tuple(x)[1:4] for x in A.technologies(docs, [r"\b(Go)\b"]).collect()} == {("go", 8, 10)}
 
 
 def test_containing_finds_names_of_any_length(spark):
     long = " ".join(f"w{i}" for i in range(12))
-    entities = frame(spark, [(1, "t", long), (2, "t", "go"), (3, "t", "red fox"), (4, "u", "red fox")], "id bigint, tenant_id string, norm string")
-    docs = frame(spark, [("a", "t", f"x {long.upper()}, the red-fox"), ("b", "t", "redfox go"), ("c", "t", None)], "id string, tenant_id string, content string")
-    assert {tuple(x) for x in A.containing(entities, docs).collect()} == {("a", 1), ("a", 3)}
+    entities = frame(spark, [(1, "t", long), (2, "t", "go"), (3, "t", "Red Fox"), (4, "u", "red fox"), (5, "t", "c++"), (6, "t", None), (7, None, "red"), (8, "t", "red fox")], "id bigint, tenant_id string, name string")
+    docs = frame(spark, [("a", "t", f"x {long.upper()}, the red foxes"), ("b", "t", "red-fox go C++11"), ("c", "t", None), ("d", "u", "bored foxes: red fox"), ("e", "t", "")], "id string, tenant_id string, content string")
+    for most in (100, 1):
+        assert {tuple(x) for x in A.containing(entities, docs, most_names=most).collect()} == {("a", 1), ("a", 3), ("a", 8), ("b", 5), ("d", 4)}
+    assert A.containing(entities.limit(0), docs).count() == A.containing(entities, docs.limit(0)).count() == 0
+
+
+def test_routes_of_writes(spark):
+    points = frame(spark, [("t", "declarative", "f", "f"), ("t", "declarative", "g", "g"), ("t", "declarative", "h", "h"), ("t", "declarative", "i", "i"), ("t", "declarative", None, "unknown"), ("t", "procedural", "f", "f")], "tenant_id string, collection string, source string, source_key string")
+    status = frame(spark, [("f", "processing", "embedding"), ("g", "processing", "parsing"), ("h", "completed", None)], "source_key string, status string, phase string")
+    routes = S.routes(points, status)
+    assert {(r.collection[:4], r.source_key): r.route for r in routes.collect()} == {("decl", "f"): "phase", ("decl", "g"): "resume", ("decl", "h"): "resume", ("decl", "i"): "job", ("decl", "unknown"): "similarity", ("proc", "f"): "none"}
+    assert {tuple(r) for r in S.after_outside_writes(routes, status).collect()} == {("g", "due"), ("h", "due"), ("i", "job")}
+    assert {tuple(r) for r in S.after_outside_writes(routes, status, transferring=True).collect()} == {("i", "job")}
+    held = frame(spark, [("a", "g", []), ("b", "g", [1.0]), ("c", "f", []), ("d", "g", None)], "id string, source_key string, vector array<double>")
+    assert {r.id for r in S.staged(held, status).where("staged").collect()} == {"a"}
+
+
+def test_write_plans(spark):
+    entities = frame(spark, [("a",)] * 3 + [("b",)] * 5, "k string")
+    relations = frame(spark, [("a",)] * 2 + [("b",)] * 1 + [("c",)] * 6, "k string")
+    assert {tuple(r) for r in A.write_plans(entities, relations, "k", 5).collect()} == {("a", 1), ("b", 2), ("c", 2)}
+
+
+def test_accumulated_text_counts_contents_only(spark):
+    rows = [("t", "s", "c1", 1, "aaaa"), ("t", "s", "c2", 2, "bbbb"), ("t", "s", "c3", 3, "cc"), ("t", "s", "c4", 4, "dd"), ("t", "u", "c5", None, "xx"), ("t", "u", "c6", 1, "yy")]
+    prose = frame(spark, rows, "tenant_id string, source_key string, id string, position int, content string")
+    got = {r.source_key: r.text for r in A.accumulated_text(prose, 8).collect()}
+    assert got == {"s": "aaaa\n\nbb [truncated]", "u": "yy\n\nxx"}
+    assert {tuple(r)[1:] for r in A.accumulated(prose, 8).collect()} == {("s", 3, 8), ("u", 2, 6)}
+
+
+def test_pages_by_key(spark):
+    docs = frame(spark, [(f"d{i}", "t", "c") for i in range(7)], "id string, tenant_id string, collection string")
+    seen, after = [], None
+    while rows := [r.id for r in S.page_after(docs, "t", "c", 3, after).collect()]:
+        seen, after = seen + rows, rows[-1]
+    assert seen == [f"d{i}" for i in range(7)]
 
 
 def test_refresh_writes_a_node_and_mention_for_every_hit(spark):
@@ -213,3 +300,42 @@ def test_refresh_writes_a_node_and_mention_for_every_hit(spark):
         assert {tuple(r) for r in mentions.collect()} == found | {("d0", 3)} and {tuple(r) for r in provenance.collect()} == found
         assert (nodes[2].type, nodes[2].types, nodes[2].confidence, nodes[2].documents, nodes[2].tracked) == ("CONCEPT", ["CONCEPT", "TECHNOLOGY"], 0.85, ["d1"], True)
         assert nodes[3].types == ["EVENT"] and nodes[5].types == ["PERSON"] and nodes[named["t", "roadmap"]].documents == ["d2"]
+
+
+def test_vectors_of_merged_and_upserted_nodes(spark):
+    rows = frame(spark, [("k", "A", "T", "d2", 0.5, 2, [2.0]), ("k", "a", "T", "d1", 0.7, 1, None), ("j", "B", None, "d1", None, 3, None)], "key string, name string, type string, doc_id string, confidence double, ord int, vector array<double>")
+    merged = {r.key: r for r in A.merge_entities(rows).collect()}
+    assert (merged["k"].name, merged["k"].vector, merged["k"].documents, merged["k"].confidence) == ("a", [2.0], ["d1", "d2"], 0.7) and merged["j"].vector is None
+    kind = "key string, name string, type string, types array<string>, documents array<string>, confidence double, concept_gen string, vector array<double>"
+    old = frame(spark, [("k", "O", "T", ["T"], [], 0.9, "g1", [1.0]), ("l", "L", "T", ["T"], [], 0.9, None, [1.0])], kind)
+    new = frame(spark, [("k", "N", "U", None, ["d"], 0.1, None, None), ("l", "N", "U", None, ["d"], 0.1, None, [3.0]), ("m", "M", "U", None, ["d"], 0.1, None, [4.0])], kind)
+    got = {r.key: (r.type, r.types, r.confidence, r.concept_gen, r.vector) for r in A.upsert_entities(old, new).collect()}
+    assert got == {"k": ("T", ["T", "U"], 0.9, None, [1.0]), "l": ("T", ["T", "U"], 0.9, None, [3.0]), "m": ("U", ["U"], 0.1, None, [4.0])}
+
+
+def test_maintenance(spark):
+    from marlweave.operators import checks as C
+
+    rows = [("new", "embedding", "running", None), ("ok", "embedding", "done", None), ("ok", "ner", "done", "t"), ("old", "embedding", "done", None), ("old", "ner", "done", "s"), ("bad", "embedding", "done", None), ("bad", "ner", "error", "t")]
+    status = frame(spark, rows, "source_key string, phase string, state string, tag string")
+    act = lambda drift: {r.source_key: r.action for r in C.plan(status, {"ner": "t"}, drift).collect()}
+    assert act(False) == {"new": "reingest", "ok": "none", "old": "graph", "bad": "resume"} and act(True) == {"new": "reingest", "ok": "reembed", "old": "reembed", "bad": "resume"}
+    assert [C.exit_code([True], True), C.exit_code([True, False], True), C.exit_code([], False), C.exit_code([], True, dry_run=True)] == [0, 1, 1, 2]
+    assert C.generation_current("a", "a") and not C.generation_current(None, "a")
+
+
+def test_wiping_and_dropping_a_tenant(spark):
+    tables = {
+        "docs": frame(spark, [("a", "t", "s", "c"), ("b", "u", "s", "c")], "id string, tenant_id string, source_key string, collection string"),
+        "entities": frame(spark, [(1, "t", "x"), (2, "t", "y"), (3, "u", "x")], "id bigint, tenant_id string, norm string"),
+        "mentions": frame(spark, [("a", 1), ("b", 2), ("b", 3)], "doc_id string, entity_id bigint"),
+        "provenance": frame(spark, [("a", 1)], "doc_id string, entity_id bigint"),
+        "edges": frame(spark, [("t", "x", "y"), ("u", "x", "y")], "tenant_id string, src string, dst string"),
+        "similar": frame(spark, [("a", "a"), ("b", "b")], "src string, dst string"),
+        "collections": frame(spark, [("t", "c"), ("u", "c")], "tenant_id string, collection string"),
+        "source_files": frame(spark, [("t", "s"), ("u", "s")], "tenant_id string, source_key string"),
+    }
+    wiped, dropped = L.wipe_tenant(tables, "t"), L.drop_tenant(tables, "t")
+    assert {k: wiped[k].count() for k in ("docs", "entities", "mentions", "provenance", "edges", "similar")} == {"docs": 2, "entities": 2, "mentions": 2, "provenance": 0, "edges": 1, "similar": 1}
+    assert {r.id for r in wiped["entities"].collect()} == {2, 3}  # 2 is still mentioned by another tenant's document
+    assert {k: dropped[k].count() for k in ("docs", "collections", "entities", "mentions", "provenance", "source_files")} == {"docs": 1, "collections": 1, "entities": 2, "mentions": 2, "provenance": 0, "source_files": 1}
