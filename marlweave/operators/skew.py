@@ -2,7 +2,7 @@
 
 Method: dense accumulator arrays. Every input split counts its own keys with numpy (a local dictionary and
 bincount), so a hot key leaves a split as one row. The distinct keys get dense codes; the local counts are
-scattered into blocks of a dense array, and the blocks are summed in two steps, (block, salt) and then block.
+scattered into blocks of a dense array, a set of splits at a time, and the sets of a block summed in two steps.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, ship, splits
 
-BLOCK, PART = 1 << 14, 200_000
+BLOCK, PART, FAN = 1 << 14, 200_000, 64
 
 
 def _local_counts(keys: list[str]):
@@ -50,7 +50,7 @@ def dense_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     ship(spark)
     rows = df.select(*keys).where(F.expr(" AND ".join(f"`{k}` IS NOT NULL" for k in keys)))
     kinds = ", ".join(f"`{k}` string" for k in keys)
-    local = materialize(rows.mapInPandas(_local_counts(keys), f"{kinds}, n bigint"), "local-counts")
+    local = materialize(rows.mapInPandas(_local_counts(keys), f"{kinds}, n bigint").withColumn("_task", F.spark_partition_id()), "local-counts")
 
     # Dictionary: the partition by hash gives the first part of a code, the place within the partition the rest.
     parts = max(splits(spark), local.count() // PART + 1)  # a part has about PART keys at most
@@ -71,24 +71,24 @@ def dense_counts(df: DataFrame, keys: list[str]) -> DataFrame:
     offsets = spark.createDataFrame(list(enumerate(base)), "_part int, _base bigint")  # as many rows as parts
     dictionary = numbered.join(F.broadcast(offsets), "_part").select(*keys, (F.col("_base") + F.col("_at")).alias("_code"))
 
-    # Scatter-reduce: codes to dense blocks, each block in a few salted pieces, then the pieces of a block.
+    # Scatter-reduce: the counts of FAN splits to a dense block, then FAN of those, then the rest: no group grows with the table.
     coded = local.join(dictionary, keys).select(
-        F.expr(f"_code div {BLOCK}").alias("_block"), F.expr(f"cast(_code % {BLOCK} as int)").alias("_in"), "n", F.pmod(F.spark_partition_id(), F.lit(8)).alias("_salt")
+        F.expr(f"_code div {BLOCK}").alias("_block"), F.expr(f"cast(_code % {BLOCK} as int)").alias("_in"), "n", F.expr(f"_task div {FAN}").cast("int").alias("_set")
     )
 
     def scatter(pdf: pd.DataFrame) -> pd.DataFrame:
         dense = np.zeros(int(pdf["_in"].max()) + 1, np.int64)
         np.add.at(dense, pdf["_in"].to_numpy(), pdf["n"].to_numpy())
-        return pd.DataFrame({"_block": [int(pdf["_block"].iloc[0])], "counts": [dense]})
+        return pd.DataFrame({"_block": [int(pdf["_block"].iloc[0])], "_set": [int(pdf["_set"].iloc[0]) // FAN], "counts": [dense]})
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
         dense = np.zeros(max(map(len, pdf["counts"])), np.int64)
         for c in pdf["counts"]:
             dense[: len(c)] += c
-        return pd.DataFrame({"_block": [int(pdf["_block"].iloc[0])], "counts": [dense]})
+        return pd.DataFrame({"_block": [int(pdf["_block"].iloc[0])], "_set": [0], "counts": [dense]})
 
-    kind = "_block bigint, counts array<bigint>"
-    blocks = coded.groupBy("_block", "_salt").applyInPandas(scatter, kind).groupBy("_block").applyInPandas(total, kind)
+    kind = "_block bigint, _set int, counts array<bigint>"
+    blocks = coded.groupBy("_block", "_set").applyInPandas(scatter, kind).groupBy("_block", "_set").applyInPandas(total, kind).groupBy("_block").applyInPandas(total, kind)
     counts = blocks.select("_block", F.posexplode("counts").alias("_in", "n")).select((F.col("_block") * BLOCK + F.col("_in")).alias("_code"), "n")
     return dictionary.join(counts, "_code").select(*keys, "n")
 
