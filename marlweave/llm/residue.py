@@ -29,7 +29,7 @@ ORDER, BITS, SHAPE_BITS, WINDOW, PLACE_WINDOW = 4, 18, 18, 40, 10
 RATIO, PLACE_RATIO, COVERAGE, ADOPT, PLACE_ADOPT, MIX, PLACE_MIX = 0.5, 1.75, 0.5, 0.3, 2.5, 0.3, 0.7
 #: Weight of the seeds beside what is counted anew, and the floor of prose.
 SEEDS, FLOOR = 3, 0.02
-BLOCK = 1 << 13
+BLOCK, FAN = 1 << 13, 256
 #: A character of private use that stands for what is quoted; it counts as a letter.
 HIDDEN = "\ue000"
 
@@ -244,7 +244,7 @@ def _coverage(marks: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def counts(rows: DataFrame, models: Models | None = None) -> dict[str, np.ndarray]:
     """Counts of n-grams over all texts of rows (text): of all of them as prose, or by what models take each text for.
 
-    Every task adds up its own texts; blocks of the counters are summed in two steps."""
+    Every task adds up its own texts; blocks of the counters are summed in three steps."""
     shared = rows.sparkSession.sparkContext.broadcast(models)
 
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -273,11 +273,13 @@ def counts(rows: DataFrame, models: Models | None = None) -> dict[str, np.ndarra
         summed = np.zeros(BLOCK, np.int64)
         for c in pdf["counts"]:
             summed += np.frombuffer(c, np.int64)
-        return pd.DataFrame({"kind": pdf["kind"].iloc[:1], "block": pdf["block"].iloc[:1], "counts": [summed.tobytes()]})
+        return pd.DataFrame({"kind": pdf["kind"].iloc[:1], "block": pdf["block"].iloc[:1], "counts": [summed.tobytes()], "task": int(pdf["task"].iloc[0]) // FAN})
 
     kind = "kind string, block int, counts binary"
-    local = rows.select("text").mapInPandas(run, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(16)))
-    summed = local.groupBy("kind", "block", "salt").applyInPandas(total, kind).groupBy("kind", "block").applyInPandas(total, kind)
+    summed = rows.select("text").mapInPandas(run, kind).withColumn("task", F.spark_partition_id())
+    for _ in range(2):  # no group holds the blocks of more than FAN tasks, nor of more than FAN groups
+        summed = summed.groupBy("kind", "block", F.expr(f"task div {FAN}").cast("int").alias("task")).applyInPandas(total, f"{kind}, task int")
+    summed = summed.groupBy("kind", "block").applyInPandas(total, f"{kind}, task int")
     out = {k: np.zeros(1 << b) for k, b in COUNTS.items()}
     for r in summed.collect():  # a fixed number of counters
         out[r["kind"]][r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], np.int64)
