@@ -159,6 +159,11 @@ SQL: dict[str, str] = {
         g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 1), lambda k: array_to_string(w[k:k+2], ' '))) AS s FROM d), n AS (SELECT id, count(*) AS c FROM g GROUP BY id HAVING count(*) >= 10),
         p AS (SELECT a.id AS a, b.id AS b, count(*) AS k FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY ALL)
         SELECT a AS document_id_a, b AS document_id_b FROM p JOIN n x ON x.id = a JOIN n y ON y.id = b WHERE 2 * k >= x.c + y.c - k""",
+    "p7_classes": r"""WITH d AS (SELECT DISTINCT document_id AS id, regexp_extract_all(lower(content), '[\pL\pN]+') AS w FROM document_with_entities WHERE content IS NOT NULL),
+        g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 3), lambda k: array_to_string(w[k:k+4], ' '))) AS s FROM d), n AS (SELECT id, count(*) AS c, md5(string_agg(s, '|' ORDER BY s)) AS k FROM g GROUP BY id),
+        r AS (SELECT id, c, min(id) OVER (PARTITION BY c, k) AS rep FROM n), h AS (SELECT g.id, s, c FROM g JOIN r ON r.id = g.id AND r.rep = r.id),
+        p AS (SELECT a.id AS a, a.c AS ca, b.c AS cb, count(*) AS k FROM h a JOIN h b ON a.s = b.s AND a.id <> b.id GROUP BY a.id, b.id, a.c, b.c), l AS (SELECT a AS rep, count(*) AS links FROM p WHERE 5 * k >= 4 * (ca + cb - k) GROUP BY a)
+        SELECT id AS document_id, rep, coalesce(links, 0) AS links FROM r LEFT JOIN l USING (rep)""",
     "p9_found": r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w FROM documents WHERE text IS NOT NULL),
         i AS (SELECT item_id, regexp_extract_all(lower(text), '[\pL\pN]+') AS w FROM eval_item WHERE text IS NOT NULL),
         dg AS (SELECT doc_id, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k:k+11], ' '))) AS g FROM d),
