@@ -255,8 +255,8 @@ def co_mentioned(edges: DataFrame, entities: DataFrame, mentions: DataFrame, doc
     return met.groupBy("tenant_id", "src", "dst").agg(F.concat_ws(",", F.sort_array(F.collect_set("source_key"))).alias("keys"))
 
 
-#: Names in one automaton: their number and characters.
-BLOCK_NAMES, BLOCK_CHARS, BLOCK_TEXTS = 100_000, 8_000_000, 20_000
+#: Names in one automaton: their number and characters, and the texts that meet it; nodes of a name that its texts meet at once.
+BLOCK_NAMES, BLOCK_CHARS, BLOCK_TEXTS, BLOCK_NODES = 100_000, 8_000_000, 20_000, 256
 
 
 def containing(entities: DataFrame, docs: DataFrame, least: int = 3, most_names: int = BLOCK_NAMES) -> DataFrame:
@@ -264,7 +264,9 @@ def containing(entities: DataFrame, docs: DataFrame, least: int = 3, most_names:
 
     Names of at least `least` characters count. An automaton finds all names of a text in one pass over it. Names within
     the bounds of one block are broadcast; more are cut into blocks, and the texts of a tenant meet each of its blocks in
-    parts of bounded size."""
+    parts of bounded size. The workers give each name of a text once; its nodes, which may be very many, are joined to
+    it afterwards in parts of bounded size, so that no task holds or sorts the pairs. An entity has one
+    name, so that each pair comes once."""
     from collections.abc import Iterator
 
     import pandas as pd
@@ -272,15 +274,17 @@ def containing(entities: DataFrame, docs: DataFrame, least: int = 3, most_names:
     spark = docs.sparkSession
     ship(spark)
     low = F.lower("name")
-    names = entities.where(F.length(low) >= least).select(F.col("id").alias("entity_id"), "tenant_id", low.alias("low")).where("tenant_id IS NOT NULL")
+    nodes = materialize(entities.where(F.length(low) >= least).select(F.col("id").alias("entity_id"), "tenant_id", low.alias("low")).where("tenant_id IS NOT NULL").distinct(), "named-nodes")
+    names = materialize(nodes.groupBy("tenant_id", "low").agg(F.count("*").alias("nodes")), "names")
     size = names.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("low")), F.lit(0)).alias("chars")).first()
     texts = docs.where("content IS NOT NULL").select(F.col("id").alias("doc_id"), "tenant_id", "content")
-    kind = f"doc_id string, entity_id {dict(names.dtypes)['entity_id']}"
+    columns = ["tenant_id", "doc_id", "low", "nodes"]
+    kind = "tenant_id string, doc_id string, low string, nodes bigint"
 
     if size["n"] <= most_names and size["chars"] <= BLOCK_CHARS:
-        held: dict[str, dict[str, list]] = {}
+        held: dict[str, list] = {}
         for r in names.collect():  # within the bounds of a block
-            held.setdefault(r["tenant_id"], {}).setdefault(r["low"], []).append(r["entity_id"])
+            held.setdefault(r["tenant_id"], []).append((r["low"], r["nodes"]))
         shared = spark.sparkContext.broadcast(held)
 
         def scan(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -291,37 +295,48 @@ def containing(entities: DataFrame, docs: DataFrame, least: int = 3, most_names:
                     if tenant in shared.value:
                         if tenant not in automata:
                             automata[tenant] = _automaton(shared.value[tenant])
-                        out += [(doc, e) for e in _found(automata[tenant], text)]
-                yield pd.DataFrame(out, columns=["doc_id", "entity_id"])
+                        out += [(tenant, doc, *x) for x in _found(automata[tenant], text)]
+                yield pd.DataFrame(out, columns=columns)
 
-        return texts.mapInPandas(scan, kind).distinct()
+        return _nodes_of(texts.mapInPandas(scan, kind), nodes.join(names, ["tenant_id", "low"]))
 
-    block = lambda n: F.expr(f"cast(pmod(xxhash64(low), greatest(1, cast(ceil({n} / {most_names}) as int))) as int)")
-    loads = names.groupBy("tenant_id").agg(F.count("*").alias("n")).join(texts.groupBy("tenant_id").agg(F.count("*").alias("t")), "tenant_id")
-    loads = loads.select("tenant_id", "n", F.expr(f"cast(ceil(n / {most_names}) as int)").alias("blocks"), F.expr(f"cast(ceil(t / {BLOCK_TEXTS}) as int)").alias("parts"))
-    left = names.join(loads, "tenant_id").withColumn("block", block("n")).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select("tenant_id", "block", "part", "entity_id", "low")
+    block = F.expr("cast(pmod(xxhash64(low), blocks) as int)")
+    loads = names.groupBy("tenant_id").agg(F.count("*").alias("n"), F.sum(F.length("low")).alias("chars")).join(texts.groupBy("tenant_id").agg(F.count("*").alias("t")), "tenant_id")
+    loads = loads.select("tenant_id", F.expr(f"cast(ceil(greatest(n / {most_names}, chars / {BLOCK_CHARS})) as int)").alias("blocks"), F.expr(f"cast(ceil(t / {BLOCK_TEXTS}) as int)").alias("parts"))
+    loads = materialize(loads, "name-blocks")
+    left = names.join(loads, "tenant_id").withColumn("block", block).withColumn("part", F.explode(F.expr("sequence(0, parts - 1)"))).select("tenant_id", "block", "part", "low", "nodes")
     right = texts.join(loads, "tenant_id").withColumn("part", F.expr("cast(pmod(xxhash64(doc_id), parts) as int)")).withColumn("block", F.explode(F.expr("sequence(0, blocks - 1)"))).select("tenant_id", "block", "part", "doc_id", "content")
     place = ["tenant_id", "block", "part"]
 
     def meet(names: pd.DataFrame, texts: pd.DataFrame) -> pd.DataFrame:
-        held: dict[str, list] = {}
-        for n, e in zip(names["low"], names["entity_id"]):
-            held.setdefault(n, []).append(e)
-        automaton = _automaton(held)
-        return pd.DataFrame([(d, e) for d, t in zip(texts["doc_id"], texts["content"]) for e in _found(automaton, t)], columns=["doc_id", "entity_id"])
+        automaton = _automaton(zip(names["low"], names["nodes"]))
+        out = [(t, d, *x) for t, d, text in zip(texts["tenant_id"], texts["doc_id"], texts["content"]) for x in _found(automaton, text)]
+        return pd.DataFrame(out, columns=columns)
+
+    return _nodes_of(left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, kind), nodes.join(names, ["tenant_id", "low"]))
+
+
+def _nodes_of(hits: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(doc_id, entity_id) of hits (tenant_id, doc_id, low, nodes) and nodes (tenant_id, low, entity_id, nodes); the last column is how many nodes have the name.
 
-    return left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, kind).distinct()
+    The nodes of a name are cut into parts, each met by the name's texts, and the shuffle isn't coalesced, as the result can be far larger than what is shuffled."""
+    key = ["tenant_id", "low", "part"]
+    parts = F.expr(f"cast(ceil(nodes / {BLOCK_NODES}) as int)")
+    met = hits.distinct().withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select(*key, "doc_id")
+    cut = nodes.withColumn("part", F.pmod(F.xxhash64("entity_id"), parts).cast("int")).select(*key, "entity_id")
+    n = splits(hits.sparkSession)
+    return met.repartition(n, *key).join(cut.repartition(n, *key), key).select("doc_id", "entity_id")
 
 
-def _automaton(names: dict[str, list]):
+def _automaton(names):
     import ahocorasick
 
     out = ahocorasick.Automaton()
-    for n, ids in names.items():
-        out.add_word(n, ids)
+    for n, nodes in names:
+        out.add_word(n, (n, nodes))
     out.make_automaton()
     return out
 
 
 def _found(automaton, text: str) -> set:
-    return {e for _, ids in automaton.iter(text.lower()) for e in ids} if len(automaton) else set()
+    return {x for _, x in automaton.iter(text.lower())} if len(automaton) else set()

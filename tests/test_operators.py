@@ -249,6 +249,17 @@ def test_containing_finds_names_of_any_length(spark):
     assert A.containing(entities.limit(0), docs).count() == A.containing(entities, docs.limit(0)).count() == 0
 
 
+def test_containing_joins_the_nodes_of_a_name_outside_the_workers(spark):
+    entities = spark.range(700).select("id", F.lit("t").alias("tenant_id"), F.when(F.col("id") < 600, "Red Fox").otherwise(F.concat(F.lit("fox "), F.col("id"))).alias("name"))
+    docs = frame(spark, [("a", "t", "the red fox, a RED FOX and fox 650"), ("b", "t", "red foxes"), ("b", "t", "red foxes"), ("c", "u", "red fox")], "id string, tenant_id string, content string")
+    for most in (1000, 1):
+        got = A.containing(entities, docs, most_names=most)
+        assert sorted(tuple(x) for x in got.collect()) == sorted([(d, e) for d in ("a", "b") for e in range(600)] + [("a", 650)])
+        plan = got._jdf.queryExecution().analyzed().toString().splitlines()
+        out = next(x for x in plan if "InPandas" in x)
+        assert "low#" in out.rpartition("[")[2] and "entity_id" not in out  # a worker gives names, not pairs
+
+
 def test_routes_of_writes(spark):
     points = frame(spark, [("t", "declarative", "f", "f"), ("t", "declarative", "g", "g"), ("t", "declarative", "h", "h"), ("t", "declarative", "i", "i"), ("t", "declarative", None, "unknown"), ("t", "procedural", "f", "f")], "tenant_id string, collection string, source string, source_key string")
     status = frame(spark, [("f", "processing", "embedding"), ("g", "processing", "parsing"), ("h", "completed", None)], "source_key string, status string, phase string")
