@@ -164,11 +164,14 @@ def refresh_technologies(entities: DataFrame, mentions: DataFrame, found: DataFr
     return {"mentions": m, "entities": without(entities, dead, "id")}
 
 
-def backfill(entities: DataFrame, mentions: DataFrame, contained: DataFrame, provenance: DataFrame) -> DataFrame:
-    """(doc_id, entity_id): provenance from mentions, and for concepts without any from texts that contain them."""
-    base = mentions.select("doc_id", "entity_id").unionByName(provenance.select("doc_id", "entity_id")).distinct()
-    bare = entities.where("type = 'CONCEPT'").select(F.col("id").alias("entity_id")).join(base.select("entity_id").distinct(), "entity_id", "left_anti")
-    return base.unionByName(contained.join(bare, "entity_id", "left_semi").select("doc_id", "entity_id")).distinct()
+def backfill(entities: DataFrame, mentions: DataFrame, contained: Callable[[DataFrame], DataFrame], provenance: DataFrame) -> DataFrame:
+    """(doc_id, entity_id): provenance from mentions, and for concepts without any from texts that contain them.
+
+    contained gives (doc_id, entity_id), each pair once, of the nodes it is called with; it is asked for the concepts without provenance only,
+    so that pairs of the others are never made."""
+    base = materialize(mentions.select("doc_id", "entity_id").unionByName(provenance.select("doc_id", "entity_id")).distinct(), "provenance")
+    bare = entities.where("type = 'CONCEPT'").join(base.select(F.col("entity_id").alias("id")).distinct(), "id", "left_anti")
+    return base.unionByName(contained(bare).select("doc_id", "entity_id"))  # no node is in both
 
 
 def backfill_edges(edges: DataFrame, co_mentioned: DataFrame) -> DataFrame:

@@ -387,7 +387,7 @@ def _refreshed(g: Graph) -> dict[str, DataFrame]:
     return L.refresh_technologies(written["entities"], g.mentions, written["found"], written["provenance"])
 
 
-query("m07_backfill", f"WITH {_CONTAIN}, base AS (SELECT doc_id, entity_id FROM men UNION SELECT doc_id, entity_id FROM prov) SELECT * FROM base UNION SELECT doc_id, id FROM c JOIN tx USING (tenant_id) WHERE contains(t, low) AND id NOT IN (SELECT entity_id FROM base)", "ents", "docs", "men", "prov")(lambda g: L.backfill(g.entities, g.mentions, A.containing(g.entities.where("type = 'CONCEPT'"), g.docs), g.provenance))
+query("m07_backfill", f"WITH {_CONTAIN}, base AS (SELECT doc_id, entity_id FROM men UNION SELECT doc_id, entity_id FROM prov) SELECT * FROM base UNION SELECT doc_id, id FROM c JOIN tx USING (tenant_id) WHERE contains(t, low) AND id NOT IN (SELECT entity_id FROM base)", "ents", "docs", "men", "prov")(lambda g: L.backfill(g.entities, g.mentions, lambda bare: A.containing(bare, g.docs), g.provenance))
 _CO = "co AS (WITH m AS (SELECT DISTINCT d.tenant_id, doc_id, source_key, norm FROM men JOIN ents e ON e.id = entity_id JOIN docs d ON d.id = doc_id WHERE norm IS NOT NULL) SELECT r.tenant_id, src, dst, array_to_string(list_sort(list(DISTINCT a.source_key)), ',') AS keys FROM (SELECT DISTINCT tenant_id, src, dst FROM rels) r JOIN m a ON a.tenant_id = r.tenant_id AND a.norm = src JOIN m b ON b.doc_id = a.doc_id AND b.norm = dst GROUP BY r.tenant_id, src, dst)"
 query("m07_backfill_edges", f"WITH {_CO} SELECT tenant_id, src, dst, type, CASE WHEN type <> 'USES' THEN '' ELSE keys END AS files FROM (SELECT DISTINCT tenant_id, src, dst, type FROM rels) LEFT JOIN co USING (tenant_id, src, dst)", "men", "ents", "docs", "rels")(lambda g: _edges_filled(g))
 

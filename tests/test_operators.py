@@ -260,6 +260,21 @@ def test_containing_joins_the_nodes_of_a_name_outside_the_workers(spark):
         assert "low#" in out.rpartition("[")[2] and "entity_id" not in out  # a worker gives names, not pairs
 
 
+def test_backfill_asks_texts_for_concepts_without_provenance_only(spark):
+    entities = frame(spark, [(1, "t", "red", "CONCEPT"), (2, "t", "fox", "CONCEPT"), (3, "t", "dog", "CONCEPT"), (4, "t", "fox", "PERSON"), (5, "t", "fox", "CONCEPT")], "id bigint, tenant_id string, name string, type string")
+    docs = frame(spark, [("a", "t", "red fox"), ("b", "t", "red dog")], "id string, tenant_id string, content string")
+    mentions = frame(spark, [("a", 1, 0.5), ("a", 1, 0.7), ("b", 4, 0.5)], "doc_id string, entity_id bigint, confidence double")
+    provenance = frame(spark, [("a", 1), ("x", 3)], "doc_id string, entity_id bigint")
+    asked = []
+
+    def contained(bare):
+        asked.extend(r.id for r in bare.collect())
+        return A.containing(bare, docs)
+
+    assert sorted(tuple(x) for x in L.backfill(entities, mentions, contained, provenance).collect()) == [("a", 1), ("a", 2), ("a", 5), ("b", 4), ("x", 3)]
+    assert sorted(asked) == [2, 5]
+
+
 def test_routes_of_writes(spark):
     points = frame(spark, [("t", "declarative", "f", "f"), ("t", "declarative", "g", "g"), ("t", "declarative", "h", "h"), ("t", "declarative", "i", "i"), ("t", "declarative", None, "unknown"), ("t", "procedural", "f", "f")], "tenant_id string, collection string, source string, source_key string")
     status = frame(spark, [("f", "processing", "embedding"), ("g", "processing", "parsing"), ("h", "completed", None)], "source_key string, status string, phase string")
