@@ -59,6 +59,47 @@ def test_similar_edges(spark):
     assert R.similar(v, v, of, k=2, threshold=0.9).count() == 0  # the place is taken by another tenant's document
 
 
+def test_similar_by_cells_is_exact(spark, monkeypatch):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(5)
+    rows = [(f"d{i:04d}", [float(n := rng.randrange(40, 900)), float(rng.randrange(n // 20, n // 9)), float(rng.randrange(n // 15, n // 6))]) for i in range(1400)]
+    rows += [(f"e{i:03d}", [3.0 + i, 0.0, 0.0]) for i in range(60)] + [(f"f{i:03d}", rows[7][1]) for i in range(60)]  # one direction, one vector
+    v = frame(spark, rows, "id string, vector array<double>")
+    of = v.select("id", F.lit("t").alias("tenant_id"), F.when(F.col("id") < "d0900", "k").otherwise("l").alias("collection")).where("id <> 'd0005'")  # takes a place, but is in no collection
+    names, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    s = (1 + x @ x.T) / 2
+    monkeypatch.setattr(R, "CELL", 60)
+
+    def want(asked, k, threshold):
+        rank = {i: np.lexsort((names, -np.round(s[i], 9)))[:k] for i in asked}
+        pairs = {(names[i], names[j]) for i in asked for j in rank[i] if i != j and "d0005" not in (names[i], names[j]) and s[i, j] >= threshold and (names[i] < "d0900") == (names[j] < "d0900")}
+        return pairs | {(b, a) for a, b in pairs}
+
+    def blocks(*_):
+        raise AssertionError("all blocks meet")
+
+    monkeypatch.setattr(R, "_near_in_blocks", blocks)
+    got = R.similar(v, v, of, 20, 0.999, whole=100)
+    assert {(r.src, r.dst) for r in got.collect()} == want(range(len(rows)), 20, 0.999)
+    got = R.similar(v, v.where("id LIKE '%3'"), of, 3, 0.5, whole=100)
+    assert {(r.src, r.dst) for r in got.collect()} == want([i for i, n in enumerate(names) if n.endswith("3")], 3, 0.5)
+    monkeypatch.undo()
+    assert {(r.src, r.dst) for r in R.similar(v, v, of, 20, 0.999).collect()} == want(range(len(rows)), 20, 0.999)
+
+
+def test_similar_compares_blocks_where_cells_rule_out_little(spark, monkeypatch):
+    monkeypatch.setattr(R, "CELL", 10)
+    v = spark.range(400).select(F.col("id").cast("string"), F.expr("transform(sequence(1, 24), i -> cast(pmod(xxhash64(id, i), 2001) - 1000 as double))").alias("vector"))
+    of = v.select("id", F.lit("t").alias("tenant_id"), F.lit("k").alias("collection"))
+    one, two = ({tuple(r)[:2] for r in R.similar(v, v, of, 5, 0.5, whole=w).collect()} for w in (100, 1000))
+    assert one == two and len(one) > 1000
+    assert R.similar(v.where("false"), v, of, whole=-1).count() == 0
+
+
 def test_upserts(spark):
     kind = "key string, name string, type string, types array<string>, documents array<string>, confidence double, concept_gen string"
     old = frame(spark, [("k", "Old", "TECH", ["TECH"], ["a"], 0.7, "g1"), ("o", "Only", "X", ["X"], [], None, "g1")], kind)
